@@ -1,5 +1,7 @@
 """Scalar trip expressions: duration, distance, location, interaction, error and label columns."""
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -164,5 +166,5 @@ def to_number(value: Column) -> Column:
 
 
 def estimated_fare(fare: Column, distance: Column) -> Column:
-    """The given fare, or 3.5 per mile where none is given."""
-    return F.coalesce(fare, F.round(distance * 3.5, 2))
+    """The given fare, or 3.5 per mile in whole cents where none is given."""
+    return F.coalesce(fare, F.round(distance.cast("decimal(18,6)") * F.lit(Decimal("3.5")), 2).cast("double"))

@@ -22,12 +22,16 @@ class Workspace:
         self.sf_dir = sf_dir
         self.min_route_count = min_route_count
         self.root = session.scratch_path(spark, "stages")
+        self._tables: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        """A staged table; its files are listed once and the listing is reused."""
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(self.path(name))
+        return self._tables[name]
 
     @cached_property
     def _raw_written(self) -> bool:
