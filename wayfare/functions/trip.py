@@ -156,7 +156,7 @@ def day_context(ts: Column) -> Column:
 
 def arrival_time(pickup: Column, minutes: Column) -> Column:
     """Pickup plus predicted minutes, to the second."""
-    return pickup + F.make_dt_interval(secs=F.round(minutes * 60, 0).cast("decimal(18,6)"))
+    return F.timestamp_add("SECOND", F.round(minutes * 60).cast("int"), pickup)
 
 
 def to_number(value: Column) -> Column:

@@ -4,6 +4,7 @@ Each entry takes (spark, sf_dir) and returns a DataFrame. Floating-point outputs
 fixed number of places, so that a second engine summing in another order agrees.
 """
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +13,7 @@ from wayfare import session
 from wayfare.functions import requests as R
 from wayfare.functions import time as calendar
 from wayfare.functions import trip
+from wayfare.models import linear_search, neural, pipelines, search, store
 from wayfare.operators import impute as imputing
 from wayfare.operators import metrics, profiling, quality, sampling, split
 from wayfare.plans import features, prepare, scoring
@@ -589,3 +591,171 @@ def run_stream(ws, predictor, name: str) -> DataFrame:
     scored = ws.spark.read.parquet(f"{root}/scored").drop("batch")
     rejects = ws.spark.read.parquet(f"{root}/rejects").drop("batch")
     return scored.unionByName(rejects, allowMissingColumns=True)
+
+
+# ---- models
+
+COLUMNS = features.feature_set("full")
+# Registered queries train on every row but for few rounds; the presets hold the full settings.
+QUICK = {"maxIter": 15, "stepSize": 0.2}
+
+
+def measured(ws, predictions: dict[str, DataFrame]) -> DataFrame:
+    """Test metrics of several fitted models, one aggregate each over the test matrix."""
+    parts = [metrics.evaluate_models(df, S.TARGET, {name: "prediction"}) for name, df in predictions.items()]
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionByName(part)
+    return result
+
+
+def fitted_ols(ws):
+    return pipelines.linear_regression(COLUMNS).fit(ws.train_matrix())
+
+
+def fitted_trees(ws, preset: str = "A"):
+    train = pipelines.with_validation_block(ws.train_matrix())
+    settings = {**pipelines.BOOSTING_PRESETS[preset], **QUICK}
+    return pipelines.boosted_trees(COLUMNS, validation="is_validation", **settings).fit(train)
+
+
+@query
+def ols_1d(ws):
+    """Least squares of duration on distance alone."""
+    moments = linear_search.block_moments(ws.train_matrix(), [S.DISTANCE])
+    total = sum(list(moments.values())[1:], list(moments.values())[0])
+    line = linear_search.solve(total)
+    return ws.train_matrix().agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.round(F.lit(float(line.weights[0])), 9).alias("slope"),
+        F.round(F.lit(line.intercept), 9).alias("intercept"),
+    )
+
+
+@query
+def cv_ols_1d(ws):
+    """Scores of that fit on each expanding-window fold."""
+    moments = linear_search.block_moments(ws.train_matrix(), [S.DISTANCE])
+    folds = linear_search.fold_metrics(ws.train_matrix(), [S.DISTANCE], moments)
+    return rounded(folds.select("block", "rows", "RMSE", "MAE", "R2"), 6, "RMSE", "MAE", "R2")
+
+
+@query
+def ridge_grid_1d(ws):
+    """Mean validation error of each penalty for duration on distance alone."""
+    moments = linear_search.block_moments(ws.train_matrix(), [S.DISTANCE])
+    return grid_table(ws, linear_search.grid_scores(moments, pipelines.FULL_ALPHAS))
+
+
+def grid_table(ws, scores: list[tuple[float, float]]) -> DataFrame:
+    best = linear_search.best_alpha(scores)
+    rows = [(alpha, round(rmse, 6), alpha == best) for alpha, rmse in scores]
+    return session.literal_rows(ws.spark, rows, "alpha double, RMSE_mean double, is_best boolean")
+
+
+@query
+def scaled_features(ws):
+    """Mean and sample deviation of the scaled inputs over the training rows."""
+    scaled = pipelines.scaled_features(COLUMNS).fit(ws.train_matrix()).transform(ws.train_matrix())
+    values = scaled.select(F.posexplode(vector_to_array("scaled")).alias("position", "value"))
+    return values.groupBy("position").agg(
+        F.round(F.abs(F.avg("value")), 6).alias("abs_mean"), F.round(F.stddev_samp("value"), 6).alias("std")
+    )
+
+
+@query
+def ols(ws):
+    return measured(ws, {"linear_regression": fitted_ols(ws).transform(ws.test_matrix())})
+
+
+@query
+def ridge_grid(ws):
+    """Mean validation error of each penalty, all inputs."""
+    moments = linear_search.block_moments(ws.train_matrix(), COLUMNS)
+    return grid_table(ws, linear_search.grid_scores(moments, pipelines.FULL_ALPHAS))
+
+
+@query
+def ridge(ws):
+    """The best penalty of the grid, refitted on all training rows."""
+    train = ws.train_matrix()
+    moments = linear_search.block_moments(train, COLUMNS)
+    alpha = linear_search.best_alpha(linear_search.grid_scores(moments, pipelines.FULL_ALPHAS))
+    rows, deviation = train.agg(F.count(F.lit(1)), F.stddev_pop(S.TARGET)).first()
+    model = pipelines.ridge_regression(COLUMNS, alpha, rows, deviation).fit(train)
+    return measured(ws, {"ridge_regression": model.transform(ws.test_matrix())})
+
+
+@query
+def cv_scores(ws):
+    """Validation mean and spread of the linear models, through the JSON sink and back."""
+    train = ws.train_matrix()
+    moments = linear_search.block_moments(train, COLUMNS)
+    alpha = linear_search.best_alpha(linear_search.grid_scores(moments, pipelines.FULL_ALPHAS))
+    folds = linear_search.fold_metrics(train, COLUMNS, moments).withColumn("model", F.lit("linear_regression"))
+    ridge_folds = linear_search.fold_metrics(train, COLUMNS, moments, alpha).withColumn("model", F.lit("ridge_regression"))
+    summary = metrics.fold_summary(folds.unionByName(ridge_folds), ["model"])
+    path = session.scratch_path(ws.spark, "scores.json")
+    sinks.write_json(summary, path)
+    return ws.spark.read.schema(summary.schema).json(path)
+
+
+@query
+def gbt(ws):
+    """Boosted trees, first preset, early stopping on the latest training block."""
+    return measured(ws, {"boosted_trees_a": fitted_trees(ws, "A").transform(ws.test_matrix())})
+
+
+@query
+def gbt_b(ws):
+    """The second preset, with a random forest for contrast."""
+    forest = pipelines.random_forest(COLUMNS, numTrees=20, maxDepth=7).fit(ws.train_matrix())
+    trees = fitted_trees(ws, "B").transform(ws.test_matrix())
+    return measured(ws, {"boosted_trees_b": trees, "random_forest": forest.transform(ws.test_matrix())})
+
+
+@query
+def gbt_search(ws):
+    """Random draws from the boosting space, validated on expanding windows."""
+    space = {**pipelines.BOOSTING_SPACE, "n_estimators": [3, 6]}
+    candidates = []
+    for draw in search.draws(space, 3):
+        name = ", ".join(f"{k}={v}" for k, v in draw.items())
+        candidates.append((name, pipelines.boosted_trees(COLUMNS, **pipelines.boosting_params(draw))))
+    return search.search(ws.train_matrix(), candidates, parallelism=3)
+
+
+@query
+def feature_importance(ws):
+    return pipelines.top_importance(fitted_trees(ws), ws.spark, 25)
+
+
+@query
+def mlp_bands(ws):
+    """The neural band model, with small layers."""
+    model = neural.fit_bands(ws.train_matrix(), COLUMNS, bands=8, hidden=[32, 16], max_iter=40)
+    return measured(ws, {"neural_bands": model.transform(ws.test_matrix())})
+
+
+@query
+def model_roundtrip(ws):
+    """Metrics of a model before saving and after loading, with its own input count."""
+    root = session.scratch_path(ws.spark, "models")
+    model = fitted_ols(ws)
+    store.save_model(model, root, "linear_regression")
+    loaded = store.load_model(ws.spark, root, "linear_regression")
+    result = measured(ws, {"saved": model.transform(ws.test_matrix()), "loaded": loaded.transform(ws.test_matrix())})
+    return result.withColumn("inputs", F.lit(len(store.input_columns(loaded))))
+
+
+@query
+def score_batch(ws):
+    """Batch scoring of requests with boosted trees."""
+    predictor = scoring.model_predictor(fitted_trees(ws), COLUMNS)
+    return scoring.score(valid_requests(ws), ws.artifacts, predictor, "boosted_trees", ["event_id"])
+
+
+@query
+def stream_score(ws):
+    """Stream scoring of the same requests with linear regression."""
+    return run_stream(ws, scoring.model_predictor(fitted_ols(ws), COLUMNS), "linear_regression")

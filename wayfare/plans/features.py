@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfare import schema as S
+from wayfare import session
 from wayfare.functions import trip
 from wayfare.functions.time import with_cyclic_features, with_time_features
 from wayfare.operators import lookup, profiling
@@ -65,8 +66,7 @@ class Artifacts:
     avg_speed_mph: float
 
     def scalars(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(
-            [(float(self.global_mean), float(self.avg_speed_mph))], "global_mean double, avg_speed_mph double"
+        return session.literal_rows(spark, [(float(self.global_mean), float(self.avg_speed_mph))], "global_mean double, avg_speed_mph double"
         )
 
     def save(self, path: str) -> None:

@@ -515,6 +515,24 @@ SQL = {
       NULL AS reject_reason FROM scored
       UNION ALL SELECT event_id, NULL, NULL, NULL, pickup_datetime, reject_reason FROM checked WHERE reject_reason IS NOT NULL""",
 }
+SQL["ols_1d"] = """SELECT count(*) AS rows, round(regr_slope(trip_duration_minutes, trip_distance), 9) AS slope,
+      round(regr_intercept(trip_duration_minutes, trip_distance), 9) AS intercept FROM train"""
+SQL["cv_ols_1d"] = """SELECT block, count(*) AS rows, round(sqrt(avg((y - p) * (y - p))), 6) AS RMSE,
+      round(avg(abs(y - p)), 6) AS MAE, round(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)), 6) AS R2
+      FROM (SELECT b.block, trip_duration_minutes AS y, greatest(intercept + slope * trip_distance, 0) AS p
+        FROM blocks b JOIN (SELECT h.block, regr_slope(t.trip_duration_minutes, t.trip_distance) AS slope,
+            regr_intercept(t.trip_duration_minutes, t.trip_distance) AS intercept
+          FROM blocks t JOIN (SELECT DISTINCT block FROM blocks WHERE block > 0) h ON t.block < h.block GROUP BY h.block) f
+        ON b.block = f.block) GROUP BY block"""
+SQL["ridge_grid_1d"] = """SELECT alpha, round(m, 6) AS RMSE_mean, m = min(m) OVER () AS is_best
+      FROM (SELECT alpha, avg(rmse) AS m FROM (SELECT alpha, block, sqrt(avg((y - p) * (y - p))) AS rmse
+        FROM (SELECT alpha, b.block, trip_duration_minutes AS y,
+            ybar + slope * f.n / (f.n + alpha) * (trip_distance - xbar) AS p
+          FROM blocks b JOIN (SELECT h.block, count(*) AS n, avg(t.trip_distance) AS xbar, avg(t.trip_duration_minutes) AS ybar,
+              regr_slope(t.trip_duration_minutes, t.trip_distance) AS slope
+            FROM blocks t JOIN (SELECT DISTINCT block FROM blocks WHERE block > 0) h ON t.block < h.block GROUP BY h.block) f
+          ON b.block = f.block, (SELECT unnest([0.01::DOUBLE, 0.1, 1.0, 10.0, 100.0, 1000.0]) AS alpha))
+        GROUP BY alpha, block) GROUP BY alpha)"""
 SQL["peak_hours"] = f"WITH_H({mean_by('hour', 'hour(tpep_pickup_datetime)')})" + SQL["peak_hours"]
 SQL["err_extremes"] = "WITH_E(" + error_by("CAST(hour AS INTEGER) AS hour") + " GROUP BY 1)" + SQL["err_extremes"]
 

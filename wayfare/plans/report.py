@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame
 
+from wayfare import session
 from wayfare.operators import metrics
 
 
@@ -30,4 +31,4 @@ def markdown_report(board: DataFrame, title: str = "Model evaluation") -> str:
 def write_report(board: DataFrame, path: str, title: str = "Model evaluation") -> None:
     spark = board.sparkSession
     lines = markdown_report(board, title).splitlines()
-    spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1).write.mode("overwrite").text(path)
+    session.literal_rows(spark, [(line,) for line in lines], "value string").coalesce(1).write.mode("overwrite").text(path)

@@ -4,7 +4,9 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def build_session(app_name: str = "wayfare", master: str | None = None, **conf) -> SparkSession:
@@ -45,3 +47,10 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the scratch folder; no two calls return the same one."""
     return os.path.join(scratch_root(spark), f"wayfare-{uuid.uuid4().hex[:12]}", name)
+
+
+def literal_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A handful of driver-side values as a table, held in the plan itself."""
+    fields = StructType.fromDDL(schema).fields
+    entries = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for f, v in zip(fields, row)]) for row in rows]
+    return spark.range(1, numPartitions=1).select(F.inline(F.array(*entries)))

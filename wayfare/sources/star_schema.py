@@ -30,11 +30,11 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
     )
     part, supp, line, order = (F.col(c) for c in ("l_partkey", "l_suppkey", "l_linenumber", "l_orderkey"))
-    pickup = F.col("o_orderdate") + F.make_dt_interval(mins=((part * 7 + line * 131) % 1440).cast("int"))
+    pickup = F.timestamp_add("MINUTE", ((part * 7 + line * 131) % 1440).cast("int"), F.col("o_orderdate"))
     seconds = (F.col("l_quantity") * 240).cast("int") + (part % 600 - 300).cast("int")
     shaped = joined.select(
         pickup.alias(S.PICKUP),
-        (pickup + F.make_dt_interval(secs=seconds)).alias(S.DROPOFF),
+        F.timestamp_add("SECOND", seconds, pickup).alias(S.DROPOFF),
         (F.col("s_nationkey") * 11).cast("int").alias(S.PU),
         (F.col("c_nationkey") * 11).cast("int").alias(S.DO),
         F.round(F.col("l_quantity") * F.col("l_discount") * 25, 2).alias(S.DISTANCE),
