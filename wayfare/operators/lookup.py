@@ -1,24 +1,10 @@
-"""Left joins to small lookup tables, with the size of what is broadcast checked first."""
+"""Left joins to lookup tables whose size is bounded before they are broadcast."""
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wayfare import schema as S
 
-# A route lookup over the full zone domain: 265 x 265 rows of a few numbers, about 3 MB.
-MAX_BROADCAST_ROWS = 100_000
-
-
-def bounded(lookup: DataFrame, keys: list[str], max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only when the lookup is known to be small; otherwise let Spark choose.
-
-    The check counts the lookup, stopping one row past the limit. Beyond the limit the join still
-    runs in full, as a shuffle join with adaptive skew handling.
-    """
-    size = lookup.select(*keys).limit(max_rows + 1).count()
-    return F.broadcast(lookup) if size <= max_rows else lookup
-
-
 def zone_keyed(lookup: DataFrame, *zone_columns: str) -> DataFrame:
     """Hint a broadcast of a lookup holding one row per zone, or per pair of zones.
 

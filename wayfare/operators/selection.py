@@ -7,7 +7,9 @@ counts, at most ``BINS`` per bracket, and rows are never shuffled: counts merge
 shared by a third of all rows costs no more than any other, since it is one entry in one bin.
 """
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -103,28 +105,56 @@ def exact_quantiles(df: DataFrame, column: Column, probabilities: list[float]) -
     return result
 
 
-def row_cuts(df: DataFrame, order: list[Column], ranks: list[int]) -> list[list]:
-    """Leading sort-key values of the row at each rank, under a multi-column ascending order.
+@dataclass(frozen=True)
+class SortKey:
+    """One ascending sort column: as stored, and as a number for rank selection.
+
+    Cuts compare the stored column with a literal, so they reach the scan as pushed filters. Both
+    must never be null.
+    """
+
+    column: Column
+    number: Column
+    literal: Callable[[object], Column] = F.lit
+
+    @staticmethod
+    def of(column: Column) -> "SortKey":
+        return SortKey(column, column)
+
+    @staticmethod
+    def timestamp(name: str) -> "SortKey":
+        """A zone-free timestamp column, numbered in microseconds since 1970."""
+        start = datetime(1970, 1, 1)
+        number = F.timestamp_diff("MICROSECOND", _moment(start), F.col(name))
+        return SortKey(F.col(name), number, lambda us: _moment(start + timedelta(microseconds=us)))
+
+
+def _moment(value: datetime) -> Column:
+    return F.lit(value.isoformat(" ")).cast("timestamp_ntz")
+
+
+def row_cuts(df: DataFrame, order: list[SortKey], ranks: list[int], bounds=None) -> list[list]:
+    """Leading sort-key numbers of the row at each rank, under a multi-column ascending order.
 
     A returned key may be shorter than ``order``: it stops as soon as it separates the rows before
-    the rank from the rest. All order columns must be numeric and never null. Rows equal on every
-    order column are one unit and stay on the upper side of a cut.
+    the rank from the rest. Rows equal on every sort column are one unit and stay on the upper side
+    of a cut. ``bounds`` is (count, min, max) of the first number where already known.
     """
-    first = locate_ranks(df, order[0], ranks)
+    first = locate_ranks(df, order[0].number, ranks, bounds)
     cuts = []
     for rank in ranks:
         spot, group, key = first[rank], df, []
         residual = rank
-        for depth, column in enumerate(order):
+        for depth, item in enumerate(order):
             if depth:
-                spot = locate_ranks(group, column, [residual])[residual]
+                spot = locate_ranks(group, item.number, [residual])[residual]
             key.append(spot.value)
             residual -= spot.below
             if residual == 0 or depth == len(order) - 1:
                 break
-            group = group.filter(column == F.lit(spot.value))
+            group = group.filter(item.column == item.literal(spot.value))
             if spot.equal <= SMALL_GROUP:
-                rest = [c.alias(f"k{i}") for i, c in enumerate(order[depth + 1 :])]
+                rest = [k.number.alias(f"k{i}") for i, k in enumerate(order[depth + 1 :])]
                 row = group.select(*rest).sort(*[f"k{i}" for i in range(len(rest))]).offset(residual).first()
                 key.extend(row)
                 break
@@ -132,10 +162,10 @@ def row_cuts(df: DataFrame, order: list[Column], ranks: list[int]) -> list[list]
     return cuts
 
 
-def at_or_after(order: list[Column], key: list) -> Column:
-    """True for rows whose leading order columns are lexicographically >= the key."""
+def at_or_after(order: list[SortKey], key: list) -> Column:
+    """True for rows whose leading sort columns are lexicographically >= the key."""
     result = None
-    for column, value in reversed(list(zip(order, key))):
-        bound = F.lit(value)
-        result = (column >= bound) if result is None else (column > bound) | ((column == bound) & result)
+    for item, value in reversed(list(zip(order, key))):
+        bound = item.literal(value)
+        result = (item.column >= bound) if result is None else (item.column > bound) | ((item.column == bound) & result)
     return result

@@ -1,10 +1,10 @@
 """Time-ordered splits: train/test by cut-off, and expanding-window validation blocks."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wayfare import schema as S
-from wayfare.operators.selection import at_or_after, row_cuts
+from wayfare.operators.selection import SortKey, at_or_after, count_and_range, row_cuts
 
 
 def by_cutoff(df: DataFrame, cutoff: str) -> tuple[DataFrame, DataFrame]:
@@ -22,21 +22,14 @@ def by_cutoff(df: DataFrame, cutoff: str) -> tuple[DataFrame, DataFrame]:
     return df.filter(before), df.filter(after)
 
 
-def micros(ts: str) -> Column:
-    """Microseconds since 1970 of a zone-free timestamp, for ordering."""
-    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(ts))
-
-
-def trip_order() -> list[Column]:
+def trip_order() -> list[SortKey]:
     """Pickup time, then every other trip column, as a total order on distinct cleaned trips."""
-    numbers = [S.DISTANCE, S.FARE, S.TOTAL, S.PASSENGERS, S.RATE, S.PAYMENT]
+    numbers = [S.PU, S.DO, S.DISTANCE, S.FARE, S.TOTAL, S.PASSENGERS, S.RATE, S.PAYMENT]
     return [
-        micros(S.PICKUP),
-        micros(S.DROPOFF),
-        F.col(S.PU),
-        F.col(S.DO),
-        *[F.col(c) for c in numbers],
-        (F.col(S.FLAG) == "Y").cast("int"),
+        SortKey.timestamp(S.PICKUP),
+        SortKey.timestamp(S.DROPOFF),
+        *[SortKey.of(F.col(c)) for c in numbers],
+        SortKey.of((F.col(S.FLAG) == "Y").cast("int")),
     ]
 
 
@@ -48,13 +41,14 @@ def fold_ranks(n: int, k: int) -> list[int]:
     return [n - (k - i) * size for i in range(k)]
 
 
-def with_time_blocks(df: DataFrame, k: int = 5, order: list[Column] | None = None) -> DataFrame:
+def with_time_blocks(df: DataFrame, k: int = 5, order: list[SortKey] | None = None) -> DataFrame:
     """Add ``block`` 0..k: fold i trains on blocks <= i and validates on block i + 1.
 
     Only the k cut rows are looked up; the block itself is then a comparison with k literals. No
     row numbers, no global sort, no shuffle, and a moment shared by many trips is split exactly.
     """
     order = order or trip_order()
-    cuts = row_cuts(df, order, fold_ranks(df.count(), k))
+    bounds = count_and_range(df, order[0].number)
+    cuts = row_cuts(df, order, fold_ranks(bounds[0], k), bounds)
     block = sum((at_or_after(order, cut).cast("int") for cut in cuts), F.lit(0))
     return df.withColumn("block", block)
