@@ -19,7 +19,7 @@ def spark():
     session = build_session(
         "wayfare-tests",
         "local[8]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"},
+        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g", "spark.sql.maxMetadataStringLength": "100000"},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -30,6 +30,17 @@ def test_sub_second_duration(one_trip):
     assert durations(one_trip(0.001)) == [0.001]
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_durations_ignore_the_session_time_zone(spark, one_trip, zone):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        # starts inside the hour that New York's clocks skip
+        row = trip.with_duration(one_trip(45.5, **{S.PICKUP: moment("2025-03-09 02:15")})).first()
+        assert (row[S.TARGET], row[S.SECONDS]) == (45.5, 2730)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def kept(df, **options):
     return prepare.prepare(df, **options).count()
 

@@ -12,6 +12,32 @@ DAY_LABELS = ["Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun"]
 MONTH_LABELS = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
 
 
+EPOCH = "1970-01-01 00:00:00"
+
+
+def moment(text: str) -> Column:
+    """A zone-free timestamp literal."""
+    return F.lit(text).cast("timestamp_ntz")
+
+
+def seconds_between(start: Column, end: Column) -> Column:
+    """Whole seconds, as a bigint. Zone-free times subtract without any time zone."""
+    return (end - start).cast("interval second").cast("bigint")
+
+
+def exact_seconds_between(start: Column, end: Column) -> Column:
+    """Seconds with their microseconds, as a decimal."""
+    return (end - start).cast("interval second").cast("decimal(20,6)")
+
+
+def epoch_seconds(ts: Column) -> Column:
+    return seconds_between(moment(EPOCH), ts)
+
+
+def epoch_micros(ts: Column) -> Column:
+    return (exact_seconds_between(moment(EPOCH), ts) * 1_000_000).cast("bigint")
+
+
 def is_rush_hour(hour: Column) -> Column:
     return (hour.between(7, 9) | hour.between(16, 19)).cast("int")
 

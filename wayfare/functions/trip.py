@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayfare import schema as S
+from wayfare.functions import time as calendar
 
 RATE_LABELS = {1: "Standard", 2: "JFK", 3: "Newark", 4: "Nassau/Westchester", 5: "Negotiated", 6: "Group"}
 
@@ -32,12 +33,12 @@ def parse_timestamp(value: Column) -> Column:
 
 def duration_minutes(start: Column, end: Column) -> Column:
     """Signed minutes from start to end."""
-    return F.timestamp_diff("MICROSECOND", start, end) / F.lit(60_000_000.0)
+    return calendar.exact_seconds_between(start, end).cast("double") / F.lit(60.0)
 
 
 def duration_seconds(start: Column, end: Column) -> Column:
     """Whole seconds from start to end. Integers sum to the same total in any order."""
-    return F.timestamp_diff("SECOND", start, end)
+    return calendar.seconds_between(start, end)
 
 
 def with_duration(df: DataFrame) -> DataFrame:

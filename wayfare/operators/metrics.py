@@ -59,26 +59,23 @@ def evaluate_models(
 
 def leaderboard(metrics: DataFrame, baseline: str = "baseline") -> DataFrame:
     """Models by RMSE, with gains over the baseline and the best trained model flagged."""
-    others = F.when(F.col("model") != baseline, F.struct("RMSE", "model"))
-    reference = metrics.agg(
-        F.max(F.when(F.col("model") == baseline, F.col("RMSE"))).alias("_rmse"),
-        F.max(F.when(F.col("model") == baseline, F.col("MAE"))).alias("_mae"),
-        F.max(F.when(F.col("model") == baseline, F.col("R2"))).alias("_r2"),
-        F.min(others).getField("model").alias("_best"),
-    ).withColumn("_one", F.lit(1))
-    # a handful of metric rows, one per model, meets a single reference row
-    return (
-        metrics.withColumn("_one", F.lit(1))
-        .join(F.broadcast(reference), "_one")
-        .select(
-            *metrics.columns,
-            F.round((F.col("_rmse") - F.col("RMSE")) / F.col("_rmse") * 100, 4).alias("rmse_gain_pct"),
-            F.round((F.col("_mae") - F.col("MAE")) / F.col("_mae") * 100, 4).alias("mae_gain_pct"),
-            F.round(F.col("R2") - F.col("_r2"), 4).alias("r2_gain"),
-            F.coalesce(F.col("model") == F.col("_best"), F.lit(False)).alias("is_best"),
-        )
-        .orderBy("RMSE", "model")
+    is_base = F.col("model") == baseline
+    # one row per model, so the list stays as short as the board
+    gathered = metrics.agg(
+        F.collect_list(F.struct(*metrics.columns)).alias("rows"),
+        *[F.max(F.when(is_base, F.col(m))).alias(f"base_{m}") for m in ("RMSE", "MAE", "R2")],
+        F.min(F.when(~is_base, F.struct("RMSE", "model"))).getField("model").alias("best"),
+    )
+    board = gathered.select(F.explode("rows").alias("m"), "base_RMSE", "base_MAE", "base_R2", "best").select(
+        "m.*", "base_RMSE", "base_MAE", "base_R2", "best"
     )
+    return board.select(
+        *metrics.columns,
+        F.round((F.col("base_RMSE") - F.col("RMSE")) / F.col("base_RMSE") * 100, 4).alias("rmse_gain_pct"),
+        F.round((F.col("base_MAE") - F.col("MAE")) / F.col("base_MAE") * 100, 4).alias("mae_gain_pct"),
+        F.round(F.col("R2") - F.col("base_R2"), 4).alias("r2_gain"),
+        F.coalesce(F.col("model") == F.col("best"), F.lit(False)).alias("is_best"),
+    ).orderBy("RMSE", "model")
 
 
 def success_criteria(board: DataFrame, baseline: str = "baseline") -> DataFrame:

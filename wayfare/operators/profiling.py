@@ -156,20 +156,21 @@ def box_stats(df: DataFrame, *keys: str, factor: float = 1.5) -> DataFrame:
     """Quartiles and whiskers of cleaned durations, in minutes, overall or per key.
 
     Whiskers are the outermost values within ``factor`` x IQR of the quartiles. Both steps run on
-    the counts per second, not on trips; the second one reuses the shuffle of the first.
+    the counts per second, not on trips; with keys, the second one reuses the shuffle of the first.
     """
-    s = F.col(S.SECONDS)
-    group = list(keys) or ["_all"]
-    counts = second_counts(df.withColumn("_all", F.lit(0)), *group)
-    quartiles = counts.groupBy(*group).agg(
-        F.percentile(s, [0.25, 0.5, 0.75], F.col("n")).alias("q"), F.sum("n").alias("trips")
-    )
+    s, n = F.col(S.SECONDS), F.col("n")
+    counts = second_counts(df, *keys)
+    quartiles = counts.groupBy(*keys).agg(F.percentile(s, [0.25, 0.5, 0.75], n).alias("q"), F.sum(n).alias("trips"))
+    if keys:
+        counts = counts.join(quartiles, list(keys))
+    else:
+        whole = quartiles.first()
+        q = F.array(*[F.lit(v).cast("double") for v in whole.q or [None] * 3])
+        counts = counts.withColumns({"q": q, "trips": F.lit(whole.trips).cast("bigint")})
     reach = (F.col("q")[2] - F.col("q")[0]) * factor
     inside = s.between(F.col("q")[0] - reach, F.col("q")[2] + reach)
-    boxes = (
-        counts.join(quartiles, group)
-        .groupBy(*group, "q", "trips")
-        .agg(F.min(F.when(inside, s)).alias("low"), F.max(F.when(inside, s)).alias("high"))
+    boxes = counts.groupBy(*keys, "q", "trips").agg(
+        F.min(F.when(inside, s)).alias("low"), F.max(F.when(inside, s)).alias("high")
     )
     return boxes.select(
         *keys,

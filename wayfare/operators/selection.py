@@ -15,8 +15,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wayfare.functions.time import epoch_micros, moment
+
 BINS = 4096
 SMALL_GROUP = 10_000
+SMALLEST = 5e-324
 
 
 @dataclass(frozen=True)
@@ -28,8 +31,17 @@ class Located:
     equal: int
 
 
+def _values(df: DataFrame, column: Column) -> DataFrame:
+    """The column as ``x``, with NaN as missing."""
+    values = df.select(column.alias("x"))
+    if values.schema["x"].dataType.typeName() in ("double", "float"):
+        values = values.select(F.when(~F.isnan("x"), F.col("x")).alias("x"))
+    return values
+
+
 def count_and_range(df: DataFrame, column: Column) -> tuple[int, object, object]:
-    row = df.select(column.alias("x")).agg(F.count("x").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).first()
+    """Count, least and greatest of the values that are present."""
+    row = _values(df, column).agg(F.count("x").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).first()
     return row.n, row.lo, row.hi
 
 
@@ -41,7 +53,7 @@ def locate_ranks(
     ``bounds`` is (count, min, max) of the column where the caller already knows them. A bracket
     of at most ``small`` rows is finished by reading its value counts instead of narrowing on.
     """
-    values = df.select(column.alias("x"))
+    values = _values(df, column)
     n, lo, hi = bounds or count_and_range(df, column)
     found: dict[int, Located] = {}
     for rank in ranks:
@@ -65,7 +77,9 @@ def locate_ranks(
         which, slot = F.lit(None).cast("int"), F.lit(None).cast("int")
         for i, (lo, hi, _, _) in enumerate(brackets):
             hit = F.col("x").between(lo, hi)
-            offset = (F.col("x") - F.lit(lo)).cast("double") / F.lit((float(hi) - float(lo)) / bins)
+            # integers subtract exactly; the width never rounds to zero
+            width = max(float(hi - lo) / bins, SMALLEST)
+            offset = (F.col("x") - F.lit(lo)).cast("double") / F.lit(width)
             which = F.when(hit, i).otherwise(which)
             slot = F.when(hit, F.least(F.floor(offset).cast("int"), F.lit(bins - 1))).otherwise(slot)
         if last:  # one bin per distinct value
@@ -124,13 +138,11 @@ class SortKey:
     @staticmethod
     def timestamp(name: str) -> "SortKey":
         """A zone-free timestamp column, numbered in microseconds since 1970."""
-        start = datetime(1970, 1, 1)
-        number = F.timestamp_diff("MICROSECOND", _moment(start), F.col(name))
-        return SortKey(F.col(name), number, lambda us: _moment(start + timedelta(microseconds=us)))
 
+        def literal(micros: int) -> Column:
+            return moment((datetime(1970, 1, 1) + timedelta(microseconds=micros)).isoformat(" "))
 
-def _moment(value: datetime) -> Column:
-    return F.lit(value.isoformat(" ")).cast("timestamp_ntz")
+        return SortKey(F.col(name), epoch_micros(F.col(name)), literal)
 
 
 def row_cuts(df: DataFrame, order: list[SortKey], ranks: list[int], bounds=None) -> list[list]:

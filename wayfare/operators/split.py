@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wayfare import schema as S
+from wayfare.functions.time import moment
 from wayfare.operators.selection import SortKey, at_or_after, count_and_range, row_cuts
 
 
@@ -13,12 +14,11 @@ def by_cutoff(df: DataFrame, cutoff: str) -> tuple[DataFrame, DataFrame]:
     On a table partitioned by pickup year and month, the matching predicate on the partition
     columns prunes whole months on either side.
     """
-    moment = F.lit(cutoff).cast("timestamp_ntz")
-    before, after = F.col(S.PICKUP) < moment, F.col(S.PICKUP) >= moment
+    edge = moment(cutoff)
+    before, after = F.col(S.PICKUP) < edge, F.col(S.PICKUP) >= edge
     if {"year", "month"} <= set(df.columns):
-        month = F.col("year") * 12 + F.col("month")
-        edge = F.year(moment) * 12 + F.month(moment)
-        before, after = before & (month <= edge), after & (month >= edge)
+        month, edge_month = (F.col("year") * 12 + F.col("month"), F.year(edge) * 12 + F.month(edge))
+        before, after = before & (month <= edge_month), after & (month >= edge_month)
     return df.filter(before), df.filter(after)
 
 

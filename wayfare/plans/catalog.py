@@ -59,10 +59,9 @@ def trip_key() -> Column:
     def whole(column, scale):
         return F.round(F.col(column) * scale).cast("bigint")
 
-    seconds = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     return F.concat_ws(
         "|",
-        F.timestamp_diff("SECOND", seconds, F.col(S.PICKUP)),
+        calendar.epoch_seconds(F.col(S.PICKUP)),
         S.SECONDS,
         S.PU,
         S.DO,

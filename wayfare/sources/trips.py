@@ -41,38 +41,15 @@ def source_month_columns(pattern: str = MONTH_IN_FILE_NAME) -> dict:
     }
 
 
-def read_months(
-    spark: SparkSession,
-    root: str,
-    months: list[Month],
-    columns: list[str] = S.TRIP_COLUMNS,
-    with_source: bool = False,
-) -> DataFrame:
-    """Read the monthly files that exist, only the given columns, as one table.
-
-    The month list becomes one glob, so missing months drop out at listing time without a driver
-    loop; no match at all is an error.
-    """
-    pattern = "{" + ",".join(f"{y:04d}-{m:02d}" for y, m in months) + "}"
-    path = f"{root.rstrip('/')}/yellow_tripdata_{pattern}.parquet"
-    wanted = T.StructType([S.TRIP_SCHEMA[c] for c in columns])
-    try:
-        df = spark.read.schema(wanted).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            raise FileNotFoundError(f"no trip files for the given months in {root}") from error
-        raise
-    return df.withColumns(source_month_columns()) if with_source else df
-
-
-def conform(df: DataFrame, columns: list[str] = S.TRIP_COLUMNS) -> DataFrame:
-    """Cast a trip table to the engine types; columns it lacks become null."""
+def conform(df: DataFrame, columns: list[str] = S.TRIP_COLUMNS, keep: list[str] = []) -> DataFrame:
+    """Cast a trip table to the engine types; columns it lacks become null, kept ones stay as is."""
     present = set(df.columns)
     return df.select(
         *[
             (F.col(c) if c in present else F.lit(None)).cast(S.TRIP_SCHEMA[c].dataType).alias(c)
             for c in columns
-        ]
+        ],
+        *keep,
     )
 
 
@@ -83,6 +60,47 @@ def union_months(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [conform(f) for f in frames])
 
 
+def _existing(read, path: str) -> DataFrame | None:
+    try:
+        return read(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def read_months(
+    spark: SparkSession,
+    root: str,
+    months: list[Month],
+    columns: list[str] = S.TRIP_COLUMNS,
+    with_source: bool = False,
+    uniform: bool = False,
+) -> DataFrame:
+    """Read the monthly files that exist, only the given columns, as one table in the engine types.
+
+    Missing months drop out; no month at all is an error. Published months disagree on types, such
+    as integer or floating passenger counts, so each month is read by its own footer and cast, and
+    the plan is a union of pruned scans. With ``uniform`` files, all known to hold the engine types,
+    the months become one glob and one scan.
+    """
+    if uniform:
+        wanted = T.StructType([S.TRIP_SCHEMA[c] for c in columns])
+        pattern = "{" + ",".join(f"{y:04d}-{m:02d}" for y, m in months) + "}"
+        paths, read = [f"{root.rstrip('/')}/yellow_tripdata_{pattern}.parquet"], spark.read.schema(wanted).parquet
+    else:
+        paths, read = month_paths(root, months), spark.read.parquet
+    found = [df for df in (_existing(read, path) for path in paths) if df is not None]
+    if not found:
+        raise FileNotFoundError(f"no trip files for the given months in {root}")
+    if with_source:
+        source = source_month_columns()
+        frames = [conform(df.withColumns(source), columns, list(source)) for df in found]
+    else:
+        frames = [conform(df, columns) for df in found]
+    return reduce(lambda a, b: a.unionByName(b), frames)
+
+
 def read_trip_table(
     spark: SparkSession,
     path: str,
