@@ -40,7 +40,7 @@ def test_moments_add_up(data, arrays):
     whole = sum(parts[1:], parts[0])
     full = np.column_stack([x, y])
     centred = full - full.mean(0)
-    assert whole.rows == 400
+    assert whole.rows == 400 and len(parts) == 4
     assert np.allclose(whole.mean, full.mean(0)) and np.allclose(whole.scatter, centred.T @ centred)
 
 

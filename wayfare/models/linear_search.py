@@ -9,8 +9,8 @@ moments, so the grid search itself needs no further pass.
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation, Summarizer
+from pyspark.ml.feature import PolynomialExpansion, StandardScaler, VectorAssembler
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,20 +35,41 @@ class Moments:
 
 
 def block_moments(df: DataFrame, columns: list[str], label: str = S.TARGET, block: str = "block") -> dict[int, Moments]:
-    """Moments of each time block. Only a matrix of input pairs per block reaches the driver."""
-    vectors = VectorAssembler(inputCols=[*columns, label], outputCol="v").transform(df).select(block, "v")
-    summary = vectors.groupBy(block).agg(Summarizer.metrics("count", "mean", "std").summary(F.col("v")).alias("s"))
+    """Moments of each time block, in two passes whatever the number of blocks.
+
+    The first pass standardises inputs and label over all rows, which keeps the sums well
+    conditioned; the second averages every product of two of them per block. Buffers merge
+    map-side, and only one matrix of input pairs per block reaches the driver.
+    """
+    assembler = VectorAssembler(inputCols=[*columns, label], outputCol="raw")
+    vectors = assembler.transform(df).select(block, "raw")
+    scaler = StandardScaler(inputCol="raw", outputCol="z", withMean=True, withStd=True).fit(vectors)
+    products = PolynomialExpansion(degree=2, inputCol="z", outputCol="p").transform(scaler.transform(vectors))
+    summary = products.groupBy(block).agg(Summarizer.metrics("count", "mean").summary(F.col("p")).alias("s"))
+    centre, spread = scaler.mean.toArray(), scaler.std.toArray()
     result = {}
     for row in summary.collect():  # one row per block
-        deviation = row.s["std"].toArray()
+        means, pairs = _unpack(row.s["mean"].toArray(), len(columns) + 1)
         rows = int(row.s["count"])
-        within = vectors.filter(F.col(block) == row[block])
-        # a constant input has no correlation; its cross products are zero
-        correlation = np.nan_to_num(Correlation.corr(within, "v").first()[0].toArray())
-        result[row[block]] = Moments(rows, row.s["mean"].toArray(), correlation * np.outer(deviation, deviation) * (rows - 1))
+        scatter = (pairs - np.outer(means, means)) * rows
+        result[row[block]] = Moments(rows, centre + means * spread, scatter * np.outer(spread, spread))
     return result
 
 
+def _unpack(expanded: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Split a degree-two expansion into the values and the matrix of their products.
+
+    Its order is x0, x0 x0, x1, x0 x1, x1 x1, x2, ...: each value, then its products with the
+    values up to itself.
+    """
+    values, pairs, place = np.empty(size), np.empty((size, size)), 0
+    for j in range(size):
+        values[j] = expanded[place]
+        pairs[: j + 1, j] = pairs[j, : j + 1] = expanded[place + 1 : place + 2 + j]
+        place += j + 2
+    return values, pairs
+
+
 @dataclass(frozen=True)
 class Line:
     weights: np.ndarray

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.operators.selection import count_and_range, locate_ranks
+from wayfare.operators.selection import locate_ranks
 
 HASH_DIGITS = 15  # 60 bits of the digest, as a positive bigint
 
@@ -22,10 +22,10 @@ def sample_rows(df: DataFrame, n: int, key: Column, seed: int = 42) -> DataFrame
     cut-off position, as many are taken as the sample still needs. A smaller table comes back whole.
     """
     position = hash_position(key, seed)
-    size, low, high = count_and_range(df, position)
+    size = df.count()
     if size <= n:
         return df
-    cut = locate_ranks(df, position, [n], (size, low, high))[n]
+    cut = locate_ranks(df, position, [n], (size, 0, 16**HASH_DIGITS - 1))[n]
     below = df.filter(position < F.lit(cut.value))
     if cut.below == n:
         return below

@@ -16,7 +16,7 @@ from wayfare.functions import trip
 from wayfare.models import linear_search, neural, pipelines, search, store
 from wayfare.operators import impute as imputing
 from wayfare.operators import metrics, profiling, quality, sampling, split
-from wayfare.plans import features, prepare, scoring
+from wayfare.plans import features, prepare, report, scoring
 from wayfare.plans.workspace import Workspace, workspace
 from wayfare.sources import sinks, star_schema, trips, zones
 from wayfare.streaming import scoring as streaming
@@ -30,7 +30,8 @@ SIMPLE_MODELS = {
     "route_median": "route_median_duration",
 }
 PREDICTED = "route_mean_duration"
-FIRST_MONTHS = trips.months_between((1998, 11), (1999, 2))
+# Some of these months have no trips; a read skips them.
+MONTHS = trips.months_between((1994, 1), (2002, 12))
 
 
 def query(function):
@@ -57,7 +58,7 @@ def trip_key() -> Column:
     """Text that tells cleaned trips apart, from integers only."""
 
     def whole(column, scale):
-        return F.round(F.col(column) * scale).cast("bigint")
+        return F.rint(F.col(column) * scale).cast("bigint")
 
     return F.concat_ws(
         "|",
@@ -79,9 +80,9 @@ def trip_key() -> Column:
 
 @query
 def scan_trips(ws):
-    """Chosen months, chosen columns."""
+    """Every catalogued month that exists, chosen columns."""
     ws.raw()
-    return trips.read_trip_table(ws.spark, ws.path("raw"), FIRST_MONTHS, with_keys(S.DISTANCE, S.FARE))
+    return trips.read_trip_table(ws.spark, ws.path("raw"), MONTHS, with_keys(S.DISTANCE, S.FARE))
 
 
 @query
@@ -94,11 +95,12 @@ def scan_source_month(ws):
 
 @query
 def union_months(ws):
-    """Two months whose columns drifted: one without totals, one with integer passengers."""
+    """Earlier and later months whose columns drifted: no totals, then integer passengers."""
     ws.raw()
-    first = trips.read_trip_table(ws.spark, ws.path("raw"), [(1997, 5)], S.TRIP_COLUMNS).drop(S.TOTAL)
-    second = trips.read_trip_table(ws.spark, ws.path("raw"), [(1997, 6)], S.TRIP_COLUMNS)
-    return trips.union_months([first, second.withColumn(S.PASSENGERS, F.col(S.PASSENGERS).cast("int"))])
+    early, late = ([m for m in MONTHS if (m[0] < 1998) == first] for first in (True, False))
+    before = trips.read_trip_table(ws.spark, ws.path("raw"), early, S.TRIP_COLUMNS).drop(S.TOTAL)
+    after = trips.read_trip_table(ws.spark, ws.path("raw"), late, S.TRIP_COLUMNS)
+    return trips.union_months([before, after.withColumn(S.PASSENGERS, F.col(S.PASSENGERS).cast("int"))])
 
 
 @query
@@ -459,6 +461,15 @@ def success_criteria(ws):
     return metrics.success_criteria(board)
 
 
+@query
+def model_report(ws):
+    """The markdown report, through the text sink and back."""
+    board = metrics.leaderboard(metrics.evaluate_models(ws.test_features(), S.TARGET, SIMPLE_MODELS))
+    path = session.scratch_path(ws.spark, "report")
+    report.write_report(board, path)
+    return ws.spark.read.text(path)
+
+
 @query
 def cv_baseline(ws):
     """Expanding-window scores of the constant-speed baseline, mean and spread over five folds."""

@@ -314,11 +314,11 @@ def error_by(keys: str) -> str:
 
 SQL = {
     "scan_trips": f"""SELECT {KEY}, trip_distance, fare_amount FROM raw
-      WHERE year(tpep_dropoff_datetime) * 100 + month(tpep_dropoff_datetime) BETWEEN 199811 AND 199902""",
+      WHERE year(tpep_dropoff_datetime) BETWEEN 1994 AND 2002""",
     "scan_source_month": """SELECT CAST(year(tpep_dropoff_datetime) AS INTEGER) AS source_year,
       CAST(month(tpep_dropoff_datetime) AS INTEGER) AS source_month, count(*) AS trips FROM raw GROUP BY 1, 2""",
-    "union_months": f"""SELECT * REPLACE (CASE WHEN month(tpep_dropoff_datetime) = 6 THEN total_amount END AS total_amount) FROM
-      (SELECT {TRIP} FROM raw WHERE year(tpep_dropoff_datetime) = 1997 AND month(tpep_dropoff_datetime) IN (5, 6))""",
+    "union_months": f"""SELECT {TRIP.replace('total_amount', 'CASE WHEN year(tpep_dropoff_datetime) >= 1998 THEN total_amount END AS total_amount')}
+      FROM raw WHERE year(tpep_dropoff_datetime) BETWEEN 1994 AND 2002""",
     "zone_volumes": """SELECT t.LocationID, trips, Borough, Zone, service_zone FROM
       (SELECT PULocationID AS LocationID, count(*) AS trips FROM clean GROUP BY 1) t LEFT JOIN zones USING (LocationID)""",
     "roundtrip_parquet": f"""SELECT {TRIP}, CAST(year(tpep_pickup_datetime) AS INTEGER) AS year,
@@ -515,6 +515,11 @@ SQL = {
       NULL AS reject_reason FROM scored
       UNION ALL SELECT event_id, NULL, NULL, NULL, pickup_datetime, reject_reason FROM checked WHERE reject_reason IS NOT NULL""",
 }
+SQL["scaled_features"] = " UNION ALL ".join(
+    f"""SELECT {i} AS position, 0.0::DOUBLE AS abs_mean,
+      CASE WHEN stddev_samp({c}) > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS std FROM train_features"""
+    for i, c in enumerate(features.FULL_FEATURES)
+)
 SQL["ols_1d"] = """SELECT count(*) AS rows, round(regr_slope(trip_duration_minutes, trip_distance), 9) AS slope,
       round(regr_intercept(trip_duration_minutes, trip_distance), 9) AS intercept FROM train"""
 SQL["cv_ols_1d"] = """SELECT block, count(*) AS rows, round(sqrt(avg((y - p) * (y - p))), 6) AS RMSE,

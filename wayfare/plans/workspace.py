@@ -92,7 +92,8 @@ class Workspace:
         blocks = split.with_time_blocks(self.train())
         train = features.matrix(self.featured(blocks), features.FULL_FEATURES, [S.TARGET, "block"])
         test = features.matrix(self.test_features(), features.FULL_FEATURES)
-        sinks.write_parquet(train, self.path("train_matrix"))
+        # trips are read month by month, so a task meets one block or two; folds then prune by block
+        sinks.write_parquet(train, self.path("train_matrix"), partition_by=("block",))
         sinks.write_parquet(test, self.path("test_matrix"))
         return True
 
