@@ -113,6 +113,16 @@ def test_audit_equals_cascaded_filters(ws, names, dedup):
     df.unpersist()
 
 
+def test_audit_of_a_large_group_of_copies(spark, one_trip):
+    """A third of the rows are one row, a third fail one rule, a third are distinct."""
+    copies = one_trip().crossJoin(spark.range(100)).drop("id")
+    bad = one_trip(**{S.FARE: -1.0}).crossJoin(spark.range(100)).drop("id")
+    others = one_trip().crossJoin(spark.range(100)).withColumn(S.TOTAL, F.col("id") + 100.0).drop("id")
+    audit = quality.filter_audit(trip.with_duration(copies.unionAll(bad).unionAll(others))).collect()
+    removed = {r.rule: r.removed for r in audit if r.removed}
+    assert removed == {"non_negative_fare": 100, "duplicate_rows": 99} and audit[-1].remaining == 101
+
+
 def test_wrong_year_rule(one_trip):
     filed = one_trip().withColumns({S.SOURCE_YEAR: F.lit(2024), S.SOURCE_MONTH: F.lit(12)})
     assert quality.wrong_year(filed).count() == 1

@@ -91,7 +91,7 @@ def test_serving_features_equal_training_features(spark, ws):
         F.col(S.PU).alias("pickup_location_id"),
         F.col(S.DO).alias("dropoff_location_id"),
         F.col(S.DISTANCE).cast("string").alias("trip_distance"),
-        F.date_format(S.PICKUP, "yyyy-MM-dd HH:mm:ss").alias("pickup_datetime"),
+        F.substring(F.col(S.PICKUP).cast("string"), 1, 19).alias("pickup_datetime"),
         *[F.col(a).cast("int").alias(b) for a, b in [(S.PASSENGERS, "passenger_count"), (S.RATE, "rate_code_id"), (S.PAYMENT, "payment_type")]],
         S.FARE,
     )

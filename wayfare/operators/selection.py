@@ -152,28 +152,35 @@ def row_cuts(df: DataFrame, order: list[SortKey], ranks: list[int], bounds=None)
     the rank from the rest. Rows equal on every sort column are one unit and stay on the upper side
     of a cut. ``bounds`` is (count, min, max) of the first number where already known.
     """
-    first = locate_ranks(df, order[0].number, ranks, bounds)
+    head = order[0]
+    first = locate_ranks(df, head.number, ranks, bounds)
+    inner = {rank: spot for rank, spot in first.items() if rank > spot.below and len(order) > 1}
+    small = {spot.value for spot in inner.values() if spot.equal <= SMALL_GROUP}
+    members = _small_groups(df, order, sorted(small)) if small else {}
     cuts = []
     for rank in ranks:
-        spot, group, key = first[rank], df, []
-        residual = rank
-        for depth, item in enumerate(order):
-            if depth:
-                spot = locate_ranks(group, item.number, [residual])[residual]
-            key.append(spot.value)
-            residual -= spot.below
-            if residual == 0 or depth == len(order) - 1:
-                break
-            group = group.filter(item.column == item.literal(spot.value))
-            if spot.equal <= SMALL_GROUP:
-                rest = [k.number.alias(f"k{i}") for i, k in enumerate(order[depth + 1 :])]
-                row = group.select(*rest).sort(*[f"k{i}" for i in range(len(rest))]).offset(residual).first()
-                key.extend(row)
-                break
-        cuts.append(key)
+        value, residual = first[rank].value, rank - first[rank].below
+        if rank not in inner:
+            cuts.append([value])
+        elif value in small:
+            cuts.append([value, *members[value][residual]])
+        else:
+            group = df.filter(head.column == head.literal(value))
+            cuts.append([value, *row_cuts(group, order[1:], [residual])[0]])
     return cuts
 
 
+def _small_groups(df: DataFrame, order: list[SortKey], values: list) -> dict:
+    """Sorted remaining keys of the rows at each first-key value; at most SMALL_GROUP rows a value."""
+    head = order[0]
+    keys = [item.number.alias(f"k{i}") for i, item in enumerate(order)]
+    rows = df.filter(head.column.isin([head.literal(v) for v in values])).select(*keys).collect()
+    groups: dict = {}
+    for row in rows:
+        groups.setdefault(row[0], []).append(tuple(row)[1:])
+    return {value: sorted(members) for value, members in groups.items()}
+
+
 def at_or_after(order: list[SortKey], key: list) -> Column:
     """True for rows whose leading sort columns are lexicographically >= the key."""
     result = None

@@ -46,6 +46,12 @@ def rounded(df: DataFrame, places: int, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, places) for c in columns})
 
 
+def fractional(columns: list[str]) -> list[str]:
+    """Inputs that are not whole numbers."""
+    prefixes = ("trip_d", "log_", "fare", "baseline", "route", "distance_x", "hour_", "dow_", "month_")
+    return [c for c in columns if c.startswith(prefixes)]
+
+
 def with_keys(*columns: str) -> list[str]:
     return [S.PICKUP, S.DROPOFF, S.PU, S.DO, *columns]
 
@@ -307,14 +313,14 @@ def feature_matrix(ws):
     columns = features.feature_set("full")
     train = features.matrix(ws.train_features(), columns).withColumn("part", F.lit("train"))
     test = features.matrix(ws.test_features(), columns).withColumn("part", F.lit("test"))
-    return rounded(train.unionByName(test), 6, *columns, S.TARGET)
+    return rounded(train.unionByName(test), 6, *fractional(columns), S.TARGET)
 
 
 @query
 def feature_matrix_short(ws):
     """The 29 inputs of the short variant, for test trips."""
     columns = features.feature_set("short")
-    return rounded(features.matrix(ws.test_features(), columns), 6, *columns, S.TARGET)
+    return rounded(features.matrix(ws.test_features(), columns), 6, *fractional(columns), S.TARGET)
 
 
 # ---- profiling
@@ -566,7 +572,7 @@ def score_features(ws):
     """The training feature chain applied to requests."""
     featured = features.apply(R.as_trips(valid_requests(ws)), ws.artifacts)
     columns = features.feature_set("full")
-    return rounded(features.matrix(featured, columns, ["event_id"]), 6, *columns)
+    return rounded(features.matrix(featured, columns, ["event_id"]), 6, *fractional(columns))
 
 
 @query

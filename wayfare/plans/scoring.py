@@ -58,7 +58,7 @@ def arrivals(scored: DataFrame) -> DataFrame:
     arrival = trip.arrival_time(pickup, predicted)
     return scored.withColumns(
         {
-            "arrival": F.date_format(arrival, "HH:mm"),
+            "arrival": F.format_string("%02d:%02d", F.hour(arrival), F.minute(arrival)),
             "delta_minutes": F.round(predicted - base, 2),
             "band": trip.duration_band(predicted),
             "traffic": trip.traffic_context(pickup),

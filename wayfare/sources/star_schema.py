@@ -74,7 +74,7 @@ def requests(events: DataFrame) -> DataFrame:
         F.col("user_id").cast("int").alias("pickup_location_id"),
         (event % 270).cast("int").alias("dropoff_location_id"),
         F.when(event % 101 == 0, "far").otherwise((F.col("value") / 10).cast("string")).alias("trip_distance"),
-        F.when(event % 97 == 0, "soon").otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).alias("pickup_datetime"),
+        F.when(event % 97 == 0, "soon").otherwise(F.substring(F.col("ts").cast("string"), 1, 19)).alias("pickup_datetime"),
         F.when(event % 5 != 0, (event % 11).cast("int")).alias("passenger_count"),
         F.when(event % 7 != 0, (event % 6 + 1).cast("int")).alias("rate_code_id"),
         F.when(event % 3 != 0, (event % 6 + 1).cast("int")).alias("payment_type"),
