@@ -146,8 +146,8 @@ def histogram(df: DataFrame, column: Column, bins: int = 100) -> DataFrame:
     counts = values.groupBy(slot.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     return every.join(counts, "bin", "left").select(
         "bin",
-        F.round(F.lit(lo) + F.col("bin") * F.lit(width), 6).alias("bin_low"),
-        F.round(F.lit(lo) + (F.col("bin") + 1) * F.lit(width), 6).alias("bin_high"),
+        F.round(F.lit(lo) + F.col("bin") * F.lit(width), 9).alias("bin_low"),
+        F.round(F.lit(lo) + (F.col("bin") + 1) * F.lit(width), 9).alias("bin_high"),
         F.coalesce("n", F.lit(0)).alias("n"),
     )
 

@@ -217,7 +217,7 @@ def histogram(values: str, bins: int = 100) -> str:
       lims AS MATERIALIZED (SELECT CAST(min(x) AS DOUBLE) AS lo, CAST(max(x) AS DOUBLE) AS hi,
         (CAST(max(x) AS DOUBLE) - CAST(min(x) AS DOUBLE)) / {bins} AS w FROM vals),
       filled AS (SELECT CAST(least(floor((x - lo) / w), {bins - 1}) AS INTEGER) AS bin, count(*) AS n FROM vals, lims GROUP BY 1)
-      SELECT CAST(g.i AS INTEGER) AS bin, round(lo + g.i * w, 6) AS bin_low, round(lo + (g.i + 1) * w, 6) AS bin_high,
+      SELECT CAST(g.i AS INTEGER) AS bin, round(lo + g.i * w, 9) AS bin_low, round(lo + (g.i + 1) * w, 9) AS bin_high,
         coalesce(n, 0) AS n
       FROM generate_series(0, {bins - 1}) AS g(i) LEFT JOIN filled ON bin = g.i, lims"""
 
