@@ -44,7 +44,7 @@ def moment(text: str) -> datetime:
 
 @pytest.fixture(scope="session")
 def sample_trips(spark):
-    """Five valid trips: morning rush, afternoon, after midnight, New Year's Eve, holiday noon."""
+    """Five valid trips: morning rush, afternoon, after midnight, New Year's Eve, holiday noon. Fixed values."""
     rows = [
         ("2025-01-15 08:00", "2025-01-15 08:25", 132, 236, 2.5, 12.5, 16.0, 1.0, 1.0, 1.0, "N"),
         ("2025-03-20 14:30", "2025-03-20 14:52", 161, 170, 3.1, 15.0, 19.5, 2.0, 1.0, 1.0, "N"),

@@ -8,6 +8,7 @@ from wayfare import schema as S
 # Fixed periods of the cyclic encodings.
 CYCLES = {"hour": ("hour", 24), "dow": ("day_of_week", 7), "month": ("month", 12)}
 
+# Fixed labels.
 DAY_LABELS = ["Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun"]
 MONTH_LABELS = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
 

@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from wayfare import schema as S
 from wayfare.functions import time as calendar
 
+# Rate-code labels and borough codes.
 RATE_LABELS = {1: "Standard", 2: "JFK", 3: "Newark", 4: "Nassau/Westchester", 5: "Negotiated", 6: "Group"}
-
 BOROUGH_CODES = {"Manhattan": 1, "Bronx": 2, "Brooklyn": 3, "Queens": 4, "Staten Island": 5, "EWR": 6}
 
-# Right-closed distance bands: (low, high, label).
+# Right-closed distance bands: (low, high, label).
 DISTANCE_BANDS = [
     (0, 1, "<1mi"),
     (1, 2, "1-2mi"),
@@ -22,7 +22,7 @@ DISTANCE_BANDS = [
     (20, 100, ">20mi"),
 ]
 
-# Display bands of a predicted duration in minutes: (low, high, label).
+# Display bands of a predicted duration in minutes: (low, high, label).
 DURATION_BANDS = [(0, 20, "short"), (20, 45, "medium"), (45, 120, "long")]
 
 

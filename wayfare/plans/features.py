@@ -11,7 +11,7 @@ from wayfare.functions import trip
 from wayfare.functions.time import with_cyclic_features, with_time_features
 from wayfare.operators import lookup, profiling
 
-# The 32 model inputs, in their fixed order.
+# The 32 model inputs, in order.
 FULL_FEATURES = [
     "trip_distance",
     "log_distance",
