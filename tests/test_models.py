@@ -4,7 +4,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from wayfare import schema as S
-from wayfare.models import linear_search, neural, pipelines, search, store
+from wayfare.models import evaluation, linear_search, neural, pipelines, search, store
 from wayfare.plans import features
 
 COLUMNS = ["a", "b", "twice_a", "constant"]
@@ -141,6 +141,18 @@ def test_trees_stop_early_and_rank_inputs(spark, data, tmp_path):
     assert same.isEmpty() and store.input_columns(loaded) == COLUMNS
 
 
+def test_saved_models_are_measured_together_and_missing_ones_skipped(spark, data, tmp_path):
+    test = data.withColumn("baseline_duration", F.lit(1.0))
+    store.save_model(pipelines.linear_regression(COLUMNS[:2]).fit(data), str(tmp_path), "linear")
+    stump = pipelines.boosted_trees(COLUMNS, maxIter=1, maxDepth=1).fit(data)
+    store.save_model(stump, str(tmp_path), "stump")
+    together = evaluation.evaluate_saved(test, str(tmp_path), ["linear", "absent", "stump"])
+    rows = {r.model: r for r in together.collect()}
+    assert set(rows) == {"baseline", "linear", "stump"}
+    assert rows["stump"] == evaluation.evaluate_fitted(data, {"stump": stump}, baseline=False).first()
+    assert rows["linear"].RMSE < rows["stump"].RMSE < rows["baseline"].RMSE
+
+
 def test_missing_model_is_none(spark, tmp_path):
     assert store.load_model(spark, str(tmp_path), "nothing") is None
 

@@ -13,7 +13,7 @@ from wayfare import session
 from wayfare.functions import requests as R
 from wayfare.functions import time as calendar
 from wayfare.functions import trip
-from wayfare.models import linear_search, neural, pipelines, search, store
+from wayfare.models import evaluation, linear_search, neural, pipelines, search, store
 from wayfare.operators import impute as imputing
 from wayfare.operators import metrics, profiling, quality, sampling, split
 from wayfare.plans import features, prepare, report, scoring
@@ -616,19 +616,23 @@ COLUMNS = features.feature_set("full")
 QUICK = {"maxIter": 15, "stepSize": 0.2}
 
 
-def measured(ws, predictions: dict[str, DataFrame]) -> DataFrame:
-    """Test metrics of several fitted models, one aggregate each over the test matrix."""
-    parts = [metrics.evaluate_models(df, S.TARGET, {name: "prediction"}) for name, df in predictions.items()]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+def measured(ws, **models) -> DataFrame:
+    """Test metrics of fitted models."""
+    return evaluation.evaluate_fitted(ws.test_matrix(), models, baseline=False)
 
 
 def fitted_ols(ws):
     return pipelines.linear_regression(COLUMNS).fit(ws.train_matrix())
 
 
+def fitted_ridge(ws):
+    train = ws.train_matrix()
+    moments = linear_search.block_moments(train, COLUMNS)
+    alpha = linear_search.best_alpha(linear_search.grid_scores(moments, pipelines.FULL_ALPHAS))
+    rows, deviation = train.agg(F.count(F.lit(1)), F.stddev_pop(S.TARGET)).first()
+    return pipelines.ridge_regression(COLUMNS, alpha, rows, deviation).fit(train)
+
+
 def fitted_trees(ws, preset: str = "A"):
     train = pipelines.with_validation_block(ws.train_matrix())
     settings = {**pipelines.BOOSTING_PRESETS[preset], **QUICK}
@@ -681,7 +685,7 @@ def scaled_features(ws):
 
 @query
 def ols(ws):
-    return measured(ws, {"linear_regression": fitted_ols(ws).transform(ws.test_matrix())})
+    return measured(ws, linear_regression=fitted_ols(ws))
 
 
 @query
@@ -694,12 +698,7 @@ def ridge_grid(ws):
 @query
 def ridge(ws):
     """The best penalty of the grid, refitted on all training rows."""
-    train = ws.train_matrix()
-    moments = linear_search.block_moments(train, COLUMNS)
-    alpha = linear_search.best_alpha(linear_search.grid_scores(moments, pipelines.FULL_ALPHAS))
-    rows, deviation = train.agg(F.count(F.lit(1)), F.stddev_pop(S.TARGET)).first()
-    model = pipelines.ridge_regression(COLUMNS, alpha, rows, deviation).fit(train)
-    return measured(ws, {"ridge_regression": model.transform(ws.test_matrix())})
+    return measured(ws, ridge_regression=fitted_ridge(ws))
 
 
 @query
@@ -719,15 +718,14 @@ def cv_scores(ws):
 @query
 def gbt(ws):
     """Boosted trees, first preset, early stopping on the latest training block."""
-    return measured(ws, {"boosted_trees_a": fitted_trees(ws, "A").transform(ws.test_matrix())})
+    return measured(ws, boosted_trees_a=fitted_trees(ws, "A"))
 
 
 @query
 def gbt_b(ws):
     """The second preset, with a random forest for contrast."""
     forest = pipelines.random_forest(COLUMNS, numTrees=20, maxDepth=7).fit(ws.train_matrix())
-    trees = fitted_trees(ws, "B").transform(ws.test_matrix())
-    return measured(ws, {"boosted_trees_b": trees, "random_forest": forest.transform(ws.test_matrix())})
+    return measured(ws, boosted_trees_b=fitted_trees(ws, "B"), random_forest=forest)
 
 
 @query
@@ -750,7 +748,7 @@ def feature_importance(ws):
 def mlp_bands(ws):
     """The neural band model, with small layers."""
     model = neural.fit_bands(ws.train_matrix(), COLUMNS, bands=8, hidden=[32, 16], max_iter=40)
-    return measured(ws, {"neural_bands": model.transform(ws.test_matrix())})
+    return measured(ws, neural_bands=model)
 
 
 @query
@@ -760,8 +758,18 @@ def model_roundtrip(ws):
     model = fitted_ols(ws)
     store.save_model(model, root, "linear_regression")
     loaded = store.load_model(ws.spark, root, "linear_regression")
-    result = measured(ws, {"saved": model.transform(ws.test_matrix()), "loaded": loaded.transform(ws.test_matrix())})
-    return result.withColumn("inputs", F.lit(len(store.input_columns(loaded))))
+    return measured(ws, saved=model, loaded=loaded).withColumn("inputs", F.lit(len(store.input_columns(loaded))))
+
+
+@query
+def model_leaderboard(ws):
+    """Saved models beside the baseline: metrics, gains and the best one; a missing model is skipped."""
+    root = session.scratch_path(ws.spark, "models")
+    store.save_model(fitted_ols(ws), root, "linear_regression")
+    store.save_model(fitted_ridge(ws), root, "ridge_regression")
+    store.save_model(fitted_trees(ws), root, "boosted_trees_a")
+    names = ["linear_regression", "ridge_regression", "boosted_trees_a", "boosted_trees_b"]
+    return metrics.leaderboard(evaluation.evaluate_saved(ws.test_matrix(), root, names))
 
 
 @query
