@@ -1,11 +1,13 @@
 """The registered queries of the training-data operators, and their SQL."""
 
-from wayfare.llm import mixing, packing
+from wayfare.llm import jaccard, mixing, packing
 
 QUERIES = {
     "op2_mixing": mixing.op2_mixing,
     "op3_packing": packing.op3_packing,
+    "op9_jaccard": jaccard.op9_jaccard,
 }
 SQL = {
     "op2_mixing": mixing.OP2_SQL,
+    "op9_jaccard": jaccard.OP9_SQL,
 }
