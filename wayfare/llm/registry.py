@@ -1,10 +1,12 @@
 """The registered queries of the training-data operators, and their SQL."""
 
-from wayfare.llm import jaccard, mixing, packing
+from wayfare.llm import jaccard, language, mixing, packing, quality_rules
 
 QUERIES = {
     "op2_mixing": mixing.op2_mixing,
     "op3_packing": packing.op3_packing,
+    "op4_quality": quality_rules.op4_quality,
+    "op5_language": language.op5_language,
     "op9_jaccard": jaccard.op9_jaccard,
 }
 SQL = {
