@@ -7,7 +7,9 @@ programme minimises padding plus penalties over all cuts of the run.
 """
 
 import os
+import re
 import zlib
+from array import array
 from collections import deque
 from collections.abc import Iterator
 
@@ -17,6 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
 from wayfare.llm.common import table
+from wayfare.llm.textarrays import blocks
 
 WINDOW = 2048
 END_ID = 1
@@ -24,41 +27,61 @@ CHUNK = 1 << 18
 SENTENCE_PENALTY, INSIDE_PENALTY, SHORT_PENALTY = 8.0, 64.0, 48.0  # in tokens of padding
 LONG_SENTENCE, INSIDE_STEP = 256, 64
 SHORTEST = 64  # the least power of two that counts as a full window
-CACHED_WORDS = 400_000
+CACHED_WORDS = 1_000_000
+END = array("I", [END_ID]).tobytes()
+PLAIN = re.compile("[a-z\u00e0-\u00f6\u00f8-\u00ff]+")
+# byte-level vocabularies write a byte as the character of that number if it prints, else as the next one from 256 on
+PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
+BYTE_CHARACTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in PRINTED)}
+LATIN_END = re.compile(rb"\xc3[\xa0-\xb6\xb8-\xbf][.,]$")  # after a letter from a-grave to y-diaeresis
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
+class WordIds(dict):
+    """Token ids of words (bytes to bytes of little-endian 32-bit ids), encoded on first use."""
+
+    def __init__(self, tokenizer):
+        super().__init__()
+        self.tokenizer = tokenizer
+
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) >= CACHED_WORDS:
+            self.clear()
+        # a full stop or comma after a plain letter is a token of its own
+        if word[-1:] in (b".", b",") and (word[-2:-1].isalnum() or LATIN_END.search(word)):
+            ids = self[word[:-1]] + self[word[-1:]]
+        elif PLAIN.fullmatch(text := word.decode()):
+            # one piece that no rule changes: straight to the merges, as the characters that stand for its bytes
+            pieces = self.tokenizer.model.tokenize(text if text.isascii() else word.decode("latin1").translate(BYTE_CHARACTERS))
+            ids = array("I", [piece.id for piece in pieces]).tobytes()
+        else:
+            ids = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        self[word] = ids
+        return ids
+
+
 class WordEncoder:
-    """Token ids by word, remembered.
+    """Token ids of texts by their words, remembered.
 
-    The vocabulary's rules drop white space and never join across it, so a text's ids are those of
-    its words one after the other.
+    The vocabulary's rules lower the case, drop white space and never join across it, so a text's ids are those of its
+    words one after the other. A-Z are lowered first unless the text has combining marks, which
+    the rules compose before they lower.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
-        ends = [i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>") and set(token[:-4]) <= set(".!?") and len(token) > 4]
-        self.sentence_end = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        tokenizer = Tokenizer.from_file(path)
+        self.known = WordIds(tokenizer)
+        ends = [i for token, i in tokenizer.get_vocab().items() if token.endswith("</w>") and set(token[:-4]) <= set(".!?") and len(token) > 4]
+        self.sentence_end = np.zeros(tokenizer.get_vocab_size(), bool)
         self.sentence_end[ends] = True
 
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        """Ids of each text followed by the end id. Null is empty."""
-        split = [(text or "").encode().split() for text in texts]
-        words = set().union(*split)
-        missing = words.difference(self.known)
-        if len(self.known) + len(missing) > CACHED_WORDS:
-            self.known.clear()
-            missing = words
-        if missing:
-            ordered = list(missing)
-            found = self.tokenizer.encode_batch([w.decode() for w in ordered], add_special_tokens=False)
-            self.known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(ordered, found))
-        end = np.array([END_ID], "<u4").tobytes()
-        return [np.frombuffer(b"".join([*map(self.known.__getitem__, ws), end]), "<u4") for ws in split]
+    def encode(self, raw: bytes) -> np.ndarray:
+        """Ids of a UTF-8 text followed by the end id."""
+        words = (raw if b"\xcc" in raw or b"\xcd" in raw else raw.lower()).split()
+        return np.frombuffer(b"".join([*map(self.known.__getitem__, words), END]), "<u4")
 
 
 def candidates(tokens: np.ndarray, ends: np.ndarray, sentence_end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -178,10 +201,11 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, window: int = WINDO
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], fields)
 
         for arrow in batches:
-            ids, texts = arrow.column(0).to_pylist(), arrow.column(1)
-            for at in range(0, len(ids), 128):
-                for doc_id, tokens in zip(ids[at : at + 128], encoder.encode(texts.slice(at, 128).to_pylist())):
-                    stream.add(doc_id, tokens)
+            ids = arrow.column(0).to_pylist()
+            for row, texts in blocks(arrow.column(1)):
+                edges = texts.offsets.tolist()
+                for i in range(len(texts)):
+                    stream.add(ids[row + i], encoder.encode(texts.raw[edges[i] : edges[i + 1]].tobytes()))
                     if stream.held >= CHUNK:
                         yield batch(stream.flush(last=False))
         yield batch(stream.flush(last=True))
