@@ -1,10 +1,13 @@
-"""Helpers shared by the training-data operators: tables, scratch stages, distributed ranks."""
+"""Helpers shared by the training-data operators: tables, scratch stages, distributed ranks, filters by text."""
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from wayfare import session
+from wayfare.llm.textarrays import blocks
 
 #: A word: a run of anything but the six ASCII white-space characters. Fixed value.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -45,3 +48,15 @@ def ranked(df: DataFrame, *order: Column, name: str = "rank") -> DataFrame:
     offsets = parts.select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
     joined = placed.withColumn("_part", part).join(offsets, "_part")
     return joined.withColumn(name, F.col("_before") + place).drop("_part", "_place", "_before")
+
+
+def filter_texts(docs: DataFrame, decide) -> DataFrame:
+    """The rows whose text ``decide`` (texts to an array of flags) is true for. Columns pass through unchanged, whatever their names."""
+    place = docs.columns.index("text")
+
+    def work(batches):
+        for batch in batches:
+            flags = [np.asarray(decide(texts), bool) for _, texts in blocks(batch.column(place))]
+            yield batch.filter(pa.array(np.concatenate(flags))) if flags else batch
+
+    return docs.mapInArrow(work, docs.schema)

@@ -345,6 +345,21 @@ def similarity_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     return joined.select("doc_id", F.col("n").cast("bigint").alias("n_shingles"), component.alias("component_id"))
 
 
+def distinct_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """One document of each class, the one with the least doc_id, with all its columns.
+
+    Of rows that repeat a doc_id the first by text stays. Documents without words, and rows with a null doc_id, stay
+    as they are: the former link with nothing, the latter cannot be named.
+    """
+    classes = similarity_classes(docs, percent)
+    first = classes.filter("doc_id = component_id").select(F.col("doc_id").alias("_first")).distinct()
+    row = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    named = row.join(first, F.col("row.doc_id") == F.col("_first"))
+    order = W.partitionBy("_first").orderBy("row.text")
+    single = named.withColumn("_place", F.row_number().over(order)).filter("_place = 1").select("row.*")
+    return single.unionAll(row.filter(F.col("row.doc_id").isNull()).select("row.*"))
+
+
 def _words_of(blob: str):
     """The signature as 64-bit words."""
     word = lambda i: F.conv(F.hex(F.substring(blob, i * 8 + 1, 8)), 16, -10).cast("bigint")

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from wayfare.llm.common import crc_rest, table
+from wayfare.llm.common import crc_rest, filter_texts, table
 from wayfare.llm.textarrays import STEP, Texts, blocks, mix64
 
 SLOTS = {2: 2048, 3: 8192, 4: 8192}  # n-gram length -> slots
@@ -28,6 +28,7 @@ SHARPNESS = 8.0
 FOLDS, HELD_OUT = 4, 2  # crc32 of the id: documents of this remainder are never learned from. Fixed values.
 UNKNOWN = "und"
 BATCH = 64
+LEAST_SCORE = 0.35  # below it no language stands out and a corpus does without the document
 
 # letters as they are, A-Z as a-z; every other ASCII byte is one separator
 LETTERS = np.arange(256, dtype=np.uint8)
@@ -134,8 +135,20 @@ def train(docs: DataFrame) -> Model | None:
     return Model(rows, [r.lang for r in found])
 
 
-def identify(docs: DataFrame, *carried: str) -> DataFrame:
-    """``carried`` columns with lang_pred and score of every document, from its whole text alone.
+def _predict(model: Model | None, texts: Texts) -> tuple[list[str], np.ndarray]:
+    """Language and score of each text, in blocks of BATCH."""
+    langs, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
+    for start in range(0, len(texts) if model else 0, BATCH):
+        cut = texts.offsets[start : min(start + BATCH, len(texts)) + 1]
+        part = Texts(texts.raw[cut[0] : cut[-1]], cut - cut[0])
+        best, share = model.predict(presence(part))
+        for i in np.flatnonzero(has_letters(part)):
+            langs[start + i], scores[start + i] = model.languages[best[i]], share[i]
+    return langs, scores
+
+
+def identify(docs: DataFrame) -> DataFrame:
+    """doc_id, lang_pred and score of every document, from its whole text alone.
 
     Null, empty and letterless texts are ``und`` with score 0, as is everything where no labelled document is there to
     learn from. Rows without lang, or with a null doc_id, are predicted like others. Repeated rows are
@@ -143,27 +156,28 @@ def identify(docs: DataFrame, *carried: str) -> DataFrame:
     the language that sorts first.
     """
     model = train(docs)
-    kept = docs.select(*carried, docs["text"].alias("_text"))
-    fields = ", ".join(f"`{name}` {kind}" for name, kind in kept.dtypes if name != "_text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, texts in blocks(batch.column(batch.num_columns - 1)):
-                langs, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
-                for start in range(0, len(texts) if model else 0, BATCH):
-                    stop = min(start + BATCH, len(texts))
-                    cut = texts.offsets[start : stop + 1]
-                    part = Texts(texts.raw[cut[0] : cut[-1]], cut - cut[0])
-                    best, share = model.predict(presence(part))
-                    for i in np.flatnonzero(has_letters(part)):
-                        langs[start + i], scores[start + i] = model.languages[best[i]], share[i]
-                columns = [batch.column(i).slice(row, len(texts)) for i in range(batch.num_columns - 1)]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(langs, pa.string()), pa.array(scores)], [*batch.schema.names[:-1], "lang_pred", "score"])
+            for row, texts in blocks(batch.column(1)):
+                langs, scores = _predict(model, texts)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, len(texts)), pa.array(langs, pa.string()), pa.array(scores)], ["doc_id", "lang_pred", "score"])
+
+    return docs.select("doc_id", "text").mapInArrow(work, "doc_id long, lang_pred string, score double")
+
+
+def identified_documents(docs: DataFrame, least_score: float = LEAST_SCORE) -> DataFrame:
+    """The documents whose language is known: not ``und``, and with a score of at least ``least_score``. All columns stay."""
+    model = train(docs)
+
+    def known(texts: Texts) -> np.ndarray:
+        langs, scores = _predict(model, texts)
+        return np.array([lang != UNKNOWN for lang in langs], bool) & (scores >= least_score)
 
-    return kept.mapInArrow(work, f"{fields}, lang_pred string, score double")
+    return filter_texts(docs, known)
 
 
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of all documents."""
-    found = identify(table(spark, sf_dir, "documents"), "doc_id")
+    found = identify(table(spark, sf_dir, "documents"))
     return found.select("doc_id", (crc_rest(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"), "lang_pred", "score")
