@@ -32,12 +32,13 @@ from wayfare.llm.textarrays import FACTOR, STEP, blocks, mix64, shingle_sets
 
 PERCENT = 80
 WORDS = 5
-CELL_BITS = 22  # the count table: 4 million cells, its hot cells are all that is sent out
+CELL_BITS = 23  # the count table: 8 million cells, its hot cells are all that is sent out
 CELL_BLOCK = 1 << 14
-SIGNATURE_BITS = 1024
+SIGNATURE_BITS = 1024  # the shortest signature
 LARGEST_LIGHT = 30  # sizes among which the boundary is sought
 LIST_PART = 4096  # members of a list that one group holds
 BLOCK = 256
+ID_SLOTS = 1 << 20
 ROWS = "kind int, doc_id long, n int, s1 long, s2 long, least long, blob binary"
 
 
@@ -73,9 +74,30 @@ def boundary(counts: dict[int, tuple[int, float]], percent: int = PERCENT) -> in
 
 
 def signature(shingles: np.ndarray) -> bytes:
-    """Parity of the number of shingles in each of SIGNATURE_BITS slots: sets that differ in d shingles differ in at most d bits."""
-    slots = (shingles & np.uint64(SIGNATURE_BITS - 1)).astype(np.int64)
-    return np.packbits(np.bincount(slots, minlength=SIGNATURE_BITS) & 1).tobytes()
+    """Parity of the number of shingles in each slot, at least as many slots as shingles.
+
+    Sets that differ in d shingles differ in at most d bits. A signature folds to half its length by XOR of its halves.
+    """
+    bits = SIGNATURE_BITS
+    while bits < len(shingles):
+        bits *= 2
+    slots = (shingles & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits(np.bincount(slots, minlength=bits) & 1).tobytes()
+
+
+def _folded(words: np.ndarray) -> np.ndarray:
+    half = words.shape[-1] // 2
+    return words[..., :half] ^ words[..., half:]
+
+
+def may_link(one: bytes, other: bytes, n: int, m: int, percent: int = PERCENT) -> bool:
+    """Whether sizes and signatures of two sets allow a link."""
+    if 100 * n < percent * m or 100 * m < percent * n:
+        return False
+    a, b = np.frombuffer(one, np.uint64), np.frombuffer(other, np.uint64)
+    while len(a) != len(b):
+        a, b = (_folded(a), b) if len(a) > len(b) else (a, _folded(b))
+    return (100 + percent) * int(np.bitwise_count(a ^ b).sum(dtype=np.int64)) <= (100 - percent) * (n + m)
 
 
 def _signed(x) -> int:
@@ -193,21 +215,31 @@ def _postings(cells: np.ndarray, counts: np.ndarray, largest: int, light_parts:
 def _compare_blocks(percent: int):
     """Pairs of one block pair that may link: different labels, sizes in range, signatures near enough."""
 
-    def pairs(group: pa.Table) -> pa.Table:
-        v, label, n = (group.column(c).to_numpy() for c in ("v", "label", "n"))
-        side = group.column("side").to_numpy()
-        bits = np.frombuffer(b"".join(group.column("blob").to_pylist()), np.uint64).reshape(len(v), -1)
-        left, right = np.flatnonzero(side <= 1), np.flatnonzero((side == 0) | (side == 2))
+    def pairs(group: pa.Table) -> tuple[list[int], list[int]]:
+        v, label, n, side = (group.column(c).to_numpy() for c in ("v", "label", "n", "side"))
+        n = n.astype(np.int64)
+        blobs = group.column("blob").to_pylist()
+        length = np.array([len(x) for x in blobs])
+        # the signatures of one length, and those of twice that length folded to it
+        shelves, at = {}, np.zeros(len(v), np.int64)
+        for own in np.unique(length).tolist():
+            rows = np.flatnonzero(length == own)
+            at[rows] = np.arange(len(rows))
+            words = np.frombuffer(b"".join(blobs[i] for i in rows), np.uint64).reshape(len(rows), -1)
+            shelves[own, own] = words
+            shelves[own, own // 2] = _folded(words)
+        right = np.flatnonzero((side == 0) | (side == 2))
         a, b = [], []
-        for i in left.tolist():
-            js = right[label[right] != label[i]]
+        for i in np.flatnonzero(side <= 1).tolist():
+            js = right[(label[right] != label[i]) & (100 * n[right] >= percent * n[i]) & (100 * n[i] >= percent * n[right])]
             if side[i] == 0:
                 js = js[v[js] > v[i]]
-            js = js[(100 * n[js] >= percent * n[i]) & (100 * n[i] >= percent * n[js])]
-            differ = np.bitwise_count(bits[js] ^ bits[i]).sum(axis=1, dtype=np.int64)
-            js = js[(100 + percent) * differ <= (100 - percent) * (n[js].astype(np.int64) + n[i])]
-            a += [int(v[i])] * len(js)
-            b += v[js].tolist()
+            for own in np.unique(length[js]).tolist():
+                same, common = js[length[js] == own], min(own, int(length[i]))
+                differ = np.bitwise_count(shelves[own, common][at[same]] ^ shelves[int(length[i]), common][at[i]]).sum(axis=1, dtype=np.int64)
+                same = same[(100 + percent) * differ <= (100 - percent) * (n[same] + n[i])]
+                a += [int(v[i])] * len(same)
+                b += v[same].tolist()
         return a, b
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,6 +292,16 @@ def _verify(percent: int):
     return work
 
 
+def with_slots(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """Documents whose doc_id may be (left_semi), or is surely not (left_anti), among ``ids``, without a shuffle.
+
+    Ids are hashed into ID_SLOTS slots; the slots in use, at most so many, are broadcast. A null id is never among them.
+    """
+    slot = lambda c: F.when(F.col(c).isNotNull(), F.pmod(F.xxhash64(c), F.lit(ID_SLOTS)))
+    used = ids.select(slot("doc_id").alias("_slot")).distinct()
+    return docs.join(F.broadcast(used), slot("doc_id") == F.col("_slot"), how)
+
+
 def verified(docs: DataFrame, edges: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Those candidate pairs (a, b) whose shingle sets link, compared on their whole texts.
 
@@ -269,19 +311,26 @@ def verified(docs: DataFrame, edges: DataFrame, percent: int = PERCENT) -> DataF
     dealt = edges.select("a", "b", part.alias("part"))
     spokes = dealt.select(F.col("b").alias("doc_id"), F.col("a").alias("hub"), "part", F.lit(1).alias("role"))
     hubs = dealt.select(F.col("a").alias("doc_id"), F.col("a").alias("hub"), "part", F.lit(0).alias("role")).distinct()
-    texts = docs.select("doc_id", "text").join(spokes.unionAll(hubs), "doc_id")
+    wanted = stage(spokes.unionAll(hubs), "wanted")
+    texts = with_slots(docs.select("doc_id", "text"), wanted, "left_semi").join(wanted, "doc_id")
     ordered = texts.repartition("hub", "part").sortWithinPartitions("hub", "part", "role")
     return ordered.select("hub", "part", "role", "doc_id", "text").mapInArrow(_verify(percent), "a long, b long").distinct()
 
 
 def _near(edges: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs whose sizes and signatures allow a link."""
-    left = reps.select(F.col("v").alias("a"), F.col("n").alias("na"), F.col("bits").alias("ba"))
-    right = reps.select(F.col("v").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bb"))
-    joined = edges.join(right, "b").join(left, "a")
-    differ = F.aggregate(F.zip_with("ba", "bb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    left = reps.select(F.col("v").alias("a"), F.col("n").alias("na"), F.col("blob").alias("ba"))
+    right = reps.select(F.col("v").alias("b"), F.col("n").alias("nb"), F.col("blob").alias("bb"))
     sizes = (F.col("na") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("na") * percent)
-    return joined.filter(sizes & (differ * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent))).select("a", "b")
+    joined = edges.join(right, "b").join(left, "a").filter(sizes)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("ba", "bb", "na", "nb"))
+            flags = [may_link(*row, percent) for row in zip(*columns)]
+            yield batch.select(["a", "b"]).filter(pa.array(flags, pa.bool_()))
+
+    return joined.select("a", "b", "ba", "bb", "na", "nb").mapInArrow(work, "a long, b long").distinct()
 
 
 def similarity_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -316,7 +365,6 @@ def similarity_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     stars = lists.filter("v != hub").select(F.col("hub").alias("a"), F.col("v").alias("b"))
     tops = lists.filter("part > 0").select("h", "hub").distinct().withColumn("top", F.min("hub").over(W.partitionBy("h")))
     stars = stars.unionAll(tops.filter("hub != top").select(F.col("top").alias("a"), F.col("hub").alias("b")))
-    reps = reps.withColumn("bits", _words_of("blob"))
     first = stage(_near(stars.distinct(), reps, percent), "candidates")
     links = stage(verified(docs, first, percent), "links")
 
@@ -351,19 +399,17 @@ def distinct_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     Of rows that repeat a doc_id the first by text stays. Documents without words, and rows with a null doc_id, stay
     as they are: the former link with nothing, the latter cannot be named.
     """
-    classes = similarity_classes(docs, percent)
-    first = classes.filter("doc_id = component_id").select(F.col("doc_id").alias("_first")).distinct()
-    row = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
-    named = row.join(first, F.col("row.doc_id") == F.col("_first"))
-    order = W.partitionBy("_first").orderBy("row.text")
-    single = named.withColumn("_place", F.row_number().over(order)).filter("_place = 1").select("row.*")
-    return single.unionAll(row.filter(F.col("row.doc_id").isNull()).select("row.*"))
-
-
-def _words_of(blob: str):
-    """The signature as 64-bit words."""
-    word = lambda i: F.conv(F.hex(F.substring(blob, i * 8 + 1, 8)), 16, -10).cast("bigint")
-    return F.array(*[word(i) for i in range(SIGNATURE_BITS // 64)])
+    classes = stage(similarity_classes(docs, percent).filter("doc_id is not null"), "classes")
+    ids = classes.groupBy("doc_id").agg(F.count(F.lit(1)).alias("k"), F.min("component_id").alias("first"))
+    suspect = stage(ids.filter("k > 1 or first != doc_id").select("doc_id", (F.col("first") == F.col("doc_id")).alias("_keep")), "suspect")
+    row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
+    # most documents are alone and pass by; only those that share a slot with a copy are shuffled
+    clear = with_slots(docs, suspect, "left_anti").select(row)
+    doubtful = with_slots(docs, suspect, "left_semi").select(row)
+    judged = doubtful.join(suspect, F.col("row.doc_id") == F.col("doc_id"), "left").filter("_keep is null or _keep")
+    order = W.partitionBy("row.doc_id").orderBy("row.text")
+    single = judged.withColumn("_place", F.row_number().over(order)).filter("_place = 1")
+    return clear.select("row.*").unionAll(single.select("row.*"))
 
 
 def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
