@@ -1,15 +1,18 @@
 """The registered queries of the training-data operators, and their SQL."""
 
-from wayfare.llm import jaccard, language, mixing, packing, quality_rules
+from wayfare.llm import hosts, jaccard, language, licences, mixing, packing, quality_rules
 
 QUERIES = {
     "op2_mixing": mixing.op2_mixing,
     "op3_packing": packing.op3_packing,
     "op4_quality": quality_rules.op4_quality,
     "op5_language": language.op5_language,
+    "op6_licences": licences.op6_licences,
     "op9_jaccard": jaccard.op9_jaccard,
+    "op10_hosts": hosts.op10_hosts,
 }
 SQL = {
     "op2_mixing": mixing.OP2_SQL,
     "op9_jaccard": jaccard.OP9_SQL,
+    "op10_hosts": hosts.sql(),
 }
