@@ -1,8 +1,9 @@
 """The registered queries of the training-data operators, and their SQL."""
 
-from wayfare.llm import hosts, jaccard, language, licences, mixing, packing, quality_rules
+from wayfare.llm import hosts, jaccard, kneser_ney, language, licences, mixing, packing, quality_rules
 
 QUERIES = {
+    "op1_kneser_ney": kneser_ney.op1_kneser_ney,
     "op2_mixing": mixing.op2_mixing,
     "op3_packing": packing.op3_packing,
     "op4_quality": quality_rules.op4_quality,
