@@ -1,6 +1,6 @@
 """The registered queries of the training-data operators, and their SQL."""
 
-from wayfare.llm import hosts, jaccard, kneser_ney, language, licences, mixing, packing, quality_rules
+from wayfare.llm import fingerprints, hosts, jaccard, kneser_ney, language, licences, mixing, packing, quality_rules, tokencounts
 
 QUERIES = {
     "op1_kneser_ney": kneser_ney.op1_kneser_ney,
@@ -9,6 +9,8 @@ QUERIES = {
     "op4_quality": quality_rules.op4_quality,
     "op5_language": language.op5_language,
     "op6_licences": licences.op6_licences,
+    "op7_fingerprints": fingerprints.op7_fingerprints,
+    "op8_token_counts": tokencounts.op8_token_counts,
     "op9_jaccard": jaccard.op9_jaccard,
     "op10_hosts": hosts.op10_hosts,
 }
