@@ -56,12 +56,13 @@ class Layout:
 
 
 def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple:
-    """Modified Kneser-Ney discounts from the counts of counts; plain ones where a small corpus lacks a class."""
-    if not (n1 and n2 and n3 and n4):
-        return (0.5, 1.0, 1.5)
-    y = n1 / (n1 + 2 * n2)
-    found = (1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3)
-    return tuple(min(max(d, 0.0), k) for d, k in zip(found, (1.0, 2.0, 3.0)))
+    """Modified Kneser-Ney discounts from the counts of counts; plain ones where a small corpus has no sound estimate."""
+    if n1 and n2 and n3 and n4:
+        y = n1 / (n1 + 2 * n2)
+        found = (1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3)
+        if all(0 < d < k for k, d in enumerate(found, 1)):
+            return found
+    return (0.5, 1.0, 1.5)
 
 
 def discount_of(counts: np.ndarray, d: tuple) -> np.ndarray:
