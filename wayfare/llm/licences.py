@@ -199,9 +199,11 @@ def scan(docs: DataFrame) -> DataFrame:
     keywords = sorted({r.keyword for r in RULES})
     hit = F.filter(F.array(*[F.when(F.contains("words", F.lit(f" {k}")), F.lit(i)) for i, k in enumerate(keywords)]), lambda x: x.isNotNull())
     # one pass over the texts; only those with a keyword keep their words
-    counted = rows.select("row", "doc_id", (F.length("words") - F.length(F.replace("words", F.lit(" "))) - 1).cast("bigint").alias("n_words"), hit.alias("hits"), "words")
+    spaces = F.length("words") - F.length(F.replace("words", F.lit(" ")))
+    n_words = F.when(F.trim("words") == "", 0).otherwise(spaces - 1).cast("bigint")
+    counted = rows.select("row", "doc_id", n_words.alias("n_words"), hit.alias("hits"), "words")
     counted = counted.withColumn("words", F.when(F.size("hits") > 0, F.col("words")))
-    counted = stage(counted.withColumn("n_words", F.greatest("n_words", F.lit(0))), "licence_words")
+    counted = stage(counted, "licence_words")
 
     listed = counted.filter("words is not null").select("row", "words", F.split(F.trim("words"), " ").alias("list"), "hits")
     places = [_places("list", phrase) for phrase, _ in BASE]
