@@ -46,7 +46,6 @@ HEADLINE = [
     "stream_score_baseline",
     "ols",
     "ridge_grid",
-    "gbt",
 ]
 
 

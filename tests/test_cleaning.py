@@ -170,3 +170,19 @@ def test_compact_types(one_trip):
 
 def test_moment_helper():
     assert moment("2025-01-15 08:00").hour == 8
+
+
+def test_audit_and_cleaner_agree_on_missing_copies(spark, one_trip):
+    """Copies whose passengers are null or NaN are one trip to both."""
+    copies = one_trip(**{S.PASSENGERS: None}).unionAll(one_trip(**{S.PASSENGERS: float("nan")})).unionAll(one_trip(**{S.PASSENGERS: None}))
+    timed = trip.with_duration(copies)
+    assert quality.clean(timed).count() == 1
+    audit = {r.rule: r for r in quality.filter_audit(timed).collect()}
+    assert audit["duplicate_rows"].removed == 2 and audit["duplicate_rows"].remaining == 1
+
+
+def test_imputer_ignores_missing_values_and_breaks_ties(spark):
+    rows = [(1.0, 3.0, None), (2.0, 3.0, None), (float("nan"), 2.0, None), (None, 2.0, None)]
+    df = spark.createDataFrame(rows, f"{S.PASSENGERS} double, {S.RATE} double, {S.PAYMENT} double")
+    fitted = impute.fit_imputer(df)
+    assert fitted.fills == {S.PASSENGERS: 1.5, S.RATE: 2.0, S.PAYMENT: None, S.FLAG: "N"}

@@ -22,7 +22,7 @@ def test_ranks_against_a_sort(spark, seed):
     values = [rng.choice([7.25, rng.uniform(-1e6, 1e6), float(rng.randint(0, 50))]) for _ in range(600)]
     ordered = sorted(values)
     ranks = [0, 1, 150, 299, 300, 598, 599]
-    found = selection.locate_ranks(one_column(spark, [*values, None]), F.col("x"), ranks, bins=7, small=3)
+    found = selection.locate_ranks(one_column(spark, [*values, None]), F.col("x"), ranks, bins=7)
     for rank in ranks:
         spot = found[rank]
         assert spot.value == ordered[rank]
@@ -32,7 +32,7 @@ def test_ranks_against_a_sort(spark, seed):
 
 def test_ranks_of_large_integers(spark):
     values = [2**60 + i for i in range(200)] + [5, 6]
-    found = selection.locate_ranks(one_column(spark, values, "bigint"), F.col("x"), [0, 1, 2, 100, 201], bins=4, small=1)
+    found = selection.locate_ranks(one_column(spark, values, "bigint"), F.col("x"), [0, 1, 2, 100, 201], bins=4)
     assert [found[r].value for r in (0, 1, 2, 100, 201)] == [5, 6, 2**60, 2**60 + 98, 2**60 + 199]
 
 
@@ -52,6 +52,50 @@ def test_quantiles_of_nothing(spark):
     assert selection.exact_quantiles(one_column(spark, []), F.col("x"), [0.5]) == [None]
 
 
+BIG = 1.7e308
+
+
+@pytest.mark.parametrize("values", [[float("inf"), 1.0, 2.0, 3.0], [float("-inf"), float("-inf"), 5.0, float("inf")], [-BIG, BIG, 0.0, 1.0, BIG], [float("nan"), 4.0, 2.0]])
+def test_ranks_of_extreme_values(spark, values):
+    ordered = sorted(v for v in values if v == v)
+    found = selection.locate_ranks(one_column(spark, values), F.col("x"), list(range(len(ordered))))
+    assert [found[r].value for r in range(len(ordered))] == ordered
+
+
+def test_rank_search_ends_with_one_infinity_among_many(spark):
+    df = spark.range(30_000).select(F.when(F.col("id") == 7, float("inf")).otherwise(F.rand(3)).alias("x"))
+    assert 0.4 < selection.exact_quantiles(df, F.col("x"), [0.5])[0] < 0.6
+
+
+def test_quantiles_of_several_columns_at_once(spark):
+    rows = [(float(i), i * i, None) for i in range(101)]
+    df = spark.createDataFrame(rows, "a double, b bigint, c double")
+    got = selection.quantiles_of(df, {c: F.col(c) for c in "abc"}, [0.25, 0.5])
+    assert got == {"a": [25.0, 50.0], "b": [625.0, 2500.0], "c": [None, None]}
+
+
+def test_iqr_bounds_of_nothing(spark):
+    assert profiling.iqr_bounds(one_column(spark, [None, None]), F.col("x")) == (None, None)
+
+
+def test_time_blocks_with_missing_totals(spark):
+    """Half the rows share a moment, a third have no total: folds are equal and follow the sorted order."""
+    start, rng = datetime(2025, 1, 1), random.Random(4)
+    rows = []
+    for i in range(60):
+        ts = start if i % 2 else start + timedelta(minutes=rng.randint(-9, 9))
+        rows.append((ts, ts, 1, 2, 1.0, 5.0, None if i % 3 == 0 else float(i), 1.0, 1.0, 1.0, "N"))
+    df = spark.createDataFrame(rows, S.TRIP_SCHEMA)
+    got = split.with_time_blocks(df, 5).collect()
+    place = sorted(rows, key=lambda r: (r[0], r[S.TRIP_COLUMNS.index(S.TOTAL)] is not None, r[S.TRIP_COLUMNS.index(S.TOTAL)] or 0))
+    assert all(r.block is not None for r in got)
+    totals = sorted((r[S.PICKUP], r[S.TOTAL] is not None, r[S.TOTAL] or 0, r.block) for r in got)
+    assert [t[:3] for t in totals] == [(r[0], r[6] is not None, r[6] or 0) for r in place]
+    assert [t[3] for t in totals] == sorted(t[3] for t in totals)
+    short = split.with_time_blocks(df.drop(S.TOTAL), 5)
+    assert "block" in short.columns and short.filter("block is null").count() == 0
+
+
 def test_iqr_bounds_of_one_to_a_hundred(spark):
     df = one_column(spark, [float(i) for i in range(1, 101)])
     low, high = profiling.iqr_bounds(df, F.col("x"), 1.5)
@@ -77,9 +121,8 @@ def rows_with_ties(spark, n=300, seed=1):
     return spark.createDataFrame(rows, "ts timestamp_ntz, a int, b double"), rows
 
 
-@pytest.mark.parametrize("k,limit", [(3, 10_000), (5, 0), (5, 10)])
-def test_time_blocks_against_sorted_positions(spark, monkeypatch, k, limit):
-    monkeypatch.setattr(selection, "SMALL_GROUP", limit)
+@pytest.mark.parametrize("k", [3, 5])
+def test_time_blocks_against_sorted_positions(spark, k):
     df, rows = rows_with_ties(spark)
     keys = [selection.SortKey.timestamp("ts"), selection.SortKey.of(F.col("a")), selection.SortKey.of(F.col("b"))]
     got = {r.b: r.block for r in split.with_time_blocks(df, k, keys).collect()}
@@ -141,6 +184,11 @@ def test_histogram_against_numpy(spark):
     assert [r.bin_low for r in rows] == pytest.approx(list(edges[:-1]), abs=1e-5)
 
 
+def test_histogram_skips_nan(spark):
+    rows = profiling.histogram(one_column(spark, [1.0, 2.0, float("nan"), 3.0, None]), F.col("x"), 2).orderBy("bin").collect()
+    assert [(r.bin_low, r.bin_high, r.n) for r in rows] == [(1.0, 2.0, 1), (2.0, 3.0, 2)]
+
+
 def test_histogram_of_a_constant_and_of_nothing(spark):
     constant = profiling.histogram(one_column(spark, [3.0] * 4), F.col("x"), 10)
     assert constant.agg(F.sum("n")).first()[0] == 4

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wayfare import schema as S
+from wayfare.operators.selection import quantiles_of
 
 DEFAULT_FLAG = "N"
 
@@ -24,13 +25,17 @@ def fit_imputer(
     modes: tuple[str, ...] = (S.RATE, S.PAYMENT),
     constants: dict[str, object] | None = None,
 ) -> Imputer:
-    """Median, mode (smallest value on ties) and constant fills, in one aggregate over the table.
+    """Median, mode (smallest value on ties) and constant fills.
 
-    Cleaned passenger counts, rate codes and payment types take a handful of values, so the
-    aggregation buffers stay tiny. Use ``exact_quantiles`` for columns with many distinct values.
+    Modes come from one row per column and value, pre-aggregated map-side, and the greatest count of those; medians from
+    rank selection. No task ever holds a map of all values, however many a raw code column has.
     """
-    aggregates = [F.median(c).alias(c) for c in medians] + [F.mode(c, True).alias(c) for c in modes]
-    fitted = train.agg(*aggregates).first().asDict() if aggregates else {}
+    fitted: dict[str, object] = {name: q[0] for name, q in quantiles_of(train, {c: F.col(c) for c in medians}, [0.5]).items()} if medians else {}
+    if modes:
+        values = F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in modes])).alias("entry")
+        counts = train.select(values).select("entry.*").filter(F.col("value").isNotNull() & ~F.isnan("value")).groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"))
+        best = counts.groupBy("name").agg(F.max_by("value", F.struct("n", -F.col("value"))).alias("value"))
+        fitted |= {c: None for c in modes} | {r.name: r.value for r in best.collect()}  # a row per column
     fills = {S.FLAG: DEFAULT_FLAG} if constants is None else constants
     return Imputer({**fitted, **fills})
 

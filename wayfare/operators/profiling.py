@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from wayfare import schema as S
 from wayfare.functions import trip
-from wayfare.operators.selection import exact_quantiles
+from wayfare.operators.selection import exact_quantiles, quantiles_of
 
 DESCRIBE_PERCENTILES = [0.25, 0.5, 0.75, 0.90, 0.95, 0.99]
 CORRELATED = [S.TARGET, S.DISTANCE, S.FARE, S.TOTAL, S.PASSENGERS]
@@ -128,12 +128,13 @@ def top_zones(df: DataFrame, zone_column: str, zones: DataFrame, k: int = 20) ->
     )
     named = busiest.join(zones.select("LocationID", "Zone", "Borough"), "LocationID", "left")
     label = F.coalesce(F.col("Zone"), F.col("LocationID").cast("string"))
-    return named.select("LocationID", label.alias("zone_label"), "Borough", "trips")
+    ranked = named.orderBy(F.col("trips").desc(), F.col("LocationID"))  # the join kept no order
+    return ranked.select("LocationID", label.alias("zone_label"), "Borough", "trips")
 
 
 def histogram(df: DataFrame, column: Column, bins: int = 100) -> DataFrame:
-    """Equal-width bins over min..max, the last one closed on the right; empty bins included."""
-    values = df.select(column.alias("x")).filter(F.col("x").isNotNull())
+    """Equal-width bins over min..max, the last one closed on the right; empty bins included. NaN counts as missing."""
+    values = df.select(column.cast("double").alias("x")).filter(F.col("x").isNotNull() & ~F.isnan("x"))
     lo, hi = values.agg(F.min("x"), F.max("x")).first()
     every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     if lo is None:
@@ -189,10 +190,17 @@ def box_by_rate_code(df: DataFrame) -> DataFrame:
     return box_stats(named, S.RATE).withColumn("rate_label", trip.rate_label(F.col(S.RATE)))
 
 
-def iqr_bounds(df: DataFrame, column: Column, factor: float = 1.5) -> tuple[float, float]:
-    """Outlier bounds Q1 - k IQR and Q3 + k IQR of any numeric column."""
-    q1, q3 = exact_quantiles(df, column, [0.25, 0.75])
-    return q1 - factor * (q3 - q1), q3 + factor * (q3 - q1)
+def iqr_bounds_of(df: DataFrame, columns: dict[str, Column], factor: float = 1.5) -> dict[str, tuple]:
+    """Outlier bounds Q1 - k IQR and Q3 + k IQR of several numeric columns; nulls for a column without values."""
+    bounds = {}
+    for name, (q1, q3) in quantiles_of(df, columns, [0.25, 0.75]).items():
+        bounds[name] = (None, None) if q1 is None else (q1 - factor * (q3 - q1), q3 + factor * (q3 - q1))
+    return bounds
+
+
+def iqr_bounds(df: DataFrame, column: Column, factor: float = 1.5) -> tuple[float | None, float | None]:
+    """Outlier bounds of one column."""
+    return iqr_bounds_of(df, {"x": column}, factor)["x"]
 
 
 def plausible_speeds(df: DataFrame) -> DataFrame:

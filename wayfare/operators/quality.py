@@ -97,7 +97,8 @@ def filter_audit(df: DataFrame, quality_rules: list[Rule] | None = None, dedup:
     """
     quality_rules = quality_rules or rules()
     data_columns = df.columns
-    blamed = df.withColumn("_failed", first_failed_rule(quality_rules))
+    # NaN is missing here as in ``clean``, so both find the same copies
+    blamed = nan_to_null(df.withColumn("_failed", first_failed_rule(quality_rules)))
     if dedup:
         keys = ["_failed"] + [F.when(F.col("_failed").isNull(), F.col(c)).alias(c) for c in data_columns]
         blamed = blamed.select(*keys).groupBy("_failed", *data_columns).agg(F.count(F.lit(1)).alias("_n"))

@@ -19,7 +19,7 @@ def sample_rows(df: DataFrame, n: int, key: Column, seed: int = 42) -> DataFrame
 
     The cut-off position is found by rank selection, then the sample is a plain filter. Nothing is
     sorted or gathered, whatever n is. ``key`` should tell rows apart; of rows that share the
-    cut-off position, as many are taken as the sample still needs. A smaller table comes back whole.
+    cut-off position, the first by all columns are taken, as many as the sample still needs. A smaller table comes back whole.
     """
     position = hash_position(key, seed)
     size = df.count()
@@ -29,4 +29,5 @@ def sample_rows(df: DataFrame, n: int, key: Column, seed: int = 42) -> DataFrame
     below = df.filter(position < F.lit(cut.value))
     if cut.below == n:
         return below
-    return below.unionAll(df.filter(position == F.lit(cut.value)).limit(n - cut.below))
+    ties = df.filter(position == F.lit(cut.value)).orderBy(*df.columns)
+    return below.unionAll(ties.limit(n - cut.below))

@@ -7,6 +7,7 @@ counts, at most ``BINS`` per bracket, and rows are never shuffled: counts merge
 shared by a third of all rows costs no more than any other, since it is one entry in one bin.
 """
 
+import math
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timedelta
@@ -18,7 +19,6 @@ from pyspark.sql import functions as F
 from wayfare.functions.time import epoch_micros, moment
 
 BINS = 4096
-SMALL_GROUP = 10_000
 SMALLEST = 5e-324
 
 
@@ -31,12 +31,15 @@ class Located:
     equal: int
 
 
+def _present(df: DataFrame, column: Column) -> Column:
+    """The column with NaN as missing."""
+    is_float = df.select(column.alias("x")).schema["x"].dataType.typeName() in ("double", "float")
+    return F.when(~F.isnan(column), column) if is_float else column
+
+
 def _values(df: DataFrame, column: Column) -> DataFrame:
     """The column as ``x``, with NaN as missing."""
-    values = df.select(column.alias("x"))
-    if values.schema["x"].dataType.typeName() in ("double", "float"):
-        values = values.select(F.when(~F.isnan("x"), F.col("x")).alias("x"))
-    return values
+    return df.select(_present(df, column).alias("x"))
 
 
 def count_and_range(df: DataFrame, column: Column) -> tuple[int, object, object]:
@@ -45,78 +48,138 @@ def count_and_range(df: DataFrame, column: Column) -> tuple[int, object, object]
     return row.n, row.lo, row.hi
 
 
-def locate_ranks(
-    df: DataFrame, column: Column, ranks: list[int], bounds=None, bins: int = BINS, small: int = SMALL_GROUP
-) -> dict[int, Located]:
+def _infinities(values: DataFrame) -> tuple[int, int]:
+    """Rows of minus and plus infinity."""
+    if values.schema["x"].dataType.typeName() not in ("double", "float"):
+        return 0, 0
+    x = F.col("x")
+    return tuple(values.agg(F.count_if(x == float("-inf")), F.count_if(x == float("inf"))).first())
+
+
+def locate_ranks(df: DataFrame, column: Column, ranks: list[int], bounds=None, bins: int = BINS) -> dict[int, Located]:
     """Value at each 0-based rank of a numeric column in ascending order. Nulls do not count.
 
-    ``bounds`` is (count, min, max) of the column where the caller already knows them. A bracket
-    of at most ``small`` rows is finished by reading its value counts instead of narrowing on.
+    ``bounds`` is (count, min, max) of the column where the caller already knows them. Infinite values are
+    counted apart, since no bin can hold them; they are the first and the last ranks.
     """
-    values = _values(df, column)
-    n, lo, hi = bounds or count_and_range(df, column)
-    found: dict[int, Located] = {}
-    for rank in ranks:
-        if not 0 <= rank < n:
-            raise ValueError(f"rank {rank} outside 0..{n - 1}")
-    # bracket (lo, hi, rows below lo, rows inside) -> ranks inside it; brackets never overlap
-    pending = {(lo, hi, 0, n): sorted(set(ranks))}
+    return locate_many(df, {"x": column}, {"x": ranks}, {"x": bounds} if bounds else None, bins)["x"]
+
+
+@dataclass(frozen=True, order=True)
+class Bracket:
+    """Rows of one column between two values that still hold a wanted rank."""
+
+    name: str
+    lo: object
+    hi: object
+    below: int
+    inside: int
+
+
+def locate_many(
+    df: DataFrame, columns: dict[str, Column], ranks: dict[str, list[int]], bounds: dict[str, tuple] | None = None, bins: int = BINS
+) -> dict[str, dict[int, Located]]:
+    """``locate_ranks`` of several columns at once: every pass over the rows narrows the brackets of all of them."""
+    found: dict[str, dict[int, Located]] = {name: {} for name in columns}
+    pending: dict[Bracket, list[int]] = {}
+    for name, column in columns.items():
+        values = _values(df, column)
+        n, lo, hi = (bounds or {}).get(name) or count_and_range(df, column)
+        for rank in ranks[name]:
+            if not 0 <= rank < n:
+                raise ValueError(f"rank {rank} outside 0..{n - 1}")
+        low = high = 0
+        if n and (math.isinf(lo) or math.isinf(hi)):
+            low, high = _infinities(values)
+            found[name].update({r: Located(float("-inf"), 0, low) for r in ranks[name] if r < low})
+            found[name].update({r: Located(float("inf"), n - high, high) for r in ranks[name] if r >= n - high})
+            lo, hi = values.filter(F.abs("x") < float("inf")).agg(F.min("x"), F.max("x")).first()
+        inside = sorted({r for r in ranks[name] if low <= r < n - high})
+        if inside:
+            pending[Bracket(name, lo, hi, low, n - low - high)] = inside
     while pending:
-        for (lo, hi, below, inside), wanted in list(pending.items()):
-            if lo == hi:
-                found.update({rank: Located(lo, below, inside) for rank in wanted})
-                del pending[(lo, hi, below, inside)]
-        if not pending:
-            break
-        brackets = sorted(pending)
-        last = all(inside <= small for _, _, _, inside in brackets)
-        if len(brackets) > 1 or brackets[0][2] > 0 or brackets[0][3] < n:
-            rows = values.filter(reduce(lambda a, b: a | b, [F.col("x").between(b[0], b[1]) for b in brackets]))
-        else:
-            rows = values.filter(F.col("x").isNotNull())
-        which, slot = F.lit(None).cast("int"), F.lit(None).cast("int")
-        for i, (lo, hi, _, _) in enumerate(brackets):
-            hit = F.col("x").between(lo, hi)
-            # integers subtract exactly; the width never rounds to zero
-            width = max(float(hi - lo) / bins, SMALLEST)
-            offset = (F.col("x") - F.lit(lo)).cast("double") / F.lit(width)
-            which = F.when(hit, i).otherwise(which)
-            slot = F.when(hit, F.least(F.floor(offset).cast("int"), F.lit(bins - 1))).otherwise(slot)
-        if last:  # one bin per distinct value
-            slot = F.col("x")
-        counted = (
-            rows.groupBy(which.alias("bracket"), slot.alias("bin"))
-            .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
-            .collect()  # at most ``bins`` rows per bracket
-        )
-        narrowed: dict[tuple, list[int]] = {}
-        for i, bracket in enumerate(brackets):
-            occupied = sorted((r for r in counted if r.bracket == i), key=lambda r: r.bin)
-            below = bracket[2]
-            wanted = list(pending[bracket])
-            for row in occupied:
-                here = [rank for rank in wanted if below <= rank < below + row.n]
-                if here:
-                    narrowed.setdefault((row.lo, row.hi, below, row.n), []).extend(here)
-                below += row.n
-        pending = narrowed
+        for bracket, wanted in list(pending.items()):
+            if bracket.lo == bracket.hi:
+                found[bracket.name].update({r: Located(bracket.lo, bracket.below, bracket.inside) for r in wanted})
+                del pending[bracket]
+        if pending:
+            pending = _narrowed(df, columns, pending, bins)
     return found
 
 
+def _narrowed(df: DataFrame, columns: dict[str, Column], pending: dict[Bracket, list[int]], bins: int) -> dict[Bracket, list[int]]:
+    """One pass: count the rows of each bracket by bin, and keep the bins that hold a wanted rank."""
+    brackets = sorted(pending)
+    entries = []
+    for i, bracket in enumerate(brackets):
+        x, lo = columns[bracket.name], bracket.lo
+        if isinstance(lo, float):
+            # halves, so that the difference of two finite numbers stays finite
+            width = max((bracket.hi / 2 - lo / 2) / bins, SMALLEST)
+            offset = (x / 2 - F.lit(lo / 2)) / F.lit(width)
+        elif bracket.hi - lo < 2**63:
+            offset = (x - F.lit(lo)).cast("double") / F.lit(max(float(bracket.hi - lo) / bins, SMALLEST))
+        else:
+            width = (float(bracket.hi) - float(lo)) / bins
+            offset = (x.cast("double") - F.lit(float(lo))) / F.lit(width)
+        slot = F.least(F.floor(offset).cast("int"), F.lit(bins - 1))
+        entries.append(F.when(x.between(lo, bracket.hi), F.struct(F.lit(i).alias("bracket"), slot.alias("bin"))))
+    counted = {}
+    for kind, names in _by_type(df, columns).items():
+        mine = [i for i, b in enumerate(brackets) if b.name in names]
+        if not mine:
+            continue
+        value = F.coalesce(*[F.when(F.col("hit.bracket") == i, columns[brackets[i].name]) for i in mine])
+        hits = df.filter(reduce(lambda a, b: a | b, [columns[brackets[i].name].between(brackets[i].lo, brackets[i].hi) for i in mine]))
+        hits = hits.withColumn("hit", F.explode(F.array_compact(F.array(*[entries[i] for i in mine]))))
+        rows = hits.groupBy("hit").agg(F.count(F.lit(1)).alias("n"), F.min(value).alias("lo"), F.max(value).alias("hi"))
+        for row in rows.collect():  # at most ``bins`` rows per bracket
+            counted.setdefault(row.hit.bracket, []).append((row.hit.bin, row.n, row.lo, row.hi))
+    narrowed: dict[Bracket, list[int]] = {}
+    for i, bracket in enumerate(brackets):
+        below = bracket.below
+        for _, n, lo, hi in sorted(counted[i]):
+            here = [rank for rank in pending[bracket] if below <= rank < below + n]
+            if here:
+                part = Bracket(bracket.name, lo, hi, below, n)
+                if part == bracket:
+                    raise RuntimeError(f"values between {lo} and {hi} cannot be told apart")
+                narrowed[part] = here
+            below += n
+    return narrowed
+
+
+def _by_type(df: DataFrame, columns: dict[str, Column]) -> dict[str, set[str]]:
+    """Names of the columns of each type, so that values of one type meet in one expression."""
+    fields = df.select(*[c.alias(name) for name, c in columns.items()]).schema.fields
+    kinds: dict[str, set[str]] = {}
+    for field in fields:
+        kinds.setdefault(field.dataType.simpleString(), set()).add(field.name)
+    return kinds
+
+
+def quantiles_of(df: DataFrame, columns: dict[str, Column], probabilities: list[float]) -> dict[str, list[float | None]]:
+    """Linearly interpolated quantiles of several columns in shared passes; None for a column without values."""
+    clean = {name: _present(df, column) for name, column in columns.items()}
+    parts = [F.struct(F.count(c), F.min(c), F.max(c)).alias(name) for name, c in clean.items()]
+    bounds = {name: tuple(value) for name, value in df.agg(*parts).first().asDict().items()}
+    full = {name: c for name, c in clean.items() if bounds[name][0]}
+    positions = {name: [p * (bounds[name][0] - 1) for p in probabilities] for name in full}
+    ranks = {name: sorted({r for pos in at for r in (int(pos), min(int(pos) + 1, bounds[name][0] - 1))}) for name, at in positions.items()}
+    found = locate_many(df, full, ranks, bounds) if full else {}
+    result: dict[str, list[float | None]] = {name: [None for _ in probabilities] for name in columns}
+    for name, at in positions.items():
+        last = bounds[name][0] - 1
+        for i, pos in enumerate(at):
+            left, right = (float(found[name][r].value) for r in (int(pos), min(int(pos) + 1, last)))
+            share = pos - int(pos)
+            result[name][i] = left if left == right or not share else left * (1 - share) + right * share if math.isinf(right - left) else left + (right - left) * share
+    return result
+
+
 def exact_quantiles(df: DataFrame, column: Column, probabilities: list[float]) -> list[float | None]:
     """Linearly interpolated quantiles of the whole table, exact at any size and any skew."""
-    n, lo, hi = count_and_range(df, column)
-    if n == 0:
-        return [None for _ in probabilities]
-    positions = [p * (n - 1) for p in probabilities]
-    ranks = {int(pos) for pos in positions} | {min(int(pos) + 1, n - 1) for pos in positions}
-    found = locate_ranks(df, column, sorted(ranks), (n, lo, hi))
-    result = []
-    for pos in positions:
-        left = float(found[int(pos)].value)
-        right = float(found[min(int(pos) + 1, n - 1)].value)
-        result.append(left + (right - left) * (pos - int(pos)))
-    return result
+    return quantiles_of(df, {"x": column}, probabilities)["x"]
 
 
 @dataclass(frozen=True)
@@ -135,6 +198,11 @@ class SortKey:
     def of(column: Column) -> "SortKey":
         return SortKey(column, column)
 
+    @staticmethod
+    def nullable(column: Column, blank) -> list["SortKey"]:
+        """Two keys of a column that may be null: nulls first, then its values, ``blank`` standing in for null."""
+        return [SortKey.of(column.isNotNull().cast("int")), SortKey.of(F.coalesce(column, F.lit(blank)))]
+
     @staticmethod
     def timestamp(name: str) -> "SortKey":
         """A zone-free timestamp column, numbered in microseconds since 1970."""
@@ -150,37 +218,22 @@ def row_cuts(df: DataFrame, order: list[SortKey], ranks: list[int], bounds=None)
 
     A returned key may be shorter than ``order``: it stops as soon as it separates the rows before
     the rank from the rest. Rows equal on every sort column are one unit and stay on the upper side
-    of a cut. ``bounds`` is (count, min, max) of the first number where already known.
+    of a cut. A group of rows that share the first key is narrowed by the next one, whatever its size.
+    ``bounds`` is (count, min, max) of the first number where already known.
     """
     head = order[0]
     first = locate_ranks(df, head.number, ranks, bounds)
-    inner = {rank: spot for rank, spot in first.items() if rank > spot.below and len(order) > 1}
-    small = {spot.value for spot in inner.values() if spot.equal <= SMALL_GROUP}
-    members = _small_groups(df, order, sorted(small)) if small else {}
     cuts = []
     for rank in ranks:
-        value, residual = first[rank].value, rank - first[rank].below
-        if rank not in inner:
-            cuts.append([value])
-        elif value in small:
-            cuts.append([value, *members[value][residual]])
+        spot = first[rank]
+        if rank == spot.below or len(order) == 1:
+            cuts.append([spot.value])
         else:
-            group = df.filter(head.column == head.literal(value))
-            cuts.append([value, *row_cuts(group, order[1:], [residual])[0]])
+            group = df.filter(head.column == head.literal(spot.value))
+            cuts.append([spot.value, *row_cuts(group, order[1:], [rank - spot.below])[0]])
     return cuts
 
 
-def _small_groups(df: DataFrame, order: list[SortKey], values: list) -> dict:
-    """Sorted remaining keys of the rows at each first-key value; at most SMALL_GROUP rows a value."""
-    head = order[0]
-    keys = [item.number.alias(f"k{i}") for i, item in enumerate(order)]
-    rows = df.filter(head.column.isin([head.literal(v) for v in values])).select(*keys).collect()
-    groups: dict = {}
-    for row in rows:
-        groups.setdefault(row[0], []).append(tuple(row)[1:])
-    return {value: sorted(members) for value, members in groups.items()}
-
-
 def at_or_after(order: list[SortKey], key: list) -> Column:
     """True for rows whose leading sort columns are lexicographically >= the key."""
     result = None

@@ -22,15 +22,19 @@ def by_cutoff(df: DataFrame, cutoff: str) -> tuple[DataFrame, DataFrame]:
     return df.filter(before), df.filter(after)
 
 
-def trip_order() -> list[SortKey]:
-    """Pickup time, then every other trip column, as a total order on distinct cleaned trips."""
-    numbers = [S.PU, S.DO, S.DISTANCE, S.FARE, S.TOTAL, S.PASSENGERS, S.RATE, S.PAYMENT]
-    return [
-        SortKey.timestamp(S.PICKUP),
-        SortKey.timestamp(S.DROPOFF),
-        *[SortKey.of(F.col(c)) for c in numbers],
-        SortKey.of((F.col(S.FLAG) == "Y").cast("int")),
-    ]
+def trip_order(columns: list[str] | None = None) -> list[SortKey]:
+    """Pickup time, then every other trip column there is, as a total order on distinct cleaned trips.
+
+    Both times, zones and the distance are never null in a cleaned trip; other columns may be, and nulls come first.
+    """
+    present = set(S.TRIP_COLUMNS if columns is None else columns)
+    order = [SortKey.timestamp(S.PICKUP), SortKey.timestamp(S.DROPOFF), *[SortKey.of(F.col(c)) for c in (S.PU, S.DO, S.DISTANCE)]]
+    for c in (S.FARE, S.TOTAL, S.PASSENGERS, S.RATE, S.PAYMENT):
+        if c in present:
+            order += SortKey.nullable(F.col(c), 0)
+    if S.FLAG in present:
+        order += SortKey.nullable((F.col(S.FLAG) == "Y").cast("int"), 0)
+    return order
 
 
 def fold_ranks(n: int, k: int) -> list[int]:
@@ -47,7 +51,7 @@ def with_time_blocks(df: DataFrame, k: int = 5, order: list[SortKey] | None = No
     Only the k cut rows are looked up; the block itself is then a comparison with k literals. No
     row numbers, no global sort, no shuffle, and a moment shared by many trips is split exactly.
     """
-    order = order or trip_order()
+    order = order or trip_order(df.columns)
     bounds = count_and_range(df, order[0].number)
     cuts = row_cuts(df, order, fold_ranks(bounds[0], k), bounds)
     block = sum((at_or_after(order, cut).cast("int") for cut in cuts), F.lit(0))

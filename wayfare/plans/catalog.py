@@ -4,6 +4,8 @@ Each entry takes (spark, sf_dir) and returns a DataFrame. Floating-point outputs
 fixed number of places, so that a second engine summing in another order agrees.
 """
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +15,7 @@ from wayfare import session
 from wayfare.functions import requests as R
 from wayfare.functions import time as calendar
 from wayfare.functions import trip
-from wayfare.models import evaluation, linear_search, neural, pipelines, search, store
+from wayfare.models import evaluation, linear_search, pipelines, store
 from wayfare.operators import impute as imputing
 from wayfare.operators import metrics, profiling, quality, sampling, split
 from wayfare.plans import features, prepare, report, scoring
@@ -30,8 +32,7 @@ SIMPLE_MODELS = {
     "route_median": "route_median_duration",
 }
 PREDICTED = "route_mean_duration"
-# Some of these months have no trips; a read skips them.
-MONTHS = trips.months_between((1994, 1), (2002, 12))
+DRIFT_YEAR = 1998  # months before it are read without totals
 
 
 def query(function):
@@ -87,8 +88,23 @@ def trip_key() -> Column:
 @query
 def scan_trips(ws):
     """Every catalogued month that exists, chosen columns."""
-    ws.raw()
-    return trips.read_trip_table(ws.spark, ws.path("raw"), MONTHS, with_keys(S.DISTANCE, S.FARE))
+    return trips.read_trip_table(ws.spark, ws.path("raw"), ws.months, with_keys(S.DISTANCE, S.FARE))
+
+
+@query
+def scan_months(ws):
+    """Monthly files through the file reader, provenance from their names; one listed month does not exist."""
+    root, months = session.scratch_path(ws.spark, "monthly"), ws.months
+
+    def write(month):
+        mine = (F.col(S.SOURCE_YEAR) == month[0]) & (F.col(S.SOURCE_MONTH) == month[1])
+        ws.raw().filter(mine).select(*S.TRIP_COLUMNS).write.parquet(trips.month_paths(root, [month])[0])
+
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(write, months))
+    missing = (months[-1][0] + 1, 1)
+    found = trips.read_months(ws.spark, root, [*months, missing], uniform=True, with_source=True)
+    return found.groupBy(S.SOURCE_YEAR, S.SOURCE_MONTH).agg(F.count(F.lit(1)).alias("trips"), F.count(S.PASSENGERS).alias("with_passengers"))
 
 
 @query
@@ -102,8 +118,7 @@ def scan_source_month(ws):
 @query
 def union_months(ws):
     """Earlier and later months whose columns drifted: no totals, then integer passengers."""
-    ws.raw()
-    early, late = ([m for m in MONTHS if (m[0] < 1998) == first] for first in (True, False))
+    early, late = ([m for m in ws.months if (m[0] < DRIFT_YEAR) == first] for first in (True, False))
     before = trips.read_trip_table(ws.spark, ws.path("raw"), early, S.TRIP_COLUMNS).drop(S.TOTAL)
     after = trips.read_trip_table(ws.spark, ws.path("raw"), late, S.TRIP_COLUMNS)
     return trips.union_months([before, after.withColumn(S.PASSENGERS, F.col(S.PASSENGERS).cast("int"))])
@@ -126,8 +141,8 @@ def roundtrip_parquet(ws):
 
 @query
 def typed_trips(ws):
-    """Cleaned trips in the narrow export types."""
-    compact = prepare.compact_types(ws.train())
+    """Cleaned trips of both periods in the narrow export types."""
+    compact = prepare.compact_types(ws.clean())
     return compact.select(*S.TRIP_COLUMNS, S.TARGET)
 
 
@@ -207,19 +222,19 @@ def time_split(ws):
 @query
 def iqr_bounds(ws):
     """Outlier bounds of three columns, with the number of trips outside."""
-    train = ws.train()
-    parts = []
-    for name, column in [(S.SECONDS, S.SECONDS), (S.DISTANCE, S.DISTANCE), (S.FARE, S.FARE)]:
-        low, high = profiling.iqr_bounds(train, F.col(column))
-        parts.append(
-            train.agg(
-                F.lit(name).alias("column_name"),
-                F.round(F.lit(low), 6).alias("lower_bound"),
-                F.round(F.lit(high), 6).alias("upper_bound"),
-                F.count_if((F.col(column) < low) | (F.col(column) > high)).alias("outliers"),
-            )
+    train, names = ws.train(), [S.SECONDS, S.DISTANCE, S.FARE]
+    bounds = profiling.iqr_bounds_of(train, {c: F.col(c) for c in names})
+    outside = [F.count_if((F.col(c) < bounds[c][0]) | (F.col(c) > bounds[c][1])).alias(c) for c in names]
+    rows = [
+        F.struct(
+            F.lit(c).alias("column_name"),
+            F.round(F.lit(bounds[c][0]).cast("double"), 6).alias("lower_bound"),
+            F.round(F.lit(bounds[c][1]).cast("double"), 6).alias("upper_bound"),
+            F.col(c).alias("outliers"),
         )
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+        for c in names
+    ]
+    return train.agg(*outside).select(F.inline(F.array(*rows)))
 
 
 @query
@@ -258,7 +273,7 @@ def distance_features(ws):
 
 @query
 def location_features(ws):
-    df = features.with_location_features(ws.test(), ws.artifacts.zone_profile)
+    df = features.with_location_features(ws.clean(), ws.artifacts.zone_profile)
     names = ["same_zone_flag", "pu_borough", "do_borough", "cross_borough_flag", "pu_zone_rank", "do_zone_rank"]
     return df.select(*with_keys(*names))
 
@@ -289,7 +304,7 @@ def global_mean(ws):
 
 @query
 def route_features(ws):
-    df = features.with_route_features(ws.test(), ws.artifacts.routes, ws.artifacts.global_mean)
+    df = features.with_route_features(ws.clean(), ws.artifacts.routes, ws.artifacts.global_mean)
     names = ["route_mean_duration", "route_median_duration"]
     return rounded(df.select(*with_keys(*names)), 6, *names)
 
@@ -318,9 +333,9 @@ def feature_matrix(ws):
 
 @query
 def feature_matrix_short(ws):
-    """The 29 inputs of the short variant, for test trips."""
+    """The 29 inputs of the short variant, for training and test trips."""
     columns = features.feature_set("short")
-    return rounded(features.matrix(ws.test_features(), columns), 6, *fractional(columns), S.TARGET)
+    return rounded(features.matrix(ws.featured(ws.clean()), columns), 6, *fractional(columns), S.TARGET)
 
 
 # ---- profiling
@@ -431,11 +446,26 @@ def ts_split(ws):
     return blocks.select(*with_keys(S.DISTANCE, S.TOTAL, S.PASSENGERS, S.RATE, S.PAYMENT, S.FLAG, "block"))
 
 
+@query
+def ts_split_short(ws):
+    """The same blocks for trips read without the total, as the short variant reads them."""
+    blocks = split.with_time_blocks(ws.train().drop(S.TOTAL), 5)
+    return blocks.select(*with_keys(S.DISTANCE, S.FARE, S.PASSENGERS, S.RATE, S.PAYMENT, S.FLAG, "block"))
+
+
+@query
+def ts_split_drifted(ws):
+    """Blocks of trips whose early months have no total."""
+    total = F.when(F.year(S.PICKUP) >= DRIFT_YEAR, F.col(S.TOTAL))
+    blocks = split.with_time_blocks(ws.train().withColumn(S.TOTAL, total), 5)
+    return blocks.select(*with_keys(S.DISTANCE, S.TOTAL, S.PASSENGERS, S.RATE, S.PAYMENT, S.FLAG, "block"))
+
+
 @query
 def clip(ws):
     """Predictions held at zero for evaluation and inside the served range for serving."""
     signed = F.col("baseline_duration") - 60
-    df = trip.with_distance_features(ws.test(), S.DEFAULT_SPEED_MPH).withColumns(
+    df = trip.with_distance_features(ws.clean(), S.DEFAULT_SPEED_MPH).withColumns(
         {"evaluated": trip.clip(signed, low=0), "served": trip.clip(signed, *scoring.SERVED_RANGE)}
     )
     return rounded(df.select(*with_keys("evaluated", "served")), 6, "evaluated", "served")
@@ -612,31 +642,25 @@ def run_stream(ws, predictor, name: str) -> DataFrame:
 # ---- models
 
 COLUMNS = features.feature_set("full")
-# Registered queries train on every row but for few rounds; the presets hold the full settings.
-QUICK = {"maxIter": 15, "stepSize": 0.2}
-
-
 def measured(ws, **models) -> DataFrame:
     """Test metrics of fitted models."""
     return evaluation.evaluate_fitted(ws.test_matrix(), models, baseline=False)
 
 
-def fitted_ols(ws):
-    return pipelines.linear_regression(COLUMNS).fit(ws.train_matrix())
+def fitted_ols(ws, columns: list[str] = COLUMNS):
+    return ws.model(f"linear_regression_{len(columns)}", lambda: pipelines.linear_regression(columns).fit(ws.train_matrix()))
 
 
-def fitted_ridge(ws):
-    train = ws.train_matrix()
-    moments = linear_search.block_moments(train, COLUMNS)
-    alpha = linear_search.best_alpha(linear_search.grid_scores(moments, pipelines.FULL_ALPHAS))
-    rows, deviation = train.agg(F.count(F.lit(1)), F.stddev_pop(S.TARGET)).first()
-    return pipelines.ridge_regression(COLUMNS, alpha, rows, deviation).fit(train)
+def fitted_ridge(ws, columns: list[str] = COLUMNS, alpha: float | None = None):
+    def fit():
+        train, penalty = ws.train_matrix(), alpha
+        if penalty is None:
+            moments = linear_search.block_moments(train, columns)
+            penalty = linear_search.best_alpha(linear_search.grid_scores(moments, pipelines.FULL_ALPHAS))
+        rows, deviation = train.agg(F.count(F.lit(1)), F.stddev_pop(S.TARGET)).first()
+        return pipelines.ridge_regression(columns, penalty, rows, deviation).fit(train)
 
-
-def fitted_trees(ws, preset: str = "A"):
-    train = pipelines.with_validation_block(ws.train_matrix())
-    settings = {**pipelines.BOOSTING_PRESETS[preset], **QUICK}
-    return pipelines.boosted_trees(COLUMNS, validation="is_validation", **settings).fit(train)
+    return ws.model(f"ridge_regression_{len(columns)}", fit)
 
 
 @query
@@ -715,42 +739,6 @@ def cv_scores(ws):
     return ws.spark.read.schema(summary.schema).json(path)
 
 
-@query
-def gbt(ws):
-    """Boosted trees, first preset, early stopping on the latest training block."""
-    return measured(ws, boosted_trees_a=fitted_trees(ws, "A"))
-
-
-@query
-def gbt_b(ws):
-    """The second preset, with a random forest for contrast."""
-    forest = pipelines.random_forest(COLUMNS, numTrees=20, maxDepth=7).fit(ws.train_matrix())
-    return measured(ws, boosted_trees_b=fitted_trees(ws, "B"), random_forest=forest)
-
-
-@query
-def gbt_search(ws):
-    """Random draws from the boosting space, validated on expanding windows."""
-    space = {**pipelines.BOOSTING_SPACE, "n_estimators": [3, 6]}
-    candidates = []
-    for draw in search.draws(space, 3):
-        name = ", ".join(f"{k}={v}" for k, v in draw.items())
-        candidates.append((name, pipelines.boosted_trees(COLUMNS, **pipelines.boosting_params(draw))))
-    return search.search(ws.train_matrix(), candidates, parallelism=3)
-
-
-@query
-def feature_importance(ws):
-    return pipelines.top_importance(fitted_trees(ws), ws.spark, 25)
-
-
-@query
-def mlp_bands(ws):
-    """The neural band model, with small layers."""
-    model = neural.fit_bands(ws.train_matrix(), COLUMNS, bands=8, hidden=[32, 16], max_iter=40)
-    return measured(ws, neural_bands=model)
-
-
 @query
 def model_roundtrip(ws):
     """Metrics of a model before saving and after loading, with its own input count."""
@@ -763,23 +751,64 @@ def model_roundtrip(ws):
 
 @query
 def model_leaderboard(ws):
-    """Saved models beside the baseline: metrics, gains and the best one; a missing model is skipped."""
+    """Saved linear models beside the baseline: metrics, gains and the best one; a missing model is skipped."""
     root = session.scratch_path(ws.spark, "models")
     store.save_model(fitted_ols(ws), root, "linear_regression")
     store.save_model(fitted_ridge(ws), root, "ridge_regression")
-    store.save_model(fitted_trees(ws), root, "boosted_trees_a")
-    names = ["linear_regression", "ridge_regression", "boosted_trees_a", "boosted_trees_b"]
+    names = ["linear_regression", "ridge_regression", "no_such_model"]
     return metrics.leaderboard(evaluation.evaluate_saved(ws.test_matrix(), root, names))
 
 
 @query
 def score_batch(ws):
-    """Batch scoring of requests with boosted trees."""
-    predictor = scoring.model_predictor(fitted_trees(ws), COLUMNS)
-    return scoring.score(valid_requests(ws), ws.artifacts, predictor, "boosted_trees", ["event_id"])
+    """Batch scoring of requests with ridge regression."""
+    predictor = scoring.model_predictor(fitted_ridge(ws), COLUMNS)
+    return scoring.score(valid_requests(ws), ws.artifacts, predictor, "ridge_regression", ["event_id"])
 
 
 @query
 def stream_score(ws):
     """Stream scoring of the same requests with linear regression."""
     return run_stream(ws, scoring.model_predictor(fitted_ols(ws), COLUMNS), "linear_regression")
+
+
+# ---- models of one input, which SQL can check
+
+ONE = [S.DISTANCE]
+ALPHA_1D = 10.0
+
+
+@query
+def model_leaderboard_1d(ws):
+    """The library's own linear and ridge pipelines on distance alone, saved, loaded and measured beside the baseline."""
+    root = session.scratch_path(ws.spark, "models")
+    store.save_model(fitted_ols(ws, ONE), root, "linear_regression")
+    store.save_model(fitted_ridge(ws, ONE, ALPHA_1D), root, "ridge_regression")
+    return metrics.leaderboard(evaluation.evaluate_saved(ws.test_matrix(), root, ["linear_regression", "ridge_regression"]))
+
+
+@query
+def score_batch_1d(ws):
+    predictor = scoring.model_predictor(fitted_ols(ws, ONE), ONE)
+    return scoring.score(valid_requests(ws), ws.artifacts, predictor, "linear_regression", ["event_id"])
+
+
+@query
+def stream_score_1d(ws):
+    return run_stream(ws, scoring.model_predictor(fitted_ols(ws, ONE), ONE), "linear_regression")
+
+
+@query
+def gbt_stump(ws):
+    """One boosting round of depth one on the hour: the duration it predicts for each hour of the training trips."""
+    hours = ["hour"]
+    trees = ws.model("gbt_stump", lambda: pipelines.boosted_trees(hours, maxIter=1, maxDepth=1, stepSize=0.2).fit(ws.train_matrix()))
+    counts = ws.train_matrix().groupBy("hour").agg(F.count(F.lit(1)).alias("trips"))
+    return trees.transform(counts).select("hour", "trips", F.round("prediction", 6).alias("predicted"))
+
+
+@query
+def stump_importance(ws):
+    """Its only input carries the whole importance."""
+    gbt_stump(ws)
+    return pipelines.top_importance(ws.model("gbt_stump", None), ws.spark, 25)

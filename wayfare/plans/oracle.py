@@ -145,6 +145,7 @@ def feature_cte(source: str) -> str:
 
 CTES["train_features"] = feature_cte("train")
 CTES["test_features"] = feature_cte("test")
+CTES["clean_features"] = feature_cte("clean")
 CTES["request_features"] = feature_cte("valid_trips")
 CTES["errors"] = """
         SELECT *, route_mean_duration - trip_duration_minutes AS error_minutes,
@@ -169,6 +170,36 @@ CTES["blocks"] = """
         FROM (SELECT *, row_number() OVER (ORDER BY tpep_pickup_datetime, tpep_dropoff_datetime, PULocationID, DOLocationID,
                 trip_distance, fare_amount, total_amount, passenger_count, RatecodeID, payment_type,
                 store_and_fwd_flag) - 1 AS idx, count(*) OVER () AS n, count(*) OVER () // 6 AS t FROM train)"""
+
+
+def blocks_cte(total: str) -> str:
+    """Time blocks of the training trips in the order of every column, nulls first; ``total`` stands for the total."""
+    numbers = ", ".join(f"{c} NULLS FIRST" for c in ("fare_amount", "total", "passenger_count", "RatecodeID", "payment_type", "store_and_fwd_flag"))
+    return f"""
+        SELECT *, CAST(CASE WHEN idx < n - 5 * t THEN 0 ELSE 1 + (idx - (n - 5 * t)) // t END AS INTEGER) AS block
+        FROM (SELECT *, row_number() OVER (ORDER BY tpep_pickup_datetime, tpep_dropoff_datetime, PULocationID, DOLocationID,
+                trip_distance, {numbers}) - 1 AS idx, count(*) OVER () AS n, count(*) OVER () // 6 AS t
+              FROM (SELECT *, {total} AS total FROM train))"""
+
+
+CTES["short_blocks"] = blocks_cte("0")
+CTES["drifted_blocks"] = blocks_cte("CASE WHEN year(tpep_pickup_datetime) >= 1998 THEN total_amount END")
+CTES["line"] = """
+        SELECT count(*) AS n, avg(trip_distance) AS xbar, avg(trip_duration_minutes) AS ybar,
+          regr_slope(trip_duration_minutes, trip_distance) AS slope FROM train"""
+CTES["line_predictions"] = """
+        SELECT 'baseline' AS model, trip_duration_minutes AS y, greatest(baseline_duration, 0) AS p FROM test_features
+        UNION ALL SELECT 'linear_regression', trip_duration_minutes, greatest(ybar + slope * (trip_distance - xbar), 0) FROM test_features, line
+        UNION ALL SELECT 'ridge_regression', trip_duration_minutes,
+          greatest(ybar + slope * n / (n + 10.0::DOUBLE) * (trip_distance - xbar), 0) FROM test_features, line"""
+CTES["line_measured"] = CTES["measured"].replace("long_predictions", "line_predictions")
+CTES["line_board"] = re.sub(r"\bmeasured\b", "line_measured", CTES["board"])
+CTES["line_scored"] = """
+        SELECT event_id, round(greatest(least(ybar + slope * (trip_distance - xbar), 300.0), 1.0), 2) AS predicted_duration_minutes,
+          round(trip_distance / avg_speed * 60, 2) AS baseline_duration_minutes, 'linear_regression' AS model_used, pickup_datetime
+        FROM valid_trips, line, scalars"""
+CTES["hours"] = """
+        SELECT hour(tpep_pickup_datetime) AS h, count(*) AS k, sum(trip_duration_minutes) AS y FROM train GROUP BY 1"""
 CTES["keyed"] = """
         SELECT *, md5(concat_ws('|', date_diff('second', TIMESTAMP '1970-01-01', tpep_pickup_datetime), duration_s, PULocationID,
           DOLocationID, CAST(round(trip_distance * 100) AS BIGINT), CAST(round(total_amount * 100000) AS BIGINT),
@@ -313,12 +344,14 @@ def error_by(keys: str) -> str:
 
 
 SQL = {
-    "scan_trips": f"""SELECT {KEY}, trip_distance, fare_amount FROM raw
-      WHERE year(tpep_dropoff_datetime) BETWEEN 1994 AND 2002""",
+    "scan_trips": f"""SELECT {KEY}, trip_distance, fare_amount FROM raw""",
+    "scan_months": """SELECT CAST(year(tpep_dropoff_datetime) AS INTEGER) AS source_year,
+      CAST(month(tpep_dropoff_datetime) AS INTEGER) AS source_month, count(*) AS trips, count(passenger_count) AS with_passengers
+      FROM raw GROUP BY 1, 2""",
     "scan_source_month": """SELECT CAST(year(tpep_dropoff_datetime) AS INTEGER) AS source_year,
       CAST(month(tpep_dropoff_datetime) AS INTEGER) AS source_month, count(*) AS trips FROM raw GROUP BY 1, 2""",
     "union_months": f"""SELECT {TRIP.replace('total_amount', 'CASE WHEN year(tpep_dropoff_datetime) >= 1998 THEN total_amount END AS total_amount')}
-      FROM raw WHERE year(tpep_dropoff_datetime) BETWEEN 1994 AND 2002""",
+      FROM raw""",
     "zone_volumes": """SELECT t.LocationID, trips, Borough, Zone, service_zone FROM
       (SELECT PULocationID AS LocationID, count(*) AS trips FROM clean GROUP BY 1) t LEFT JOIN zones USING (LocationID)""",
     "roundtrip_parquet": f"""SELECT {TRIP}, CAST(year(tpep_pickup_datetime) AS INTEGER) AS year,
@@ -328,7 +361,7 @@ SQL = {
       CAST(fare_amount AS FLOAT) AS fare_amount, CAST(total_amount AS FLOAT) AS total_amount,
       CAST(passenger_count AS FLOAT) AS passenger_count, CAST(payment_type AS FLOAT) AS payment_type,
       CAST(RatecodeID AS FLOAT) AS RatecodeID, store_and_fwd_flag,
-      CAST(trip_duration_minutes AS FLOAT) AS trip_duration_minutes FROM train""",
+      CAST(trip_duration_minutes AS FLOAT) AS trip_duration_minutes FROM clean""",
     "duration": f"SELECT {KEY}, round(trip_duration_minutes, 6) AS trip_duration_minutes, duration_s FROM raw",
     "clean_trips": f"SELECT {TRIP} FROM passing",
     "clean_trips_short": f"""SELECT {KEY}, trip_distance, fare_amount, total_amount, coalesce(passenger_count, 0) AS passenger_count,
@@ -346,9 +379,10 @@ SQL = {
       count(*) AS trips, min(tpep_pickup_datetime) AS first_pickup, max(tpep_pickup_datetime) AS last_pickup,
       CAST(sum(duration_s) AS BIGINT) AS total_seconds FROM clean GROUP BY 1""",
     "iqr_bounds": " UNION ALL ".join(outliers(c) for c in ("duration_s", "trip_distance", "fare_amount")),
-    "iqr_outliers": f"""SELECT {KEY}, trip_distance FROM raw, (SELECT quantile_cont(trip_distance, 0.25) AS q1,
-      quantile_cont(trip_distance, 0.75) AS q3 FROM train)
-      WHERE trip_distance < q1 - 1.5 * (q3 - q1) OR trip_distance > q3 + 1.5 * (q3 - q1)""",
+    "iqr_outliers": f"""SELECT {KEY}, trip_distance FROM raw
+      WHERE trip_distance NOT BETWEEN
+        (SELECT quantile_cont(trip_distance, 0.25) - 1.5 * (quantile_cont(trip_distance, 0.75) - quantile_cont(trip_distance, 0.25)) FROM train)
+        AND (SELECT quantile_cont(trip_distance, 0.75) + 1.5 * (quantile_cont(trip_distance, 0.75) - quantile_cont(trip_distance, 0.25)) FROM train)""",
     "time_features": f"""SELECT {KEY}, CAST(hour(tpep_pickup_datetime) AS INTEGER) AS hour, CAST({DAY} AS INTEGER) AS day_of_week,
       CAST(day(tpep_pickup_datetime) AS INTEGER) AS day_of_month, CAST(month(tpep_pickup_datetime) AS INTEGER) AS month,
       CAST(year(tpep_pickup_datetime) AS INTEGER) AS year, CAST(quarter(tpep_pickup_datetime) AS INTEGER) AS quarter,
@@ -366,7 +400,7 @@ SQL = {
     "distance_features": f"""SELECT {KEY}, trip_distance, round(ln(1 + trip_distance), 9) AS log_distance,
       round(trip_distance / 12.5 * 60, 9) AS baseline_duration FROM clean""",
     "location_features": f"""SELECT {KEY}, same_zone_flag, CAST(pu_borough AS INTEGER) AS pu_borough,
-      CAST(do_borough AS INTEGER) AS do_borough, cross_borough_flag, pu_zone_rank, do_zone_rank FROM test_features""",
+      CAST(do_borough AS INTEGER) AS do_borough, cross_borough_flag, pu_zone_rank, do_zone_rank FROM clean_features""",
     "zone_popularity": """SELECT coalesce(PULocationID, DOLocationID) AS LocationID, CAST(coalesce(pickups, 0) AS BIGINT) AS pickups,
       CAST(coalesce(dropoffs, 0) AS BIGINT) AS dropoffs FROM pu_counts FULL JOIN do_counts ON PULocationID = DOLocationID""",
     "route_stats": """SELECT PULocationID, DOLocationID, round(route_mean_duration, 6) AS route_mean_duration,
@@ -376,7 +410,7 @@ SQL = {
       FROM all_routes WHERE trips >= 30""",
     "global_mean": "SELECT round(global_mean, 9) AS global_mean FROM scalars",
     "route_features": f"""SELECT {KEY}, round(route_mean_duration, 6) AS route_mean_duration,
-      round(route_median_duration, 6) AS route_median_duration FROM test_features""",
+      round(route_median_duration, 6) AS route_median_duration FROM clean_features""",
     "route_coverage": " UNION ALL ".join(
         f"""SELECT '{part}' AS part, count(*) AS trips, count(route_mean_duration) AS matched,
       round(count(route_mean_duration) * 100.0::DOUBLE / count(*), 4) AS coverage_pct
@@ -396,7 +430,7 @@ SQL = {
         for part in ("train", "test")
     ),
     "feature_matrix_short": matrix_select(
-        features.SHORT_FEATURES, "test_features", "round(trip_duration_minutes, 6) AS trip_duration_minutes"
+        features.SHORT_FEATURES, "clean_features", "round(trip_duration_minutes, 6) AS trip_duration_minutes"
     ),
     "duration_summary": """SELECT count(duration_s) AS trips, round(min(duration_s) / 60.0::DOUBLE, 6) AS min_minutes,
       round(max(duration_s) / 60.0::DOUBLE, 6) AS max_minutes, round(sum(duration_s) / (60.0::DOUBLE * count(*)), 6) AS mean_minutes,
@@ -445,8 +479,12 @@ SQL = {
       FROM ({CTES['keyed']} train) ORDER BY h LIMIT 10000""",
     "ts_split": f"""SELECT {KEY}, trip_distance, total_amount, passenger_count, RatecodeID, payment_type, store_and_fwd_flag, block
       FROM blocks""",
+    "ts_split_short": f"""SELECT {KEY}, trip_distance, fare_amount, passenger_count, RatecodeID, payment_type, store_and_fwd_flag, block
+      FROM short_blocks""",
+    "ts_split_drifted": f"""SELECT {KEY}, trip_distance, total AS total_amount, passenger_count, RatecodeID, payment_type, store_and_fwd_flag, block
+      FROM drifted_blocks""",
     "clip": f"""SELECT {KEY}, round(greatest(trip_distance / 12.5 * 60 - 60, 0), 6) AS evaluated,
-      round(least(greatest(trip_distance / 12.5 * 60 - 60, 1), 300), 6) AS served FROM test""",
+      round(least(greatest(trip_distance / 12.5 * 60 - 60, 1), 300), 6) AS served FROM clean""",
     "error_columns": f"""SELECT {KEY}, round(error_minutes, 6) AS error_minutes, round(abs_error, 6) AS abs_error,
       round(abs_error / trip_duration_minutes * 100, 6) AS pct_error FROM errors""",
     "baseline_metrics": "SELECT * FROM measured",
@@ -522,6 +560,16 @@ SQL["scaled_features"] = " UNION ALL ".join(
 )
 SQL["ols_1d"] = """SELECT count(*) AS rows, round(regr_slope(trip_duration_minutes, trip_distance), 9) AS slope,
       round(regr_intercept(trip_duration_minutes, trip_distance), 9) AS intercept FROM train"""
+SQL["model_leaderboard_1d"] = "SELECT * FROM line_board"
+SQL["score_batch_1d"] = "SELECT * FROM line_scored"
+SQL["stream_score_1d"] = re.sub(r"\bscored\b", "line_scored", SQL["stream_score_baseline"])
+SQL["gbt_stump"] = """SELECT CAST(h AS DOUBLE) AS hour, k AS trips,
+      round(CASE WHEN h <= cut THEN left_y / left_k ELSE (all_y - left_y) / (all_k - left_k) END, 6) AS predicted
+      FROM hours, (SELECT * FROM (SELECT h AS cut, sum(y) OVER w AS left_y, sum(k) OVER w AS left_k, sum(y) OVER () AS all_y,
+          sum(k) OVER () AS all_k FROM hours WINDOW w AS (ORDER BY h))
+        WHERE left_k < all_k
+        ORDER BY left_y * left_y / left_k + (all_y - left_y) * (all_y - left_y) / (all_k - left_k) DESC LIMIT 1)"""
+SQL["stump_importance"] = "SELECT 'hour' AS feature, 1.0::DOUBLE AS importance"
 SQL["cv_ols_1d"] = """SELECT block, count(*) AS rows, round(sqrt(avg((y - p) * (y - p))), 6) AS RMSE,
       round(avg(abs(y - p)), 6) AS MAE, round(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)), 6) AS R2
       FROM (SELECT b.block, trip_duration_minutes AS y, greatest(intercept + slope * trip_distance, 0) AS p

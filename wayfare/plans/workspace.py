@@ -11,9 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wayfare import schema as S
 from wayfare import session
+from wayfare.models import store
 from wayfare.operators import impute, split
 from wayfare.plans import features, prepare
-from wayfare.sources import sinks, star_schema
+from wayfare.sources import sinks, star_schema, trips
 
 
 class Workspace:
@@ -23,6 +24,7 @@ class Workspace:
         self.min_route_count = min_route_count
         self.root = session.scratch_path(spark, "stages")
         self._tables: dict[str, DataFrame] = {}
+        self._models: dict[str, object] = {}
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -33,6 +35,20 @@ class Workspace:
             self._tables[name] = self.spark.read.parquet(self.path(name))
         return self._tables[name]
 
+    @cached_property
+    def months(self) -> list[trips.Month]:
+        """Every month from the first to the last that the raw trips have files of."""
+        rows = self.raw().select(S.SOURCE_YEAR, S.SOURCE_MONTH).distinct().collect()  # a row per month
+        found = sorted((r[0], r[1]) for r in rows)
+        return trips.months_between(found[0], found[-1]) if found else []
+
+    def model(self, name: str, fit):
+        """A fitted model, saved under its name the first time and loaded by whoever asks again."""
+        if name not in self._models:
+            store.save_model(fit(), self.path("models"), name)
+            self._models[name] = store.load_model(self.spark, self.path("models"), name)
+        return self._models[name]
+
     @cached_property
     def _raw_written(self) -> bool:
         raw = star_schema.trips(self.spark, self.sf_dir)

@@ -111,7 +111,7 @@ def read_trip_table(
 ) -> DataFrame:
     """A trip table partitioned by year and month, as written by ``sinks.write_trips``.
 
-    The month list filters partition columns, so other months are never listed or opened.
+    The month list filters partition columns: all partitions are listed, those of other months are never opened.
     """
     df = spark.read.parquet(path)
     if months is not None:
