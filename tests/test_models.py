@@ -163,6 +163,22 @@ def test_scaling(data):
     assert np.allclose(values.mean(0), 0) and np.allclose(values[:, :3].std(0, ddof=1), 1)
 
 
+def test_saved_neural_bands_predict_the_same(spark, data, tmp_path):
+    model = neural.fit_bands(data, COLUMNS[:2], bands=3, hidden=[4], max_iter=20)
+    store.save_model(model, str(tmp_path), "bands")
+    loaded = store.load_model(spark, str(tmp_path), "bands")
+    assert store.input_columns(loaded) == COLUMNS[:2]
+    both = evaluation.with_predictions(data, {"saved": model, "loaded": loaded})
+    assert both.filter("abs(saved - loaded) > 1e-9").count() == 0
+    assert store.load_model(spark, str(tmp_path), "nothing") is None
+
+
+def test_best_round_has_patience():
+    assert pipelines.best_round([5.0, 4.0, 4.5, 4.2, 3.0, 3.5], 3) == 5
+    assert pipelines.best_round([5.0, 4.0, 4.5, 4.2, 4.1, 3.0], 3) == 2
+    assert pipelines.best_round([1.0], 50) == 1
+
+
 def test_neural_bands_predict_inside_the_label_range(data):
     model = neural.fit_bands(data, COLUMNS[:2], bands=4, hidden=[8], max_iter=60)
     scored = model.transform(data)

@@ -35,6 +35,7 @@ BOOSTING_SPACE = {
     "reg_lambda": [0.0, 0.1, 1.0],
 }
 SEARCH_DRAWS = 30
+PATIENCE = 50
 
 
 def assembler(columns: list[str]) -> VectorAssembler:
@@ -85,6 +86,29 @@ def boosted_trees(columns: list[str], label: str = S.TARGET, validation: str | N
     return Pipeline(stages=[assembler(columns), trees])
 
 
+def best_round(errors: list[float], patience: int) -> int:
+    """Rounds to keep: up to the lowest error before ``patience`` rounds brought no lower one."""
+    best = 0
+    for i, error in enumerate(errors):
+        if error < errors[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
+def fit_with_patience(train: DataFrame, columns: list[str], patience: int = PATIENCE, block: str = "block", label: str = S.TARGET, **params):
+    """Boosted trees with early stopping: rounds are counted on the latest block, then all rows are fitted with so many.
+
+    One fit on the earlier blocks gives the validation error after every round in one pass.
+    """
+    marked = with_validation_block(train, block=block)
+    rounds = boosted_trees(columns, label, **params).fit(marked.filter(~F.col("is_validation")))
+    held_out = rounds.stages[0].transform(marked.filter("is_validation"))
+    errors = rounds.stages[-1].evaluateEachIteration(held_out, "squared")
+    return boosted_trees(columns, label, **{**params, "maxIter": best_round(errors, patience)}).fit(train)
+
+
 def random_forest(columns: list[str], label: str = S.TARGET, seed: int = SEED, **params) -> Pipeline:
     return Pipeline(stages=[assembler(columns), RandomForestRegressor(labelCol=label, seed=seed, **params)])
 

@@ -1,33 +1,48 @@
-"""Model persistence: one saved pipeline per name, with its ordered input list."""
+"""Model persistence: one saved model per name, with its ordered input list.
 
-import json
+A neural band model is its network beside a small table of band means.
+"""
 
 from pyspark.errors import PySparkException
 from pyspark.ml import PipelineModel
 from pyspark.sql import SparkSession
 
+from wayfare import session
+from wayfare.models.neural import BandModel
 
-def save_model(model: PipelineModel, root: str, name: str) -> str:
+
+def save_model(model: PipelineModel | BandModel, root: str, name: str) -> str:
     path = f"{root}/{name}"
-    model.write().overwrite().save(path)
+    if isinstance(model, BandModel):
+        model.network.write().overwrite().save(f"{path}/network")
+        spark = SparkSession.active()
+        means = session.literal_rows(spark, list(enumerate(map(float, model.band_means))), "band int, mean double")
+        means.write.mode("overwrite").parquet(f"{path}/band_means")
+    else:
+        model.write().overwrite().save(path)
     return path
 
 
-def load_model(spark: SparkSession, root: str, name: str) -> PipelineModel | None:
-    """The saved pipeline, or None if there is none of that name."""
+def _exists(spark: SparkSession, path: str) -> bool:
     try:
-        spark.read.text(f"{root}/{name}/metadata")
+        spark.read.text(path)
     except PySparkException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return None
+            return False
         raise
-    return PipelineModel.load(f"{root}/{name}")
+    return True
 
 
-def input_columns(model: PipelineModel) -> list[str]:
-    """Ordered inputs of a saved pipeline; the list travels inside the model."""
-    return list(model.stages[0].getInputCols())
+def load_model(spark: SparkSession, root: str, name: str) -> PipelineModel | BandModel | None:
+    """The saved model, or None if there is none of that name."""
+    path = f"{root}/{name}"
+    if _exists(spark, f"{path}/network/metadata"):
+        means = spark.read.parquet(f"{path}/band_means").orderBy("band").collect()  # a row per band
+        return BandModel(PipelineModel.load(f"{path}/network"), [r["mean"] for r in means])
+    return PipelineModel.load(path) if _exists(spark, f"{path}/metadata") else None
 
 
-def describe(model: PipelineModel) -> str:
-    return json.dumps({"stages": [type(s).__name__ for s in model.stages], "inputs": input_columns(model)})
+def input_columns(model: PipelineModel | BandModel) -> list[str]:
+    """Ordered inputs of a saved model; the list travels inside it."""
+    pipeline = model.network if isinstance(model, BandModel) else model
+    return list(pipeline.stages[0].getInputCols())

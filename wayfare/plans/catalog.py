@@ -727,13 +727,27 @@ def ridge(ws):
 
 @query
 def cv_scores(ws):
-    """Validation mean and spread of the linear models, through the JSON sink and back."""
+    """Validation mean and spread of the baseline and the linear models with the chosen penalty, through the JSON sink and back."""
+    return scores_document(ws, COLUMNS)
+
+
+@query
+def cv_scores_1d(ws):
+    """The same document for models of distance alone."""
+    return scores_document(ws, [S.DISTANCE])
+
+
+def scores_document(ws, columns: list[str]) -> DataFrame:
     train = ws.train_matrix()
-    moments = linear_search.block_moments(train, COLUMNS)
+    moments = linear_search.block_moments(train, columns)
     alpha = linear_search.best_alpha(linear_search.grid_scores(moments, pipelines.FULL_ALPHAS))
-    folds = linear_search.fold_metrics(train, COLUMNS, moments).withColumn("model", F.lit("linear_regression"))
-    ridge_folds = linear_search.fold_metrics(train, COLUMNS, moments, alpha).withColumn("model", F.lit("ridge_regression"))
-    summary = metrics.fold_summary(folds.unionByName(ridge_folds), ["model"])
+    folds = linear_search.fold_metrics(train, columns, moments).withColumn("model", F.lit("linear_regression"))
+    ridge_folds = linear_search.fold_metrics(train, columns, moments, alpha).withColumn("model", F.lit("ridge_regression"))
+    held = trip.with_distance_features(train.filter(F.col("block") > 0), S.DEFAULT_SPEED_MPH)
+    base = metrics.evaluate_models(held, S.TARGET, {"baseline": "baseline_duration"}, ["block"], None)
+    names = ["model", "RMSE", "MAE", "R2"]
+    every = folds.select(*names).unionByName(ridge_folds.select(*names)).unionByName(base.select(*names))
+    summary = metrics.fold_summary(every, ["model"]).withColumn("best_alpha", F.when(F.col("model") == "ridge_regression", F.lit(alpha)))
     path = session.scratch_path(ws.spark, "scores.json")
     sinks.write_json(summary, path)
     return ws.spark.read.schema(summary.schema).json(path)

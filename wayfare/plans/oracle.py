@@ -198,6 +198,10 @@ CTES["line_scored"] = """
         SELECT event_id, round(greatest(least(ybar + slope * (trip_distance - xbar), 300.0), 1.0), 2) AS predicted_duration_minutes,
           round(trip_distance / avg_speed * 60, 2) AS baseline_duration_minutes, 'linear_regression' AS model_used, pickup_datetime
         FROM valid_trips, line, scalars"""
+CTES["fold_lines"] = """
+        SELECT h.block, count(*) AS n, avg(t.trip_distance) AS xbar, avg(t.trip_duration_minutes) AS ybar,
+          regr_slope(t.trip_duration_minutes, t.trip_distance) AS slope
+        FROM blocks t JOIN (SELECT DISTINCT block FROM blocks WHERE block > 0) h ON t.block < h.block GROUP BY h.block"""
 CTES["hours"] = """
         SELECT hour(tpep_pickup_datetime) AS h, count(*) AS k, sum(trip_duration_minutes) AS y FROM train GROUP BY 1"""
 CTES["keyed"] = """
@@ -586,6 +590,17 @@ SQL["ridge_grid_1d"] = """SELECT alpha, round(m, 6) AS RMSE_mean, m = min(m) OVE
             FROM blocks t JOIN (SELECT DISTINCT block FROM blocks WHERE block > 0) h ON t.block < h.block GROUP BY h.block) f
           ON b.block = f.block, (SELECT unnest([0.01::DOUBLE, 0.1, 1.0, 10.0, 100.0, 1000.0]) AS alpha))
         GROUP BY alpha, block) GROUP BY alpha)"""
+SQL["cv_scores_1d"] = f"""SELECT model, count(*) AS folds, round(avg(RMSE), 4) AS RMSE_mean, round(stddev_pop(RMSE), 4) AS RMSE_std,
+      round(avg(MAE), 4) AS MAE_mean, round(stddev_pop(MAE), 4) AS MAE_std, round(avg(R2), 4) AS R2_mean, round(stddev_pop(R2), 4) AS R2_std,
+      CASE WHEN model = 'ridge_regression' THEN any_value(alpha) END AS best_alpha
+      FROM (SELECT model, block, any_value(alpha) AS alpha, sqrt(avg((y - p) * (y - p))) AS RMSE, avg(abs(y - p)) AS MAE,
+          1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)) AS R2
+        FROM (SELECT model, block, alpha, trip_duration_minutes AS y, CASE model WHEN 'baseline' THEN trip_distance / 12.5 * 60
+            WHEN 'linear_regression' THEN greatest(ybar + slope * (trip_distance - xbar), 0)
+            ELSE greatest(ybar + slope * f.n / (f.n + alpha) * (trip_distance - xbar), 0) END AS p
+          FROM blocks JOIN fold_lines f USING (block), (SELECT alpha FROM ({SQL["ridge_grid_1d"]}) WHERE is_best) best,
+            (SELECT unnest(['baseline', 'linear_regression', 'ridge_regression']) AS model) models)
+        GROUP BY model, block) GROUP BY model"""
 SQL["peak_hours"] = f"WITH_H({mean_by('hour', 'hour(tpep_pickup_datetime)')})" + SQL["peak_hours"]
 SQL["err_extremes"] = "WITH_E(" + error_by("CAST(hour AS INTEGER) AS hour") + " GROUP BY 1)" + SQL["err_extremes"]
 

@@ -33,12 +33,13 @@ def score_stream(
     keep = keep or []
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        checked = R.validate(batch)
+        checked = R.validate(batch).persist()  # both writes read it, the stream is read and checked once
         good = checked.filter(F.col("reject_reason").isNull())
         bad = checked.filter(F.col("reject_reason").isNotNull()).select(*keep, "reject_reason", "pickup_datetime")
         scored = scoring.score(good, artifacts, predictor, model_name, keep)
         scored.write.mode("overwrite").parquet(f"{output}/batch={batch_id}")
         bad.write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
+        checked.unpersist()
 
     return (
         stream.writeStream.foreachBatch(write)
