@@ -307,8 +307,8 @@ def verified(docs: DataFrame, edges: DataFrame, percent: int = PERCENT) -> DataF
 
     Each text travels to its hub a; a hub with many partners is split, its own text going to every part.
     """
-    part = F.pmod(F.xxhash64("b"), F.ceil(F.count(F.lit(1)).over(W.partitionBy("a")) / BLOCK)).cast("int")
-    dealt = edges.select("a", "b", part.alias("part"))
+    degree = edges.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts"))
+    dealt = edges.join(degree, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"))
     spokes = dealt.select(F.col("b").alias("doc_id"), F.col("a").alias("hub"), "part", F.lit(1).alias("role"))
     hubs = dealt.select(F.col("a").alias("doc_id"), F.col("a").alias("hub"), "part", F.lit(0).alias("role")).distinct()
     wanted = stage(spokes.unionAll(hubs), "wanted")
