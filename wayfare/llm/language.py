@@ -22,6 +22,7 @@ from wayfare.llm.textarrays import STEP, Texts, blocks, mix64
 SLOTS = {2: 2048, 3: 8192, 4: 8192}  # n-gram length -> slots
 BLEND = {2: 0.2, 3: 0.4, 4: 0.4}
 PER_LANGUAGE = 300  # bound of the sample of labelled rows of one language: the lowest hashes of doc_id
+MARGIN = 4  # by chance fewer than a quarter of the rows expected below a place is out of the question
 LANDMARKS = 128
 RIDGE = 1e-3
 SHARPNESS = 8.0
@@ -121,8 +122,13 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(docs: DataFrame) -> Model | None:
     """Learn from at most PER_LANGUAGE labelled documents of each language outside the held-out fold."""
     usable = docs.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & (crc_rest(F.col("doc_id"), FOLDS) != HELD_OUT))
-    order = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = usable.select("lang", "doc_id").withColumn("place", F.row_number().over(order)).filter(F.col("place") <= PER_LANGUAGE)
+    place = F.shiftrightunsigned(F.xxhash64("doc_id"), 11) / F.lit(float(1 << 53))  # even in 0 to 1
+    placed = usable.select("lang", "doc_id", place.alias("place"))
+    counts = placed.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
+    # the lowest PER_LANGUAGE places lie below MARGIN times their share: only those rows meet in a language's group
+    low = placed.join(counts, "lang").filter(F.col("place") < MARGIN * PER_LANGUAGE / F.col("rows"))
+    order = W.partitionBy("lang").orderBy("place", "doc_id")
+    picked = low.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= PER_LANGUAGE)
     picked = picked.select("lang", "doc_id").distinct()
     rows = usable.select("lang", "doc_id", "text").join(F.broadcast(picked), ["lang", "doc_id"])
     found = rows.mapInArrow(_vectors, "lang string, doc_id long, bits binary").dropDuplicates(["lang", "doc_id"]).collect()
