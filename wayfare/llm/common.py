@@ -31,7 +31,7 @@ def crc_rest(doc_id: Column, divisor: int) -> Column:
 def stage(df: DataFrame, name: str) -> DataFrame:
     """The table written to the shared scratch folder and read back: lineage ends here, lost executors cost a reread."""
     path = session.scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
