@@ -36,6 +36,7 @@ CELL_BITS = 23  # the count table: 8 million cells, its hot cells are all that i
 CELL_BLOCK = 1 << 14
 SIGNATURE_BITS = 1024  # the shortest signature
 LARGEST_LIGHT = 30  # sizes among which the boundary is sought
+LIST_CHECK = 4
 LIST_PART = 4096  # members of a list that one group holds
 BLOCK = 256
 ID_SLOTS = 1 << 20
@@ -62,13 +63,22 @@ def subset_count(n: int, largest: int, percent: int = PERCENT) -> int:
 
 
 def boundary(counts: dict[int, tuple[int, float]], percent: int = PERCENT) -> int:
-    """The size x up to which subsets are cheaper than lists. ``counts``: size -> (sets, mean list length)."""
+    """The size x up to which subsets are cheaper than lists. ``counts``: size -> (sets, mean list length).
+
+    A subset is one key, and sets that share it do link. A listing is a key too, and every set met in the list has to
+    be compared, which costs about as much as LIST_CHECK keys.
+    """
 
     def cost(x: int) -> float:
-        return sum(
-            k * (subset_count(n, x, percent) if n <= x else 0) + k * (prefix_length(n, percent) * length if n > x or 100 * n >= percent * (x + 1) else 0)
-            for n, (k, length) in counts.items()
-        )
+        total = 0.0
+        for n, (k, length) in counts.items():
+            if n <= x:
+                total += k * subset_count(n, x, percent)
+            if n > x:
+                total += k * prefix_length(n, percent) * (1 + LIST_CHECK * length)
+            elif 100 * n >= percent * (x + 1):
+                total += k * prefix_length(n, percent)
+        return total
 
     return min(range(1, LARGEST_LIGHT + 1), key=lambda x: (cost(x), x))
 
