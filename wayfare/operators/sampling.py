@@ -1,11 +1,14 @@
 """Deterministic fixed-size samples without replacement."""
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.operators.selection import locate_ranks
+from wayfare.operators.selection import locate_near
 
 HASH_DIGITS = 15  # 60 bits of the digest, as a positive bigint
+MARGIN = 6  # deviations around the expected cut
 
 
 def hash_position(key: Column, seed: int) -> Column:
@@ -25,7 +28,11 @@ def sample_rows(df: DataFrame, n: int, key: Column, seed: int = 42) -> DataFrame
     size = df.count()
     if size <= n:
         return df
-    cut = locate_ranks(df, position, [n], (size, 0, 16**HASH_DIGITS - 1))[n]
+    # positions are even over their range, so the cut lies near n / size of it
+    whole = 16**HASH_DIGITS
+    slack = (MARGIN * math.sqrt(n) + MARGIN) / size
+    lo, hi = (min(max(int((n / size + side * slack) * whole), 0), whole - 1) for side in (-1, 1))
+    cut = locate_near(df, position, n, lo, hi, (size, 0, whole - 1))
     below = df.filter(position < F.lit(cut.value))
     if cut.below == n:
         return below

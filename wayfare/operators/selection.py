@@ -97,6 +97,11 @@ def locate_many(
         inside = sorted({r for r in ranks[name] if low <= r < n - high})
         if inside:
             pending[Bracket(name, lo, hi, low, n - low - high)] = inside
+    return _search(df, columns, pending, found, bins)
+
+
+def _search(df: DataFrame, columns: dict[str, Column], pending: dict[Bracket, list[int]], found: dict, bins: int) -> dict:
+    """Narrow the brackets until each holds one value."""
     while pending:
         for bracket, wanted in list(pending.items()):
             if bracket.lo == bracket.hi:
@@ -107,6 +112,21 @@ def locate_many(
     return found
 
 
+def locate_near(df: DataFrame, column: Column, rank: int, lo, hi, bounds: tuple) -> Located:
+    """The value at a rank that is expected between two values: one pass tells, and the search goes on inside.
+
+    Where the rank lies elsewhere after all, the whole range is searched.
+    """
+    within = column.between(lo, hi)
+    below, inside, least, most = df.agg(
+        F.count_if(column < lo), F.count_if(within), F.min(F.when(within, column)), F.max(F.when(within, column))
+    ).first()
+    if not below <= rank < below + inside:
+        return locate_ranks(df, column, [rank], bounds)[rank]
+    pending = {Bracket("x", least, most, below, inside): [rank]}
+    return _search(df, {"x": column}, pending, {"x": {}}, BINS)["x"][rank]
+
+
 def _narrowed(df: DataFrame, columns: dict[str, Column], pending: dict[Bracket, list[int]], bins: int) -> dict[Bracket, list[int]]:
     """One pass: count the rows of each bracket by bin, and keep the bins that hold a wanted rank."""
     brackets = sorted(pending)

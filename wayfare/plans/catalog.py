@@ -471,8 +471,9 @@ def clip(ws):
     return rounded(df.select(*with_keys("evaluated", "served")), 6, "evaluated", "served")
 
 
-def with_prediction_errors(ws) -> DataFrame:
-    return trip.with_errors(ws.test_features(), S.TARGET, PREDICTED)
+def with_prediction_errors(ws, trips_to_score: DataFrame | None = None) -> DataFrame:
+    featured = ws.test_features() if trips_to_score is None else ws.featured(trips_to_score)
+    return trip.with_errors(featured, S.TARGET, PREDICTED)
 
 
 @query
@@ -551,21 +552,23 @@ def err_extremes(ws):
 @query
 def err_sample(ws):
     """Actual, predicted and absolute error of a fixed-size sample."""
-    sample = sampling.sample_rows(with_prediction_errors(ws), 5_000, trip_key())
+    sample = with_prediction_errors(ws, sampling.sample_rows(ws.test(), 5_000, trip_key()))
     names = [S.TARGET, PREDICTED, "abs_error"]
     return rounded(sample.select(*with_keys(*names)), 6, *names)
 
 
+EXPORT_ROWS = 100_000  # fixed size of the export
+
+
 @query
 def prediction_export(ws):
     """Inputs and results of a sample of test trips, through the CSV sink and back."""
     columns = features.feature_set("short")
-    scored = with_prediction_errors(ws).withColumns(
+    scored = with_prediction_errors(ws, sampling.sample_rows(ws.test(), EXPORT_ROWS, trip_key())).withColumns(
         {"predicted_duration": F.col(PREDICTED), "baseline_pred": F.col("baseline_duration")}
     )
     names = ["predicted_duration", "baseline_pred", "error_minutes", "abs_error"]
-    sample = sampling.sample_rows(scored, 100_000, trip_key())
-    export = features.matrix(sample, columns, [S.TARGET, *names]).withColumnRenamed(S.TARGET, "actual_duration")
+    export = features.matrix(scored, columns, [S.TARGET, *names]).withColumnRenamed(S.TARGET, "actual_duration")
     path = session.scratch_path(ws.spark, "predictions.csv")
     sinks.write_csv(rounded(export, 6, *export.columns), path)
     return ws.spark.read.schema(export.schema).option("header", True).csv(path)

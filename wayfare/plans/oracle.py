@@ -557,6 +557,12 @@ SQL = {
       NULL AS reject_reason FROM scored
       UNION ALL SELECT event_id, NULL, NULL, NULL, pickup_datetime, reject_reason FROM checked WHERE reject_reason IS NOT NULL""",
 }
+SQL["model_report"] = f"""SELECT unnest(['# Model evaluation', '', '', '', '| Model | RMSE | MAE | R2 | MAPE % |', '|---|---|---|---|---|',
+        '| Criterion | Target | Achieved | Status |', '|---|---|---|---|']) AS value
+      UNION ALL SELECT printf('Best model: **%s**. RMSE %.4f min (%.1f%% below the baseline), MAE %.4f min (%.1f%% below), R2 %.4f (%+.4f).',
+        model, RMSE, rmse_gain_pct, MAE, mae_gain_pct, R2, r2_gain) FROM board WHERE is_best
+      UNION ALL SELECT printf('| %s | %.4f | %.4f | %.4f | %.2f |', CASE WHEN is_best THEN model || ' (best)' ELSE model END, RMSE, MAE, R2, MAPE) FROM board
+      UNION ALL SELECT printf('| %s | %.2f | %.2f | %s |', criterion, target, achieved, status) FROM ({SQL["success_criteria"]})"""
 SQL["scaled_features"] = " UNION ALL ".join(
     f"""SELECT {i} AS position, 0.0::DOUBLE AS abs_mean,
       CASE WHEN stddev_samp({c}) > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS std FROM train_features"""
