@@ -32,8 +32,9 @@ from wayfare.llm.textarrays import FACTOR, STEP, blocks, mix64, shingle_sets
 
 PERCENT = 80
 WORDS = 5
-CELL_BITS = 23  # the count table: 8 million cells, its hot cells are all that is sent out
+CELL_BITS = 23  # the count table: 8 million cells
 CELL_BLOCK = 1 << 14
+HOT_CELLS = 1 << 20  # of them, so many at most are sent out: 16 MB
 SIGNATURE_BITS = 1024  # the shortest signature
 LARGEST_LIGHT = 30  # sizes among which the boundary is sought
 LIST_CHECK = 4
@@ -359,9 +360,10 @@ def similarity_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     reps = stage(sets, "reps")
 
     tables = scanned.filter("kind = 1").select("n", "blob").repartition("n").sortWithinPartitions("n")
-    found = tables.mapInArrow(_hot_cells, "cell long, n long").collect()  # at most the cells of the count table
-    found.sort()
-    cells, counts = np.array([r.cell for r in found], np.int64), np.array([r.n for r in found], np.int64)
+    # the order of shingles alone depends on them, never the result
+    hottest = tables.mapInArrow(_hot_cells, "cell long, n long").orderBy(F.desc("n"), "cell").limit(HOT_CELLS)
+    found = hottest.toArrow().sort_by("cell")
+    cells, counts = found["cell"].to_numpy(), found["n"].to_numpy()
     small = reps.filter(F.col("n") <= LARGEST_LIGHT).groupBy("n").agg(F.count(F.lit(1)).alias("k"), F.count_distinct("least").alias("d")).collect()
     largest = boundary({r.n: (r.k, r.k / r.d) for r in small}, percent)
     light_parts = max(1, -(-sum(r.k for r in small if r.n <= largest) // LIST_PART))
