@@ -122,8 +122,8 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def spill():
         nonlocal pending, held
         if pending:
-            cells = (np.concatenate(pending) >> np.uint64(64 - CELL_BITS)).astype(np.int64)
-            table_[:] += np.bincount(cells, minlength=1 << CELL_BITS).astype(np.uint32)
+            cells, n = np.unique((np.concatenate(pending) >> np.uint64(64 - CELL_BITS)).astype(np.uint32), return_counts=True)
+            table_[cells] += n.astype(np.uint32)
         pending, held = [], 0
 
     for batch in batches:
@@ -136,7 +136,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             least = [_signed(s[0]) if len(s) else 0 for s in sets]
             pending += sets
             held += sum(n)
-            if held >= 1 << 21:
+            if held >= 1 << 20:
                 spill()
             yield pa.RecordBatch.from_arrays(
                 [
@@ -149,11 +149,11 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ["kind", "doc_id", "n", "s1", "s2", "least", "blob"],
             )
     spill()
-    parts = table_.clip(max=65535).astype(np.uint16).reshape(-1, CELL_BLOCK)
-    full = np.flatnonzero(parts.any(axis=1)).tolist()
+    parts = table_.reshape(-1, CELL_BLOCK)
+    full = [i for i, part in enumerate(parts) if part.any()]
     zero = pa.array(np.zeros(len(full), np.int64))
     yield pa.RecordBatch.from_arrays(
-        [pa.array(np.ones(len(full), np.int32)), pa.nulls(len(full), pa.int64()), pa.array(full, pa.int32()), zero, zero, zero, pa.array([zlib.compress(parts[i].tobytes(), 1) for i in full], pa.binary())],
+        [pa.array(np.ones(len(full), np.int32)), pa.nulls(len(full), pa.int64()), pa.array(full, pa.int32()), zero, zero, zero, pa.array([zlib.compress(np.minimum(parts[i], 65535).astype(np.uint16).tobytes(), 1) for i in full], pa.binary())],
         ["kind", "doc_id", "n", "s1", "s2", "least", "blob"],
     )
 
