@@ -27,7 +27,7 @@ CHUNK = 1 << 18
 SENTENCE_PENALTY, INSIDE_PENALTY, SHORT_PENALTY = 8.0, 64.0, 48.0  # in tokens of padding
 LONG_SENTENCE, INSIDE_STEP = 256, 64
 SHORTEST = 64  # the least power of two that counts as a full window
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 500_000
 END = array("I", [END_ID]).tobytes()
 PLAIN = re.compile("[a-z\u00e0-\u00f6\u00f8-\u00ff]+")
 # byte-level vocabularies write a byte as the character of that number if it prints, else as the next one from 256 on
