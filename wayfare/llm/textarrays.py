@@ -143,3 +143,4 @@ def blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, Te
         stop = min(stop, n)
         yield row, Texts(data[offsets[row] : offsets[stop]], offsets[row : stop + 1] - offsets[row])
         row = stop
+    pa.default_memory_pool().release_unused()  # a worker serves many stages; what the last batch needed goes back
