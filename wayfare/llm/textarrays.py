@@ -10,7 +10,7 @@ SPACE = np.zeros(256, bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
 LOWERED = np.arange(256, dtype=np.uint8)
 LOWERED[65:91] += 32
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 STEP = np.uint64(0x9E3779B97F4A7C15)
 FACTOR = 0xD6E8FEB86659FD93  # odd, so that its powers stay units modulo 2^64
 _powers = np.ones(1, np.uint64)
