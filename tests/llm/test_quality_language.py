@@ -90,3 +90,16 @@ def test_only_text_decides(odd):
 def test_nothing_to_learn_from(spark):
     rows = spark.createDataFrame([(1, "some text", None), (2, None, "en")], "doc_id long, text string, lang string")
     assert {(r.lang_pred, r.score) for r in language.identify(rows).collect()} == {("und", 0.0)}
+
+
+def test_languages_without_ids_of_their_own(spark):
+    stock = {"aa": ("alto", "brisa", "campo"), "bb": ("zwölf", "yxq", "wurz"), "cc": ("kkil", "jjom", "hhep")}
+    said = lambda lang, i: " ".join(stock[lang][(i >> k) % 3] + stock[lang][(i >> k) % 2] for k in range(12)) + f" {i}"
+    rows = [(i, said("aa", i), "aa") for i in range(600)]
+    rows += [(None if i % 3 else 1000 + i, said("bb", i), "bb") for i in range(600)]  # two thirds without an id
+    one = next(i for i in range(5000, 6000) if zlib.crc32(str(i).encode()) % language.FOLDS != language.HELD_OUT)
+    rows += [(one, said("cc", i), "cc") for i in range(600)] + [(one, said("cc", 0), "cc")] * 3000
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert language.train(docs).languages == ["aa", "bb", "cc"]
+    want = Counter((i, lang) for i, _, lang in rows)
+    assert Counter((r.doc_id, r.lang_pred) for r in language.identify(docs).collect()) == want

@@ -16,13 +16,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from wayfare.llm.common import crc_rest, filter_texts, table
+from wayfare.llm.common import crc_rest, filter_texts, stage, table
 from wayfare.llm.textarrays import STEP, Texts, blocks, mix64
 
 SLOTS = {2: 2048, 3: 8192, 4: 8192}  # n-gram length -> slots
 BLEND = {2: 0.2, 3: 0.4, 4: 0.4}
-PER_LANGUAGE = 300  # bound of the sample of labelled rows of one language: the lowest hashes of doc_id
-MARGIN = 4  # by chance fewer than a quarter of the rows expected below a place is out of the question
+PER_LANGUAGE = 300  # bound of the sample of labelled rows of one language: the lowest hashes of doc_id and text
+MARGIN = 4  # by chance fewer than a quarter of the distinct rows expected below a place is out of the question
 LANDMARKS = 128
 RIDGE = 1e-3
 SHARPNESS = 8.0
@@ -112,29 +112,32 @@ class Model:
 
 def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        langs, ids = batch.column(0), batch.column(1)
+        langs, keys = batch.column(0), batch.column(1)
         for row, texts in blocks(batch.column(2)):
             packed = np.packbits(np.hstack(list(presence(texts).values())), axis=1)
-            columns = [langs.slice(row, len(texts)), ids.slice(row, len(texts)), pa.array([p.tobytes() for p in packed], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["lang", "doc_id", "bits"])
+            columns = [langs.slice(row, len(texts)), keys.slice(row, len(texts)), pa.array([p.tobytes() for p in packed], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "key", "bits"])
 
 
 def train(docs: DataFrame) -> Model | None:
-    """Learn from at most PER_LANGUAGE labelled documents of each language outside the held-out fold."""
+    """Learn from at most PER_LANGUAGE labelled documents of each language outside the held-out fold.
+
+    Rows are sampled, not ids: rows with a null or a repeated doc_id count by their texts. Equal rows count once.
+    """
     usable = docs.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & (crc_rest(F.col("doc_id"), FOLDS) != HELD_OUT))
-    place = F.shiftrightunsigned(F.xxhash64("doc_id"), 11) / F.lit(float(1 << 53))  # even in 0 to 1
-    placed = usable.select("lang", "doc_id", place.alias("place"))
+    usable = usable.select("lang", F.xxhash64("doc_id", "text").alias("key"), "text")  # the hash passes over a null
+    place = F.shiftrightunsigned("key", 11) / F.lit(float(1 << 53))  # even in 0 to 1
+    placed = stage(usable.select("lang", "key").distinct().withColumn("place", place), "places")
     counts = placed.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
     # the lowest PER_LANGUAGE places lie below MARGIN times their share: only those rows meet in a language's group
-    low = placed.join(counts, "lang").filter(F.col("place") < MARGIN * PER_LANGUAGE / F.col("rows"))
-    order = W.partitionBy("lang").orderBy("place", "doc_id")
-    picked = low.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= PER_LANGUAGE)
-    picked = picked.select("lang", "doc_id").distinct()
-    rows = usable.select("lang", "doc_id", "text").join(F.broadcast(picked), ["lang", "doc_id"])
-    found = rows.mapInArrow(_vectors, "lang string, doc_id long, bits binary").dropDuplicates(["lang", "doc_id"]).collect()
+    low = placed.join(F.broadcast(counts), "lang").filter(F.col("place") < MARGIN * PER_LANGUAGE / F.col("rows"))
+    order = W.partitionBy("lang").orderBy("place", "key")
+    picked = low.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= PER_LANGUAGE).select("lang", "key")
+    rows = usable.join(F.broadcast(picked), ["lang", "key"]).select("lang", "key", "text")
+    found = rows.mapInArrow(_vectors, "lang string, key long, bits binary").dropDuplicates(["lang", "key"]).collect()
     if not found:
         return None
-    found.sort(key=lambda r: (r.lang, r.doc_id * 0x9E3779B97F4A7C15 & 0xFFFFFFFF, r.doc_id))
+    found.sort(key=lambda r: (r.lang, r.key))
     bits = np.unpackbits(np.stack([np.frombuffer(r.bits, np.uint8) for r in found]), axis=1)
     edges = np.cumsum([0, *SLOTS.values()])
     rows = {n: bits[:, a:b] for n, a, b in zip(SLOTS, edges, edges[1:])}
