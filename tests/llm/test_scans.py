@@ -209,3 +209,27 @@ def test_no_pages(pages):
     assert got.collect() == []
     plan = hosts.judge(pages)._jdf.queryExecution().toString()
     assert "Python" not in plan
+
+
+def test_settled_walk_against_the_limit(spark):
+    rng = np.random.default_rng(4)
+    edges = {(int(a), int(b)): int(n) for a, b, n in rng.integers(1, 9, (30, 3)) if a != b}
+    df = spark.createDataFrame([(str(a), str(b), n) for (a, b), n in edges.items()], "`from` string, `to` string, links long")
+    got = {int(r.host): r.mass for r in hosts.settle(df, spark.createDataFrame([("1", 1.0), ("2", 0.5)], "host string, weight double")).collect()}
+    step = np.zeros((9, 9))
+    for (a, b), n in edges.items():
+        step[b, a] = n / sum(m for (x, _), m in edges.items() if x == a)
+    start = np.zeros(9)
+    start[1], start[2] = 1.0, 0.5
+    limit = np.linalg.solve(np.eye(9) - hosts.DAMPING * step, (1 - hosts.DAMPING) * start)
+    short = limit - [got.get(i, 0.0) for i in range(9)]
+    assert short.min() > -1e-12 and short.sum() <= hosts.REMAINDER
+
+
+def test_long_chains_do_not_hold_mass_under_way(spark):
+    chain = [(0, "http://spam.net/", "")]
+    chain += [(i, f"http://h{i}.example.info/", f"<a href='http://{'spam.net' if i == 1 else f'h{i - 1}.example.info'}/'>x</a>") for i in range(1, 16)]
+    got = {r.page_id: r for r in hosts.judge(spark.createDataFrame(chain, "page_id long, url string, html string")).collect()}
+    limit = {i: 0.15 * 0.85**i for i in range(16)}
+    assert {i: r.distrust for i, r in got.items()} == pytest.approx(limit, abs=hosts.REMAINDER)
+    assert {i for i, r in got.items() if r.verdict == "block"} == {i for i, m in limit.items() if m >= hosts.THRESHOLD}

@@ -14,9 +14,10 @@ from wayfare.llm.common import lower_ascii, stage, table
 #: verdict, host, path prefix. Fixed values.
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 DAMPING = 0.85
-ROUNDS = 12  # the walk's memory after as many steps is DAMPING ** ROUNDS = 0.14 of the first
+ROUNDS = 12  # of a walk cut off, as in the SQL: its memory of the start is then DAMPING ** ROUNDS = 0.14
 STAGED_EVERY = 4  # rounds between written tables
 THRESHOLD = 0.1  # distrust of a host, in units of the mean seed, from which it can be blocked
+REMAINDER = 1e-4 * THRESHOLD  # bound of all mass, of all hosts together, that a settled walk has yet to add
 LINK = r"""(?i)<a\s[^>]*?href\s*=\s*["']?([^"'\s>]+)"""
 
 
@@ -50,32 +51,65 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return edges.groupBy("from", "to").agg(F.count(F.lit(1)).alias("links"))
 
 
+def _shares(edges: DataFrame) -> DataFrame:
+    """from, to and the share of a host's links that lead there."""
+    out = edges.groupBy("from").agg(F.sum("links").alias("all"))
+    return stage(edges.join(out, "from").select("from", "to", (F.col("links") / F.col("all")).alias("share")), "shares")
+
+
+def _step(mass: DataFrame, shares: DataFrame, back: DataFrame) -> DataFrame:
+    """One round: mass moves along the links by DAMPING, and ``back`` is added."""
+    moved = mass.join(shares, mass["host"] == shares["from"]).select(F.col("to").alias("host"), (F.col("mass") * F.col("share") * DAMPING).alias("mass"))
+    return moved.unionAll(back).groupBy("host").agg(F.sum("mass").alias("mass"))
+
+
 def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """Personalised PageRank: host and mass. ``edges``: from, to, links; ``seeds``: host and weight.
+    """Personalised PageRank after ``rounds`` rounds: host and mass. ``edges``: from, to, links; ``seeds``: host and weight.
 
     Mass leaves a host in proportion to its links and returns to the seeds with probability 1 - DAMPING. Masses
     are in units of the mean seed, so they do not shrink as the graph grows. A host with very many links is a skewed join
-    key that adaptive execution splits; masses of one host are summed before the shuffle.
+    key that adaptive execution splits; masses of one host are summed before the shuffle. The whole weight sets out at
+    once, so that what is still under way, DAMPING ** rounds of it, counts where it has got to.
     """
-    out = edges.groupBy("from").agg(F.sum("links").alias("all"))
-    shares = stage(edges.join(out, "from").select("from", "to", (F.col("links") / F.col("all")).alias("share")), "shares")
-    start = seeds.select("host", F.col("weight").alias("mass"))
-    mass = start
+    shares = _shares(edges)
+    mass = seeds.select("host", F.col("weight").alias("mass"))
+    back = seeds.select("host", (F.col("weight") * (1 - DAMPING)).alias("mass"))
     for step in range(1, rounds + 1):
-        moved = mass.join(shares, mass["host"] == shares["from"]).select(F.col("to").alias("host"), (F.col("mass") * F.col("share") * DAMPING).alias("mass"))
-        back = start.select("host", (F.col("mass") * (1 - DAMPING)).alias("mass"))
-        mass = moved.unionAll(back).groupBy("host").agg(F.sum("mass").alias("mass"))
+        mass = _step(mass, shares, back)
         if step % STAGED_EVERY == 0:
             mass = stage(mass, "mass")
     return mass
 
 
-def judge(pages: DataFrame, rules: list[tuple] = RULES, threshold: float = THRESHOLD, rounds: int = ROUNDS) -> DataFrame:
+def settle(edges: DataFrame, seeds: DataFrame, remainder: float = REMAINDER) -> DataFrame:
+    """The limit of ``propagate``: host and mass, from below, all hosts together short of it by at most ``remainder``.
+
+    Only what a seed keeps, 1 - DAMPING of its weight, sets out: every round then adds the next term of the limit's series,
+    and no mass under way is ever counted. A round adds at most DAMPING times what the round before added, so what the last
+    rounds added bounds the rest, as do all terms by their number: rounds grow with the logarithm of the number of
+    seeds, and end at once where the walks do.
+    """
+    shares = _shares(edges)
+    back = stage(seeds.select("host", (F.col("weight") * (1 - DAMPING)).alias("mass")), "mass")
+    total = lambda df: df.agg(F.sum("mass")).first()[0] or 0.0
+    mass, kept, fading = back, total(back), DAMPING**STAGED_EVERY
+    weight, reached = kept / (1 - DAMPING), kept
+    left = weight * DAMPING
+    while left > remainder:
+        for _ in range(STAGED_EVERY):
+            mass = _step(mass, shares, back)
+        mass, weight, before = stage(mass, "mass"), weight * fading, reached
+        reached = total(mass)
+        left = min((reached - before) * fading / (1 - fading), weight * DAMPING)
+    return mass
+
+
+def judge(pages: DataFrame, rules: list[tuple] = RULES, threshold: float = THRESHOLD, rounds: int | None = None) -> DataFrame:
     """page_id, host, path, rule, trust and distrust of the host, and verdict of every page.
 
     Null urls and urls without ``://`` have an empty host and path: no rule fits, no link counts, the verdict is allow.
     Null html has no links. Repeated rows are judged each, and their links count each. Equally long rules: the later by
-    name wins. Hosts that no walk reaches are allowed. Extra columns are not read; an empty table gives an empty result.
+    name wins. Hosts that no walk reaches are allowed. Walks go on until they settle, or for ``rounds`` rounds. Extra columns are not read; an empty table gives an empty result.
     """
     ruled = with_rules(pages.select("page_id", "url"), rules)
     hosts = ruled.filter("host != '' and ruling is not null").groupBy("host")
@@ -84,8 +118,9 @@ def judge(pages: DataFrame, rules: list[tuple] = RULES, threshold: float = THRES
     trusted = seeds.filter("allowed > 0").select("host", F.col("allowed").alias("weight"))
     blocked = seeds.filter("allowed < 1").select("host", (1 - F.col("allowed")).alias("weight"))
     backwards = edges.select(F.col("to").alias("from"), F.col("from").alias("to"), "links")
-    trust = propagate(edges, trusted, rounds).select(F.col("host").alias("of"), F.col("mass").alias("trust"), F.lit(0.0).alias("distrust"))
-    distrust = propagate(backwards, blocked, rounds).select(F.col("host").alias("of"), F.lit(0.0).alias("trust"), F.col("mass").alias("distrust"))
+    walk = settle if rounds is None else lambda edges, seeds: propagate(edges, seeds, rounds)
+    trust = walk(edges, trusted).select(F.col("host").alias("of"), F.col("mass").alias("trust"), F.lit(0.0).alias("distrust"))
+    distrust = walk(backwards, blocked).select(F.col("host").alias("of"), F.lit(0.0).alias("trust"), F.col("mass").alias("distrust"))
     scores = trust.unionAll(distrust).groupBy("of").agg(F.round(F.sum("trust"), 9).alias("trust"), F.round(F.sum("distrust"), 9).alias("distrust"))
     joined = ruled.join(stage(scores, "scores"), F.col("host") == F.col("of"), "left").na.fill(0.0, ["trust", "distrust"])
     against = (F.col("distrust") >= threshold) & (F.col("distrust") > F.col("trust"))
