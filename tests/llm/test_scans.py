@@ -69,6 +69,54 @@ def test_licence_labels(spark, none):
     assert licences.scan(none).collect() == []
 
 
+def said_by(pattern):
+    """Strings that a rule's pattern matches: every branch, with and without every optional part, its first character of a class."""
+    from re import _constants, _parser
+
+    def options(parts):
+        found = [""]
+        for op, arg in parts:
+            if op is _constants.LITERAL:
+                more = [chr(arg)]
+            elif op is _constants.IN:
+                more = ["1"] if arg[0][0] is _constants.CATEGORY else [chr(a) for _, a in arg]
+            elif op is _constants.BRANCH:
+                more = [x for branch in arg[1] for x in options(branch)]
+            elif op is _constants.SUBPATTERN:
+                more = options(arg[3])
+            else:
+                assert op is _constants.MAX_REPEAT, op
+                low, high, inner = arg
+                more = [x for n in sorted({low, min(low + 1, high)}) for x in options(list(inner) * n)]
+            found = [a + b for a in found for b in more]
+        return found
+
+    return options(_parser.parse(pattern))
+
+
+def test_keywords_stand_in_every_match():
+    for rule in licences.RULES:
+        said = said_by(rule.pattern)
+        assert said and all(re.fullmatch(rule.pattern, x) for x in said)
+        assert [x for x in said if f" {rule.keyword}" not in f" {x}"] == [], rule
+
+
+def test_licences_spelled_the_other_way(spark):
+    texts = {
+        "under the GNU General Public Licence version 3 or later": "gpl-3-or-later",
+        "GNU Lesser General Public Licence": "lgpl",
+        "the lesser general public licence": "lgpl",
+        "GNU Affero General Public Licence 3": "agpl-3",
+        "affero general public licence": "agpl",
+        "GNU Free Documentation Licence 1.3": "gfdl-1.3",
+        "open data commons database licence 1.0": "odbl-1.0",
+        "Unauthorized copying of this file is prohibited": "proprietary",
+    }
+    got = licences.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    found = {r.doc_id: r.labels.split(",") for r in got.collect()}
+    assert [label for i, label in enumerate(texts.values()) if label not in found[i]] == []
+
+
 def test_fingerprints_against_plain_edit(odd, odd_rows):
     got = fingerprints.fingerprints(odd).collect()
     assert len(got) == len(odd_rows)

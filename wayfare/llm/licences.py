@@ -25,17 +25,17 @@ BASE_CONFIDENCE = 0.5
 @dataclass(frozen=True)
 class Rule:
     label: str
-    keyword: str
+    keyword: str  # stands, at the start of a word, in every match of the pattern
     priority: int
     pattern: str
 
 
 # Licence names as words, by keyword. Each entry: label stem, name pattern, versions, tag stem. Hand-written.
 VERSIONED = [
-    ("gpl", "license", "gnu general public licen[cs]e", "1 2 3", "gpl"),
-    ("lgpl", "license", "gnu (?:lesser|library) general public licen[cs]e", "2 2.1 3", "lgpl"),
-    ("agpl", "license", "gnu affero general public licen[cs]e", "1 3", "agpl"),
-    ("gfdl", "license", "gnu free documentation licen[cs]e", "1.1 1.2 1.3", "gfdl"),
+    ("gpl", "gnu", "gnu general public licen[cs]e", "1 2 3", "gpl"),
+    ("lgpl", "gnu", "gnu (?:lesser|library) general public licen[cs]e", "2 2.1 3", "lgpl"),
+    ("agpl", "gnu", "gnu affero general public licen[cs]e", "1 3", "agpl"),
+    ("gfdl", "free documentation", "gnu free documentation licen[cs]e", "1.1 1.2 1.3", "gfdl"),
     ("apache", "apache", "apache (?:software )?licen[cs]e", "1.0 1.1 2.0", "apache"),
     ("mpl", "mozilla", "mozilla public licen[cs]e", "1.0 1.1 2.0", "mpl"),
     ("epl", "eclipse", "eclipse public licen[cs]e", "1.0 2.0", "epl"),
@@ -55,7 +55,7 @@ VERSIONED = [
     ("cecill", "cecill", "cecill(?: free software)? licen[cs]e(?: agreement)?", "1.0 1.1 2.0 2.1", "cecill"),
     ("upl", "universal permissive", "universal permissive licen[cs]e", "1.0", "upl"),
     ("ms-pl", "microsoft public", "microsoft public licen[cs]e", "1.0", "ms pl"),
-    ("odbl", "open database", "open (?:data commons )?(?:open )?database licen[cs]e", "1.0", "odbl"),
+    ("odbl", "database licen", "open (?:data commons )?(?:open )?database licen[cs]e", "1.0", "odbl"),
     ("odc-by", "open data commons", "open data commons attribution licen[cs]e", "1.0", "odc by"),
     ("elastic", "elastic", "elastic licen[cs]e", "1.0 2.0", "elastic"),
     ("busl", "business source", "business source licen[cs]e", "1.0 1.1", "busl"),
@@ -98,9 +98,9 @@ SINGLE = [
     ("public-domain", "public domain", HINT, "public domain"),
     ("apache-2.0", "apache", FULL, "licensed under the apache license version 2 0"),
     ("apache", "apache", HINT, "apache licen[cs]ed?"),
-    ("gpl", "license", HINT, "gnu (?:gpl|general public licen[cs]e)"),
-    ("lgpl", "license", HINT, "(?:lesser|library) general public licen[cs]e"),
-    ("agpl", "license", HINT, "affero general public licen[cs]e"),
+    ("gpl", "gnu", HINT, "gnu (?:gpl|general public licen[cs]e)"),
+    ("lgpl", "general public licen", HINT, "(?:lesser|library) general public licen[cs]e"),
+    ("agpl", "affero", HINT, "affero general public licen[cs]e"),
     ("gpl", "gpl", HINT, "gpl"),
     ("lgpl", "lgpl", HINT, "lgpl"),
     ("agpl", "agpl", HINT, "agpl"),
@@ -113,7 +113,7 @@ SINGLE = [
     ("reserved", "rights reserved", NAMED, "(?:all|some) rights reserved"),
     ("copyright", "copyright", HINT, "copyright(?: c)? (?:19|20)\\d\\d(?: (?:19|20)\\d\\d)?"),
     ("proprietary", "proprietary", NAMED, "proprietary and confidential"),
-    ("proprietary", "confidential", NAMED, "unauthorized copying of this file"),
+    ("proprietary", "unauthorized copying", NAMED, "unauthorized copying of this file"),
     ("proprietary", "proprietary", HINT, "proprietary licen[cs]e"),
     ("no-redistribution", "may not be", NAMED, "may not be (?:reproduced|copied|redistributed)(?: or (?:reproduced|copied|redistributed|distributed))*"),
     ("permission", "by permission", HINT, "(?:used|reprinted|reproduced) by permission"),
