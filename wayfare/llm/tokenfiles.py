@@ -9,9 +9,11 @@ run of documents is read without the rest of the file.
     magic | chunks ... | compressed index | its size, 8 bytes little-endian | magic
 """
 
+import functools
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,6 +27,7 @@ from pyspark.sql import functions as F
 from wayfare import session
 from wayfare.llm import blockfiles
 from wayfare.llm.common import stage, table
+from wayfare.llm.packing import BYTE_CHARACTERS
 from wayfare.llm.textarrays import blocks
 
 MAGIC = b"WFPLANE1"
@@ -33,9 +36,11 @@ CHUNK = 1 << 16  # values of a chunk
 SEGMENT_IDS = 1 << 22  # ids, about, that one reading step takes
 COLUMNS = {"ids": (0, "<u4"), "docs": (1, "<i8"), "lengths": (2, "<u8"), "nulls": (3, "u1")}
 ENTRY = np.dtype([("column", "u1"), ("bits", "u1"), ("first", "<u8"), ("n", "<u4"), ("at", "<u8"), ("sizes", "<u4", (64,)), ("crc", "<u4")])
-CACHED_WORDS = 300_000
+CACHED_WORDS = 400_000
 ALONE = re.compile(r" (?=\S)")  # a space before a visible character always begins a piece of its own
-STOPPED = re.compile(r"[^\W_][.,]$")  # a stop or comma after a letter or digit is a piece of its own
+LINE = re.compile(r"(?<=\S)\n(?=\S)")  # and a single line break between visible characters is one
+STOPPED = re.compile(r"[^\W_][.,]$")  # as is a stop or comma after a letter or digit
+PLAIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 
 
 # ---- planes
@@ -153,15 +158,19 @@ class PieceIds(dict):
 
     def __init__(self, tokenizer, lead: str, stops: "PieceIds | None" = None):
         super().__init__()
-        self.tokenizer, self.lead, self.stops = tokenizer, lead, stops
+        self.tokenizer, self.lead, self.stops = tokenizer, lead, self if stops is None else stops
 
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= CACHED_WORDS:
             self.clear()
-        if self.stops is not None and len(piece) < 64 and STOPPED.search(piece):
+        if PLAIN.fullmatch(piece):
+            # letters alone are one piece: straight to the merges, as the characters that stand for its bytes
+            word = self.lead.translate(BYTE_CHARACTERS) + (piece if piece.isascii() else piece.encode().decode("latin1").translate(BYTE_CHARACTERS))
+            ids = array("I", [token.id for token in self.tokenizer.model.tokenize(word)]).tobytes()
+        elif STOPPED.search(piece) and len(piece) < 64:
             ids = self[piece[:-1]] + self.stops[piece[-1]]
         else:
-            ids = np.array(self.tokenizer.encode(self.lead + piece, add_special_tokens=False).ids, "<u4").tobytes()
+            ids = array("I", self.tokenizer.encode(self.lead + piece, add_special_tokens=False).ids).tobytes()
         if len(piece) < 256:
             self[piece] = ids
         return ids
@@ -170,8 +179,8 @@ class PieceIds(dict):
 class Encoder:
     """Token ids of whole texts by their pieces, remembered.
 
-    The vocabulary's rules never join across a space that stands before a visible character, so the ids of a text are those of the
-    pieces between such spaces, one after the other. Strings of special tokens are ordinary text.
+    The vocabulary's rules never join across a space that stands before a visible character, nor across a line break between two, so
+    the ids of a text are those of the pieces in between, one after the other. Strings of special tokens are ordinary text.
     """
 
     def __init__(self, path: str):
@@ -182,11 +191,21 @@ class Encoder:
         tokenizer.encode_special_tokens = True
         self.first = PieceIds(tokenizer, "")
         self.later = PieceIds(tokenizer, " ", self.first)
+        self.line_break = array("I", tokenizer.encode("\n", add_special_tokens=False).ids).tobytes()
 
     def encode(self, text: str) -> bytes:
         """Ids of a text followed by the end id, as bytes."""
-        pieces = ALONE.split(text)
-        return b"".join([self.first[pieces[0]] if text else b"", *map(self.later.__getitem__, pieces[1:]), END_ID.to_bytes(4, "little")])
+        found: list[bytes] = []
+        for line in LINE.split(text) if text else ():
+            pieces = ALONE.split(line)
+            found += [self.line_break, self.first[pieces[0]] if line else b"", *map(self.later.__getitem__, pieces[1:])]
+        return b"".join([*found[1:], array("I", [END_ID]).tobytes()])
+
+
+@functools.lru_cache(maxsize=1)
+def encoder_of(path: str) -> Encoder:
+    """The encoder of a worker, which keeps its words from task to task."""
+    return Encoder(path)
 
 
 # ---- over Spark
@@ -221,7 +240,7 @@ def write_token_files(docs: DataFrame, root: str, tokenizer_path: str | None = N
         first = next((b for b in batches if len(b)), None)
         if first is None:
             return
-        encoder = Encoder(tokenizer_path or public_tokenizers.path("byte_bpe_50k.json"))
+        encoder = encoder_of(tokenizer_path or public_tokenizers.path("byte_bpe_50k.json"))
         uri = f"{root}/part-{part:06d}.planes"
         segments, docs_before, ids_before, n_docs, n_ids = [], 0, 0, 0, 0
         with blockfiles.replacing(uri) as out:
