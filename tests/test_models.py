@@ -4,7 +4,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from wayfare import schema as S
-from wayfare.models import evaluation, linear_search, neural, pipelines, search, store
+from wayfare.models import boosting, evaluation, linear_search, neural, pipelines, saved, scores, search, store
+from wayfare.operators import split
 from wayfare.plans import features
 
 COLUMNS = ["a", "b", "twice_a", "constant"]
@@ -104,19 +105,23 @@ def test_generic_validation_agrees_with_moments(data):
     assert {r.block: r.RMSE for r in folds} == pytest.approx(quick)
 
 
-def test_draws_are_distinct_and_repeatable():
+def test_draws_are_distinct_and_repeatable(spark):
     space = {"x": [1, 2, 3], "y": ["p", "q"]}
-    picked = search.draws(space, 4)
-    assert picked == search.draws(space, 4) and len({tuple(d.items()) for d in picked}) == 4
-    assert len(search.draws(space, 99)) == 6 == len(search.grid(space))
-    assert len(search.draws(pipelines.BOOSTING_SPACE, pipelines.SEARCH_DRAWS)) == 30
+    picked = search.draws(spark, space, 4)
+    assert picked == search.draws(spark, space, 4) and len({tuple(d.items()) for d in picked}) == 4
+    everything = search.draws(spark, space, 99)
+    assert len(everything) == 6 and sorted(map(str, everything)) == sorted(map(str, search.grid(space)))
+    assert search.draws(spark, space, 6, seed=1) != everything
+    found = search.points(spark, pipelines.BOOSTING_SPACE, pipelines.SEARCH_DRAWS).collect()
+    assert len({r.number for r in found}) == 30 and max(r.number for r in found) < 82_944
+    assert [r.draw for r in sorted(found, key=lambda r: r.draw)] == list(range(30))
 
 
-def test_boosting_parameters():
-    draw = dict(num_leaves=127, learning_rate=0.1, n_estimators=200, max_depth=-1, min_child_samples=20, subsample=0.7, colsample_bytree=1.0)
-    params = pipelines.boosting_params(draw)
-    assert params["maxDepth"] == 7 and params["featureSubsetStrategy"] == "all"
-    assert pipelines.boosting_params({**draw, "max_depth": 6})["maxDepth"] == 6
+def test_settings_of_a_draw():
+    draw = dict(num_leaves=127, learning_rate=0.1, n_estimators=200, max_depth=-1, min_child_samples=20, subsample=0.7, colsample_bytree=1.0, reg_alpha=0.5, reg_lambda=0.1)
+    found = boosting.settings_of(draw)
+    assert found.depth == 7 and found.l1 == 0.5 and found.l2 == 0.1 and found.rounds == 200 and found.patience is None
+    assert boosting.settings_of({**draw, "max_depth": 6}).depth == 6 and boosting.settings_of({**draw, "num_leaves": 255}).depth == 8
 
 
 def test_search_orders_candidates(data):
@@ -128,13 +133,11 @@ def test_search_orders_candidates(data):
     assert [r.model for r in rows] == ["linear", "stump"] and rows[0].folds == 3
 
 
-def test_trees_stop_early_and_rank_inputs(spark, data, tmp_path):
+def test_library_trees_stop_early(spark, data, tmp_path):
     marked = pipelines.with_validation_block(data)
     assert {r.block for r in marked.filter("is_validation").select("block").distinct().collect()} == {3}
     model = pipelines.boosted_trees(COLUMNS, validation="is_validation", maxIter=30, maxDepth=3, stepSize=0.3).fit(marked)
     assert 1 <= model.stages[-1].getNumTrees <= 30
-    top = pipelines.top_importance(model, spark, 2).collect()
-    assert len(top) == 2 and top[0].importance >= top[1].importance and top[0].feature != "constant"
     store.save_model(model, str(tmp_path), "trees")
     loaded = store.load_model(spark, str(tmp_path), "trees")
     same = model.transform(data).select("prediction").exceptAll(loaded.transform(data).select("prediction"))
@@ -173,10 +176,33 @@ def test_saved_neural_bands_predict_the_same(spark, data, tmp_path):
     assert store.load_model(spark, str(tmp_path), "nothing") is None
 
 
-def test_best_round_has_patience():
-    assert pipelines.best_round([5.0, 4.0, 4.5, 4.2, 3.0, 3.5], 3) == 5
-    assert pipelines.best_round([5.0, 4.0, 4.5, 4.2, 4.1, 3.0], 3) == 2
-    assert pipelines.best_round([1.0], 50) == 1
+def test_neural_parts_go_on_after_a_cut(spark, data, tmp_path, monkeypatch):
+    data = data.coalesce(1)  # one task, so that sums of gradients have one order
+    whole = neural.fit_bands(data, COLUMNS[:2], bands=3, hidden=[4], max_iter=25, part=10, root=f"{tmp_path}/whole")
+    fits, fit = [], neural.MultilayerPerceptronClassifier.fit
+
+    def cut(self, df):
+        if len(fits) == 2:
+            raise RuntimeError("lost")
+        fits.append(1)
+        return fit(self, df)
+
+    monkeypatch.setattr(neural.MultilayerPerceptronClassifier, "fit", cut)
+    with pytest.raises(RuntimeError):
+        neural.fit_bands(data, COLUMNS[:2], bands=3, hidden=[4], max_iter=25, part=10, root=f"{tmp_path}/cut")
+    fits[:] = [1]  # one more fit is allowed: the parts before are not fitted again
+    again = neural.fit_bands(data, COLUMNS[:2], bands=3, hidden=[4], max_iter=25, part=10, root=f"{tmp_path}/cut")
+    both = evaluation.with_predictions(data, {"whole": whole, "again": again})
+    assert both.filter("abs(whole - again) > 1e-6").isEmpty()
+
+
+def test_neural_validation_has_three_folds(spark, ws):
+    train = split.with_time_blocks(ws.train(), 3).select(S.DISTANCE, S.PASSENGERS, S.TARGET, "block").limit(10_000)
+    train.write.mode("overwrite").parquet(ws.path("neural_folds"))
+    stored = spark.read.parquet(ws.path("neural_folds"))
+    columns = [S.DISTANCE, S.PASSENGERS]
+    folds = search.cross_validate(stored, lambda past: neural.fit_bands(past, columns, bands=3, hidden=[4], max_iter=5), "neural").collect()
+    assert sorted(r.block for r in folds) == [1, 2, 3]
 
 
 def test_neural_bands_predict_inside_the_label_range(data):
@@ -192,3 +218,195 @@ def test_training_on_staged_features_beats_nothing(ws):
     train = ws.train_matrix()
     model = pipelines.linear_regression(features.FULL_FEATURES).fit(train)
     assert model.stages[-1].summary.r2 > 0
+
+
+# ---- boosting by rounds
+
+SMALL = boosting.Settings(rounds=12, rate=0.4, depth=2, min_rows=5, row_share=0.7, column_share=0.5, l1=1.0, l2=2.0, patience=None, bins=32, part=4)
+
+
+def best_cut(x, r, least):
+    """Column, threshold and gain of the best split, by trying all."""
+    found = (0.0, None, None)
+    for j in range(x.shape[1]):
+        values = np.unique(x[:, j])
+        for low, high in zip(values, values[1:]):
+            left = x[:, j] <= (low + high) / 2
+            if min(left.sum(), (~left).sum()) >= least:
+                gain = r[left].sum() ** 2 / left.sum() + r[~left].sum() ** 2 / (~left).sum() - r.sum() ** 2 / len(r)
+                if gain > found[0] + 1e-9:
+                    found = (gain, j, (low + high) / 2)
+    return found
+
+
+@pytest.fixture(scope="module")
+def coarse(spark):
+    """Two inputs of few values and a target, in three blocks of 100."""
+    rng = np.random.default_rng(5)
+    x = np.column_stack([rng.integers(0, 6, 300), rng.integers(0, 4, 300)]).astype(float)
+    y = 3.0 * (x[:, 0] > 2) - 2 * x[:, 1] + x[:, 0] * (x[:, 1] > 1) + rng.normal(0, 2, 300) + 10
+    rows = [(*map(float, v), float(t), i // 100) for i, (v, t) in enumerate(zip(x, y))]
+    return spark.createDataFrame(rows, f"a double, b double, {S.TARGET} double, block int").repartition(3).cache(), x, y
+
+
+def grown_by_hand(x, y, held, settings):
+    """Predictions and held-out errors of stumps grown by trying every split."""
+    f, errors = np.full(len(y), y[~held].mean()), []
+    for _ in range(settings.rounds):
+        r = y - f
+        _, j, cut = best_cut(x[~held], r[~held], settings.min_rows)
+        left = x[:, j] <= cut
+        for side in (left, ~left):
+            total, n = r[side & ~held].sum(), (side & ~held).sum()
+            f[side] += settings.rate * np.sign(total) * max(abs(total) - settings.l1, 0) / (n + settings.l2)
+        errors.append(np.mean((y[held] - f[held]) ** 2) if held.any() else np.nan)
+    return f, errors
+
+
+@pytest.mark.parametrize("l1, l2", [(0.0, 0.0), (6.0, 9.0)])
+def test_stumps_with_penalties_equal_the_hand_grown(coarse, l1, l2):
+    df, x, y = coarse
+    settings = boosting.Settings(rounds=5, rate=0.5, depth=1, min_rows=20, row_share=1, column_share=1, l1=l1, l2=l2, patience=None, bins=32)
+    model = boosting.fit(df, ["a", "b"], settings)
+    want, _ = grown_by_hand(x, y, np.zeros(len(y), bool), settings)
+    got = {(r.a, r.b): r.prediction for r in model.transform(df).collect()}
+    assert all(got[a, b] == pytest.approx(p) for (a, b), p in zip(x.tolist(), want))
+    assert model.kept == 5
+
+
+def test_patience_keeps_the_rounds_of_the_whole_curve(coarse, spark):
+    df, x, y = coarse
+    held = np.repeat([False, False, True], 100)
+    settings = boosting.Settings(rounds=40, rate=0.9, depth=1, min_rows=5, row_share=1, column_share=1, l1=0, l2=0, patience=3, bins=32)
+    _, errors = grown_by_hand(x, y, held, settings)
+    keep, over = boosting.best_round(errors, 3)
+    model = boosting.fit(df, ["a", "b"], settings)
+    assert over and model.kept == keep < 40
+    assert model.errors == pytest.approx(errors[: len(model.errors)]) and len(model.errors) == keep + 3
+    curve = boosting.error_curve(model, spark).collect()
+    assert [r.kept for r in curve] == [i < keep for i in range(keep + 3)]
+    # the curve is measured, not only added up
+    rest = model.transform(df.filter("block = 2")).agg(F.avg((F.col(S.TARGET) - F.col("prediction")) ** 2)).first()[0]
+    assert rest == pytest.approx(errors[keep - 1])
+
+
+def test_best_round_has_patience():
+    assert boosting.best_round([5.0, 4.0, 4.5, 4.2, 3.0, 3.5], 3) == (5, False)
+    assert boosting.best_round([5.0, 4.0, 4.5, 4.2, 4.1, 3.0], 3) == (2, True)
+    assert boosting.best_round([1.0], 50) == (1, False)
+    assert boosting.best_round([], 50) == (0, False)
+    assert boosting.best_round([2.0, 3.0], None) == (2, False)
+
+
+def test_a_cut_fit_goes_on_and_ends_the_same(coarse, tmp_path, monkeypatch, spark):
+    df, _, _ = coarse
+    whole = boosting.fit(df, ["a", "b"], SMALL, f"{tmp_path}/whole")
+    grown, grow = [], boosting._grown
+
+    def cut(*args):
+        if len(grown) == 6:
+            raise RuntimeError("lost")
+        grown.append(args[-1])
+        return grow(*args)
+
+    monkeypatch.setattr(boosting, "_grown", cut)
+    with pytest.raises(RuntimeError):
+        boosting.fit(df, ["a", "b"], SMALL, f"{tmp_path}/cut")
+    monkeypatch.setattr(boosting, "_grown", lambda *args: grown.append(args[-1]) or grow(*args))
+    again = boosting.fit(df, ["a", "b"], SMALL, f"{tmp_path}/cut")
+    assert grown == [*range(6), *range(4, 12)]  # the whole part of four is not grown again
+    both = whole.transform(df).select("a", "b", F.col("prediction").alias("p")).distinct().join(again.transform(df).distinct(), ["a", "b"])
+    assert both.filter("abs(p - prediction) > 1e-12").isEmpty()
+    done = boosting.fit(df, ["a", "b"], SMALL, f"{tmp_path}/cut")
+    assert len(done.rounds) == 12 and grown[-1] == 11 and len(grown) == 14
+    loaded = boosting.load(spark, f"{tmp_path}/cut", whole.base, SMALL)
+    assert loaded.kept == 12
+    with pytest.raises(ValueError, match="other settings"):
+        boosting.fit(df, ["a"], SMALL, f"{tmp_path}/cut")
+
+
+def test_rounds_draw_rows_and_columns(coarse):
+    df, _, _ = coarse
+    drawn = [boosting.chosen_columns(list("abcdefghij"), SMALL, at) for at in range(6)]
+    assert all(len(d) == 5 and d == sorted(d) for d in drawn) and len({tuple(d) for d in drawn}) > 2
+    keyed = df.withColumn(boosting.ROW, F.monotonically_increasing_id())
+    kept = [keyed.filter(boosting.in_sample(SMALL, at)).count() for at in range(3)]
+    assert all(160 < n < 260 for n in kept) and len(set(kept)) > 1
+
+
+def test_nothing_to_grow_on(spark):
+    empty = spark.createDataFrame([], f"a double, {S.TARGET} double, block int")
+    assert boosting.fit(empty, ["a"], SMALL).kept == 0
+    unlabelled = spark.createDataFrame([(1.0, None, 0)], empty.schema)
+    assert boosting.fit(unlabelled, ["a"], SMALL).kept == 0
+
+
+def test_importance_of_saved_trees(coarse, spark, tmp_path):
+    df, x, y = coarse
+    settings = boosting.Settings(rounds=2, rate=1.0, depth=1, min_rows=5, row_share=1, column_share=1, l1=0, l2=0, patience=None, bins=32)
+    boosting.fit(df, ["a", "b"], settings, str(tmp_path))
+    r, gains = y - y.mean(), {}
+    for _ in range(2):
+        gain, j, cut = best_cut(x, r, 5)
+        gains.setdefault("ab"[j], []).append(gain)
+        left = x[:, j] <= cut
+        r = r - np.where(left, r[left].mean(), r[~left].mean())
+    got = {r.feature: r for r in saved.importance(spark, boosting.part_folders(str(tmp_path))).collect()}
+    assert {f: (r.splits, pytest.approx(r.gain)) for f, r in got.items()} == {f: (len(g), sum(g)) for f, g in gains.items()}
+    assert sum(r.importance for r in got.values()) == pytest.approx(1)
+    top = saved.top_importance(spark, boosting.part_folders(str(tmp_path)), 1).first()
+    assert top.gain == max(r.gain for r in got.values())
+
+
+def test_a_cut_search_ends_with_the_same_board(data, tmp_path):
+    fits = []
+
+    def candidate(depth):
+        def fit(past, root):
+            if len(fits) == stop_at:
+                raise RuntimeError("lost")
+            fits.append((depth, past.count()))
+            return boosting.fit(past, COLUMNS[:2], boosting.Settings(rounds=1, depth=depth, rate=1.0, min_rows=5, row_share=1, column_share=1, patience=None, bins=32), root)
+
+        return fit
+
+    candidates = [("one", candidate(1)), ("two", candidate(2)), ("linear", pipelines.linear_regression(COLUMNS[:2]))]
+    stop_at = 99
+    whole = search.search(data, candidates, 1, ledger=f"{tmp_path}/whole").collect()
+    assert [r.model for r in whole][0] == "linear" and len(fits) == 6
+    fits.clear()
+    stop_at = 4
+    with pytest.raises(RuntimeError):
+        search.search(data, candidates, 1, ledger=f"{tmp_path}/cut")
+    stop_at = 99
+    assert search.search(data, candidates, 1, ledger=f"{tmp_path}/cut").collect() == whole
+    assert len(fits) == 6  # four before the cut, two after
+    assert search.search(data, candidates, 1, ledger=f"{tmp_path}/cut").collect() == whole and len(fits) == 6
+
+
+def test_score_document_round_trip(spark, tmp_path):
+    rows = [(m, 0.1 * i + b, 2.0, 0.5) for i, m in enumerate(scores.FAMILIES) for b in range(3)]
+    folds = spark.createDataFrame(rows, "model string, RMSE double, MAE double, R2 double")
+    summary = scores.summary(folds)
+    params = {"n_estimators": 200, "learning_rate": 0.05}
+    scores.write(summary, f"{tmp_path}/all", 10.0, params)
+    read = scores.read(spark, f"{tmp_path}/all")
+    one = read.first()
+    assert one.boosted_trees.best_params == {"n_estimators": "200", "learning_rate": "0.05"} and one.ridge_regression.best_alpha == 10.0
+    assert [c for c in read.columns] == scores.FAMILIES
+    got = {r.model: r for r in scores.listed(read).collect()}
+    want = {r.model: r for r in summary.collect()}
+    assert set(got) == set(scores.FAMILIES)
+    assert all(got[m][c] == want[m][c] for m in want for c in ["folds", *scores.MEASURES])
+    scores.write(summary.filter("model = 'baseline'"), f"{tmp_path}/one")
+    alone = scores.listed(scores.read(spark, f"{tmp_path}/one")).collect()
+    assert [r.model for r in alone] == ["baseline"] and alone[0].best_params is None
+
+
+def test_saved_scaling_and_inputs(spark, data, tmp_path):
+    store.save_model(pipelines.linear_regression(COLUMNS).fit(data), str(tmp_path), "line")
+    listed = saved.inputs(spark, f"{tmp_path}/line").orderBy("position").collect()
+    assert [r.feature for r in listed] == COLUMNS and {r.stage for r in listed} == {0}
+    scaling = saved.scaling(spark, f"{tmp_path}/line").orderBy("position").collect()
+    want = data.agg(*[f(c) for c in COLUMNS for f in (F.mean, F.stddev_samp)]).first()
+    assert [v for r in scaling for v in (r["mean"], r["std"])] == pytest.approx(list(want))

@@ -1,13 +1,12 @@
 """Regression pipelines: assemblers, scaling, linear, tree and neural models with their presets."""
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wayfare import schema as S
-from wayfare import session
 
 SEED = 42
 
@@ -15,14 +14,7 @@ SEED = 42
 FULL_ALPHAS = [0.01, 0.1, 1.0, 10.0, 100.0, 1000.0]
 SHORT_ALPHAS = [0.1, 1.0, 10.0, 100.0, 1000.0]
 
-# Fixed boosting settings: 500 rounds at rate 0.05, at least 50 rows per leaf, 80% of rows and
-# columns per tree. Preset A stands for 127 leaves (depth 7), preset B for depth 8.
-BOOSTING_PRESETS = {
-    "A": dict(maxIter=500, stepSize=0.05, maxDepth=7, minInstancesPerNode=50, subsamplingRate=0.8, featureSubsetStrategy="0.8"),
-    "B": dict(maxIter=500, stepSize=0.05, maxDepth=8, minInstancesPerNode=50, subsamplingRate=0.8, featureSubsetStrategy="0.8"),
-}
-
-# Fixed random-search space; names on the left are the search's, see ``boosting_params``.
+# Fixed random-search space; ``boosting.settings_of`` turns a point into settings.
 BOOSTING_SPACE = {
     "num_leaves": [31, 63, 127, 255],
     "learning_rate": [0.01, 0.05, 0.1, 0.2],
@@ -35,7 +27,7 @@ BOOSTING_SPACE = {
     "reg_lambda": [0.0, 0.1, 1.0],
 }
 SEARCH_DRAWS = 30
-PATIENCE = 50
+PATIENCE = 50  # rounds without a lower held-out error before growing ends
 
 
 def assembler(columns: list[str]) -> VectorAssembler:
@@ -86,64 +78,7 @@ def boosted_trees(columns: list[str], label: str = S.TARGET, validation: str | N
     return Pipeline(stages=[assembler(columns), trees])
 
 
-def best_round(errors: list[float], patience: int) -> int:
-    """Rounds to keep: up to the lowest error before ``patience`` rounds brought no lower one."""
-    best = 0
-    for i, error in enumerate(errors):
-        if error < errors[best]:
-            best = i
-        elif i - best >= patience:
-            break
-    return best + 1
-
-
-def fit_with_patience(train: DataFrame, columns: list[str], patience: int = PATIENCE, block: str = "block", label: str = S.TARGET, **params):
-    """Boosted trees with early stopping: rounds are counted on the latest block, then all rows are fitted with so many.
-
-    One fit on the earlier blocks gives the validation error after every round in one pass.
-    """
-    marked = with_validation_block(train, block=block)
-    rounds = boosted_trees(columns, label, **params).fit(marked.filter(~F.col("is_validation")))
-    held_out = rounds.stages[0].transform(marked.filter("is_validation"))
-    errors = rounds.stages[-1].evaluateEachIteration(held_out, "squared")
-    return boosted_trees(columns, label, **{**params, "maxIter": best_round(errors, patience)}).fit(train)
-
-
-def random_forest(columns: list[str], label: str = S.TARGET, seed: int = SEED, **params) -> Pipeline:
-    return Pipeline(stages=[assembler(columns), RandomForestRegressor(labelCol=label, seed=seed, **params)])
-
-
 def with_validation_block(train: DataFrame, column: str = "is_validation", block: str = "block") -> DataFrame:
     """Mark the latest time block for early stopping, so the test period stays unseen."""
     latest = train.agg(F.max(block)).first()[0]
     return train.withColumn(column, F.col(block) == F.lit(latest))
-
-
-def boosting_params(draw: dict) -> dict:
-    """Tree parameters of one draw of the search space.
-
-    Level-wise trees know no leaf limit: the depth that holds as many leaves bounds it instead. The
-    two weight penalties have no counterpart and are left out.
-    """
-    by_leaves = (draw["num_leaves"] + 1).bit_length() - 1
-    depth = by_leaves if draw["max_depth"] < 0 else min(by_leaves, draw["max_depth"])
-    return dict(
-        maxIter=draw["n_estimators"],
-        stepSize=draw["learning_rate"],
-        maxDepth=depth,
-        minInstancesPerNode=draw["min_child_samples"],
-        subsamplingRate=draw["subsample"],
-        featureSubsetStrategy="all" if draw["colsample_bytree"] == 1.0 else str(draw["colsample_bytree"]),
-    )
-
-
-def importance(model: PipelineModel, spark) -> DataFrame:
-    """Share of impurity gain per input, from a fitted tree pipeline."""
-    names = model.stages[0].getInputCols()
-    gains = model.stages[-1].featureImportances.toArray()
-    rows = [(name, float(gain)) for name, gain in zip(names, gains)]
-    return session.literal_rows(spark, rows, "feature string, importance double")
-
-
-def top_importance(model: PipelineModel, spark, k: int = 25) -> DataFrame:
-    return importance(model, spark).orderBy(F.col("importance").desc(), "feature").limit(k)

@@ -3,12 +3,12 @@
 A neural band model is its network beside a small table of band means.
 """
 
-from pyspark.errors import PySparkException
 from pyspark.ml import PipelineModel
 from pyspark.sql import SparkSession
 
 from wayfare import session
 from wayfare.models.neural import BandModel
+from wayfare.models.paths import exists
 
 
 def save_model(model: PipelineModel | BandModel, root: str, name: str) -> str:
@@ -23,23 +23,13 @@ def save_model(model: PipelineModel | BandModel, root: str, name: str) -> str:
     return path
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.text(path)
-    except PySparkException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True
-
-
 def load_model(spark: SparkSession, root: str, name: str) -> PipelineModel | BandModel | None:
     """The saved model, or None if there is none of that name."""
     path = f"{root}/{name}"
-    if _exists(spark, f"{path}/network/metadata"):
+    if exists(spark, f"{path}/network/metadata"):
         means = spark.read.parquet(f"{path}/band_means").orderBy("band").collect()  # a row per band
         return BandModel(PipelineModel.load(f"{path}/network"), [r["mean"] for r in means])
-    return PipelineModel.load(path) if _exists(spark, f"{path}/metadata") else None
+    return PipelineModel.load(path) if exists(spark, f"{path}/metadata") else None
 
 
 def input_columns(model: PipelineModel | BandModel) -> list[str]:

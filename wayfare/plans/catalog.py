@@ -5,6 +5,7 @@ fixed number of places, so that a second engine summing in another order agrees.
 """
 
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,7 +16,7 @@ from wayfare import session
 from wayfare.functions import requests as R
 from wayfare.functions import time as calendar
 from wayfare.functions import trip
-from wayfare.models import evaluation, linear_search, pipelines, store
+from wayfare.models import boosting, evaluation, linear_search, pipelines, saved, scores, search, store
 from wayfare.operators import impute as imputing
 from wayfare.operators import metrics, profiling, quality, sampling, split
 from wayfare.plans import features, prepare, report, scoring
@@ -740,7 +741,8 @@ def cv_scores_1d(ws):
     return scores_document(ws, [S.DISTANCE])
 
 
-def scores_document(ws, columns: list[str]) -> DataFrame:
+def one_input_folds(ws, columns: list[str]) -> tuple[float, DataFrame]:
+    """The chosen penalty, and the fold scores of the baseline and the linear models."""
     train = ws.train_matrix()
     moments = linear_search.block_moments(train, columns)
     alpha = linear_search.best_alpha(linear_search.grid_scores(moments, pipelines.FULL_ALPHAS))
@@ -749,7 +751,11 @@ def scores_document(ws, columns: list[str]) -> DataFrame:
     held = trip.with_distance_features(train.filter(F.col("block") > 0), S.DEFAULT_SPEED_MPH)
     base = metrics.evaluate_models(held, S.TARGET, {"baseline": "baseline_duration"}, ["block"], None)
     names = ["model", "RMSE", "MAE", "R2"]
-    every = folds.select(*names).unionByName(ridge_folds.select(*names)).unionByName(base.select(*names))
+    return alpha, folds.select(*names).unionByName(ridge_folds.select(*names)).unionByName(base.select(*names))
+
+
+def scores_document(ws, columns: list[str]) -> DataFrame:
+    alpha, every = one_input_folds(ws, columns)
     summary = metrics.fold_summary(every, ["model"]).withColumn("best_alpha", F.when(F.col("model") == "ridge_regression", F.lit(alpha)))
     path = session.scratch_path(ws.spark, "scores.json")
     sinks.write_json(summary, path)
@@ -826,6 +832,82 @@ def gbt_stump(ws):
 
 @query
 def stump_importance(ws):
-    """Its only input carries the whole importance."""
-    gbt_stump(ws)
-    return pipelines.top_importance(ws.model("gbt_stump", None), ws.spark, 25)
+    """Gain and splits of its one input, read from the saved trees of the same stump grown by rounds."""
+    model_of_hours(ws, "stump", STUMP)
+    found = saved.top_importance(ws.spark, boosting.part_folders(ws.path("boosted/stump")), 25)
+    return rounded(found, 4, "gain", "importance")
+
+
+# ---- boosting by rounds, on one input where SQL can follow it
+
+STUMP = boosting.Settings(rounds=1, rate=0.2, depth=1, row_share=1.0, column_share=1.0, l1=0.0, l2=0.0, patience=None, bins=32)
+PATIENT = replace(STUMP, rounds=24, rate=0.3, patience=3)
+PENALISED = replace(STUMP, rounds=4, rate=0.5, l1=40.0, l2=25.0)
+
+
+def model_of_hours(ws, name: str, settings: boosting.Settings):
+    return boosting.fit(ws.train_matrix(), ["hour"], settings, ws.path(f"boosted/{name}"))
+
+
+@query
+def boosting_patience(ws):
+    """Held-out error after every round of stumps on the hour, until three rounds brought no lower one; the rounds that are kept."""
+    curve = boosting.error_curve(model_of_hours(ws, "patient", PATIENT), ws.spark)
+    return rounded(curve, 6, "RMSE")
+
+
+@query
+def boosting_penalties(ws):
+    """Duration that stumps on the hour predict for each hour when leaf sums are thresholded and leaf counts enlarged."""
+    counts = ws.train_matrix().groupBy("hour").agg(F.count(F.lit(1)).alias("trips"))
+    scored = model_of_hours(ws, "penalised", PENALISED).transform(counts)
+    return scored.select("hour", "trips", F.round("prediction", 6).alias("predicted"))
+
+
+@query
+def tree_importance(ws):
+    """Gain and splits of each input of one saved tree of depth two on hour, weekday and passengers."""
+    columns = ["hour", "day_of_week", S.PASSENGERS]
+    boosting.fit(ws.train_matrix(), columns, replace(STUMP, depth=2), ws.path("boosted/tree"))
+    return rounded(saved.top_importance(ws.spark, boosting.part_folders(ws.path("boosted/tree")), 25), 4, "gain", "importance")
+
+
+@query
+def search_plan(ws):
+    """Work list of the random search: the points drawn, and for every fold the rows to fit and those in a round's sample."""
+    drawn = search.points(ws.spark, pipelines.BOOSTING_SPACE, pipelines.SEARCH_DRAWS)
+    train = ws.train().transform(split.with_time_blocks)
+    place = F.conv(F.substring(F.md5(F.concat_ws("|", trip_key(), F.lit("42"))), 1, 8), 16, 10).cast("long") % boosting.SHARES
+    shares = pipelines.BOOSTING_SPACE["subsample"]
+    within = [F.sum((place < int(x * boosting.SHARES + 0.5)).cast("long")).alias(f"s{i}") for i, x in enumerate(shares)]
+    counted = train.groupBy("block").agg(F.count(F.lit(1)).alias("rows"), *within)  # a row per block
+    past = counted.alias("held").join(counted.alias("past"), F.col("past.block") < F.col("held.block"))
+    folds = past.groupBy(F.col("held.block").alias("block")).agg(
+        F.sum("past.rows").alias("rows_fitted"), F.first("held.rows").alias("rows_held"), F.array(*[F.sum(f"past.s{i}") for i in range(len(shares))]).alias("sampled")
+    )
+    at = F.array_position(F.array(*[F.lit(x) for x in shares]), F.col("subsample"))
+    plan = drawn.join(F.broadcast(folds))  # folds x draws: the list itself
+    return plan.withColumn("rows_sampled", F.element_at("sampled", at.cast("int"))).drop("sampled")
+
+
+@query
+def model_inputs(ws):
+    """Inputs of the saved linear model in their order, with what its scaler subtracts and divides by, read from the saved files."""
+    fitted_ols(ws)
+    path = f"{ws.path('models')}/linear_regression_{len(COLUMNS)}"
+    scaling = saved.scaling(ws.spark, path).select("position", "mean", "std")
+    joined = saved.inputs(ws.spark, path).select("position", "feature").join(scaling, "position")
+    return rounded(joined, 6, "mean", "std")
+
+
+@query
+def cv_document_1d(ws):
+    """Scores of four model families on one input each through the nested document: typed entries, read back and listed."""
+    train = ws.train_matrix()
+    alpha, folds = one_input_folds(ws, [S.DISTANCE])
+    params = {"depth": STUMP.depth, "n_estimators": STUMP.rounds}
+    stumps = search.cross_validate(train, lambda past: boosting.fit(past, ["hour"], STUMP), "boosted_trees")
+    folds = folds.unionByName(stumps.select(*folds.columns))
+    path = session.scratch_path(ws.spark, "document.json")
+    scores.write(scores.summary(folds), path, alpha, params)
+    return scores.listed(scores.read(ws.spark, path))

@@ -1,7 +1,9 @@
 """The registered queries in plain SQL, for a second engine to check the results."""
 
 import re
+from math import prod
 
+from wayfare.models import pipelines
 from wayfare.plans import features
 
 # Shared table expressions; each oracle pulls in the ones it names.
@@ -579,7 +581,87 @@ SQL["gbt_stump"] = """SELECT CAST(h AS DOUBLE) AS hour, k AS trips,
           sum(k) OVER () AS all_k FROM hours WINDOW w AS (ORDER BY h))
         WHERE left_k < all_k
         ORDER BY left_y * left_y / left_k + (all_y - left_y) * (all_y - left_y) / (all_k - left_k) DESC LIMIT 1)"""
-SQL["stump_importance"] = "SELECT 'hour' AS feature, 1.0::DOUBLE AS importance"
+def grown_stumps(source: str, rate: float, rounds: int, l1: float, l2: float, least: int = 50) -> str:
+    """Stumps on h by rounds over ``source`` (h; n, s: fitted rows and their sum; vn, vs, vq: held-out rows, sum, sum of squares):
+    columns r (rounds so far), h, f (prediction so far) and the source's own."""
+    split = f"CASE WHEN ln >= {least} AND tn - ln >= {least} THEN ls * ls / ln + (ts - ls) * (ts - ls) / (tn - ln) ELSE -1 END"
+
+    def leaf(total: str, rows: str) -> str:
+        return f"sign({total}) * greatest(abs({total}) - {l1}, 0) / ({rows} + {l2})"
+
+    return f"""(WITH RECURSIVE grown AS (
+        SELECT 0 AS r, s0.*, (SELECT sum(s) / sum(n) FROM ({source})) AS f FROM ({source}) s0
+        UNION ALL
+        SELECT r + 1, h, n, s, vn, vs, vq, f + {rate} * CASE WHEN h <= cut THEN {leaf("cs", "cn")} ELSE {leaf("(ts - cs)", "(tn - cn)")} END
+        FROM (SELECT *, first_value(h) OVER best AS cut, first_value(ls) OVER best AS cs, first_value(ln) OVER best AS cn
+          FROM (SELECT *, sum(n) OVER up AS ln, sum(s - n * f) OVER up AS ls, sum(n) OVER () AS tn, sum(s - n * f) OVER () AS ts
+            FROM grown WHERE r < {rounds} WINDOW up AS (ORDER BY h ROWS UNBOUNDED PRECEDING))
+          WINDOW best AS (ORDER BY {split} DESC, h ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)))
+      SELECT * FROM grown)"""
+
+
+HELD_HOURS = """SELECT hour(tpep_pickup_datetime) AS h, count(*) FILTER (block < 5) AS n, sum(trip_duration_minutes) FILTER (block < 5) AS s,
+      count(*) FILTER (block = 5) AS vn, coalesce(sum(trip_duration_minutes) FILTER (block = 5), 0) AS vs,
+      coalesce(sum(trip_duration_minutes * trip_duration_minutes) FILTER (block = 5), 0) AS vq FROM blocks GROUP BY 1"""
+CTES["progress"] = f"""
+        SELECT r, e, arg_min(r, e) OVER (ORDER BY r) AS best FROM (
+          SELECT r, sum(vq - 2 * f * vs + vn * f * f) / sum(vn) AS e FROM {grown_stumps(HELD_HOURS, 0.3, 24, 0, 0)} WHERE r > 0 GROUP BY r)"""
+SQL["boosting_patience"] = """SELECT CAST(r AS INTEGER) AS round, round(sqrt(e), 6) AS RMSE,
+      r <= (SELECT best FROM progress p, ends WHERE p.r = last_round) AS kept FROM progress, ends WHERE r <= last_round"""
+CTES["ends"] = "SELECT coalesce(min(r) FILTER (r - best >= 3), max(r)) AS last_round FROM progress"
+ALL_HOURS = "SELECT h, k AS n, y AS s, 0 AS vn, 0 AS vs, 0 AS vq FROM hours"
+SQL["boosting_penalties"] = f"""SELECT CAST(h AS DOUBLE) AS hour, n AS trips, round(f, 6) AS predicted
+      FROM {grown_stumps(ALL_HOURS, 0.5, 4, 40.0, 25.0)} WHERE r = 4"""
+
+
+def best_splits(source: str, keys: str) -> str:
+    """The best split of every group of ``source`` (keys, feature, x, y): keys, feature, cut, gain, sum and rows on the left and in all."""
+    by = f"PARTITION BY {keys}, feature ORDER BY x"
+    return f"""SELECT {keys}, feature, x AS cut, gain, ls, ln, ts, tn FROM (
+        SELECT *, ls * ls / ln + (ts - ls) * (ts - ls) / (tn - ln) - ts * ts / tn AS gain FROM (
+          SELECT {keys}, feature, x, sum(n) OVER (PARTITION BY {keys}, feature) AS tn, sum(s) OVER (PARTITION BY {keys}, feature) AS ts,
+            sum(n) OVER ({by}) AS ln, sum(s) OVER ({by}) AS ls
+          FROM (SELECT {keys}, feature, x, count(*) AS n, sum(y) AS s FROM ({source}) GROUP BY ALL))
+        WHERE ln >= 50 AND tn - ln >= 50)
+      QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY gain DESC, feature, x) = 1 AND gain > 0"""
+
+
+CTES["three_inputs"] = """
+        SELECT row, y, unnest(['hour', 'day_of_week', 'passenger_count']) AS feature, unnest([a, b, c]) AS x
+        FROM (SELECT row_number() OVER () AS row, trip_duration_minutes - avg(trip_duration_minutes) OVER () AS y,
+          CAST(hour(tpep_pickup_datetime) AS DOUBLE) AS a, CAST(isodow(tpep_pickup_datetime) - 1 AS DOUBLE) AS b, passenger_count AS c FROM train)"""
+CTES["top_split"] = best_splits("SELECT 0 AS side, * FROM three_inputs", "side")
+CTES["sides"] = """
+        SELECT t.*, CAST(s.x <= cut AS INTEGER) AS side FROM three_inputs t
+        JOIN (SELECT row, x, cut FROM three_inputs JOIN top_split USING (feature)) s USING (row)"""
+SQL["tree_importance"] = f"""SELECT feature, round(sum(gain), 4) AS gain, count(*) AS splits, round(sum(gain) / sum(sum(gain)) OVER (), 4) AS importance
+      FROM (SELECT feature, gain FROM top_split UNION ALL SELECT feature, gain FROM ({best_splits("SELECT * FROM sides", "side")})) GROUP BY feature"""
+SQL["stump_importance"] = f"""SELECT feature, round(gain, 4) AS gain, 1::BIGINT AS splits, 1.0::DOUBLE AS importance
+      FROM ({best_splits("SELECT 0 AS side, * FROM three_inputs WHERE feature = 'hour'", "side")})"""
+
+
+def drawn_points(space: dict[str, list], n: int, seed: int = 42) -> str:
+    """n points of a grid by the lowest md5 of "seed:number"; the digits of a number are its places on the axes."""
+    total = prod(len(axis) for axis in space.values())
+    columns, step = [], total
+    for name, axis in space.items():
+        step //= len(axis)
+        kind = "DOUBLE" if any(isinstance(v, float) for v in axis) else "INTEGER"
+        columns.append(f"([{', '.join(f'{v}::{kind}' for v in axis)}])[1 + number // {step} % {len(axis)}] AS {name}")
+    return f"""SELECT CAST(place - 1 AS INTEGER) AS draw, number, {", ".join(columns)}
+      FROM (SELECT range AS number, row_number() OVER (ORDER BY md5('{seed}:' || range)) AS place FROM range({total})) WHERE place <= {n}"""
+
+
+SQL["search_plan"] = f"""SELECT p.*, f.block, rows_fitted, rows_held,
+      CASE subsample WHEN 0.7 THEN a WHEN 0.8 THEN b WHEN 0.9 THEN c ELSE d END AS rows_sampled
+      FROM ({drawn_points(pipelines.BOOSTING_SPACE, pipelines.SEARCH_DRAWS)}) p,
+        (SELECT h.block, rows_held, count(*) AS rows_fitted, count(*) FILTER (place < 7000) AS a, count(*) FILTER (place < 8000) AS b,
+           count(*) FILTER (place < 9000) AS c, count(*) FILTER (place < 10000) AS d
+         FROM (SELECT block, ('0x' || substr(h, 1, 8))::BIGINT % 10000 AS place FROM ({CTES["keyed"]} blocks)) t
+         JOIN (SELECT block, count(*) AS rows_held FROM blocks WHERE block > 0 GROUP BY 1) h ON t.block < h.block GROUP BY ALL) f"""
+SQL["model_inputs"] = "SELECT unnest([" + ", ".join(
+    f"{{'position': {i}, 'feature': '{c}', 'mean': round(avg({c}), 6), 'std': round(stddev_samp({c}), 6)}}" for i, c in enumerate(features.FULL_FEATURES)
+) + "], recursive := true) FROM train_features"
 SQL["cv_ols_1d"] = """SELECT block, count(*) AS rows, round(sqrt(avg((y - p) * (y - p))), 6) AS RMSE,
       round(avg(abs(y - p)), 6) AS MAE, round(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)), 6) AS R2
       FROM (SELECT b.block, trip_duration_minutes AS y, greatest(intercept + slope * trip_distance, 0) AS p
@@ -607,6 +689,16 @@ SQL["cv_scores_1d"] = f"""SELECT model, count(*) AS folds, round(avg(RMSE), 4) A
           FROM blocks JOIN fold_lines f USING (block), (SELECT alpha FROM ({SQL["ridge_grid_1d"]}) WHERE is_best) best,
             (SELECT unnest(['baseline', 'linear_regression', 'ridge_regression']) AS model) models)
         GROUP BY model, block) GROUP BY model"""
+CTES["fold_stumps"] = best_splits("""SELECT h.block AS held, 'hour' AS feature, hour(tpep_pickup_datetime) AS x, trip_duration_minutes AS y
+        FROM blocks t JOIN (SELECT DISTINCT block FROM blocks WHERE block > 0) h ON t.block < h.block""", "held")
+SQL["cv_document_1d"] = f"""SELECT *, NULL::VARCHAR AS best_params FROM ({SQL["cv_scores_1d"]})
+      UNION ALL
+      SELECT 'boosted_trees', count(*), round(avg(RMSE), 4), round(stddev_pop(RMSE), 4), round(avg(MAE), 4), round(stddev_pop(MAE), 4),
+        round(avg(R2), 4), round(stddev_pop(R2), 4), NULL, '{{"depth":"1","n_estimators":"1"}}'
+      FROM (SELECT sqrt(avg((y - p) * (y - p))) AS RMSE, avg(abs(y - p)) AS MAE, 1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)) AS R2
+        FROM (SELECT block, trip_duration_minutes AS y, greatest(0, ts / tn + 0.2::DOUBLE * (CASE WHEN hour(tpep_pickup_datetime) <= cut THEN ls / ln
+            ELSE (ts - ls) / (tn - ln) END - ts / tn)) AS p
+          FROM blocks JOIN fold_stumps ON held = block) GROUP BY block)"""
 SQL["peak_hours"] = f"WITH_H({mean_by('hour', 'hour(tpep_pickup_datetime)')})" + SQL["peak_hours"]
 SQL["err_extremes"] = "WITH_E(" + error_by("CAST(hour AS INTEGER) AS hour") + " GROUP BY 1)" + SQL["err_extremes"]
 
