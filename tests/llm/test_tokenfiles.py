@@ -27,7 +27,7 @@ def encoder():
     return tokenfiles.Encoder(PATH)
 
 
-PIECES = [" ", "  ", "\n", "\t", " ", " ", "\x1c", "\x85", "a", "Word", "don't", "we'll", "'s", "x.", "x,", "7,", "7.", ".", "...", "_.", "é.", "漢字", "́", "½.", "\U0001f600", "<|endoftext|>", "\r\n", "​", "﻿"]
+PIECES = [" ", "  ", "\n", "\t", " ", " ", "\x1c", "\x85", "a", "Word", "don't", "we'll", "'s", "$$$", "a1b2", "x%%%7", "naïve", "×", "`", "[]", "{~", "x.", "x,", "7,", "7.", ".", "...", "_.", "é.", "漢字", "́", "½.", "\U0001f600", "<|endoftext|>", "\r\n", "​", "﻿"]
 
 
 @settings(max_examples=400, deadline=None)

@@ -39,8 +39,8 @@ ENTRY = np.dtype([("column", "u1"), ("bits", "u1"), ("first", "<u8"), ("n", "<u4
 CACHED_WORDS = 400_000
 ALONE = re.compile(r" (?=\S)")  # a space before a visible character always begins a piece of its own
 LINE = re.compile(r"(?<=\S)\n(?=\S)")  # and a single line break between visible characters is one
-STOPPED = re.compile(r"[^\W_][.,]$")  # as is a stop or comma after a letter or digit
-PLAIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+# runs that the rules tell apart: letters, digits, signs (no apostrophe, which may begin a piece of letters)
+RUN = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+|[0-9]+|[!-&(-/:-@\[-`{-~]+")
 
 
 # ---- planes
@@ -154,23 +154,29 @@ class Reader:
 
 
 class PieceIds(dict):
-    """Token ids (bytes of little-endian 32-bit ids) of pieces of text, encoded on first use; ``lead`` comes before each."""
+    """Token ids (bytes of little-endian 32-bit ids) of pieces of text, encoded on first use; ``lead`` comes before each.
 
-    def __init__(self, tokenizer, lead: str, stops: "PieceIds | None" = None):
+    ``inner`` holds the pieces without a lead, for what follows the first run of a piece.
+    """
+
+    def __init__(self, tokenizer, lead: str, inner: "PieceIds | None" = None):
         super().__init__()
-        self.tokenizer, self.lead, self.stops = tokenizer, lead, self if stops is None else stops
+        self.encode, self.merge = tokenizer.encode, tokenizer.model.tokenize
+        self.lead, self.mark = lead, lead.translate(BYTE_CHARACTERS)
+        self.inner = self if inner is None else inner
 
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= CACHED_WORDS:
             self.clear()
-        if PLAIN.fullmatch(piece):
-            # letters alone are one piece: straight to the merges, as the characters that stand for its bytes
-            word = self.lead.translate(BYTE_CHARACTERS) + (piece if piece.isascii() else piece.encode().decode("latin1").translate(BYTE_CHARACTERS))
-            ids = array("I", [token.id for token in self.tokenizer.model.tokenize(word)]).tobytes()
-        elif STOPPED.search(piece) and len(piece) < 64:
-            ids = self[piece[:-1]] + self.stops[piece[-1]]
+        runs = RUN.findall(piece)
+        if len(runs) == 1 and len(runs[0]) == len(piece):
+            # one run is one piece of the rules: straight to the merges, as the characters that stand for its bytes
+            word = self.mark + (piece if piece.isascii() else piece.encode().decode("latin1").translate(BYTE_CHARACTERS))
+            ids = array("I", [token.id for token in self.merge(word)]).tobytes()
+        elif runs and sum(map(len, runs)) == len(piece):
+            ids = self[runs[0]] + b"".join(map(self.inner.__getitem__, runs[1:]))
         else:
-            ids = array("I", self.tokenizer.encode(self.lead + piece, add_special_tokens=False).ids).tobytes()
+            ids = array("I", self.encode(self.lead + piece, add_special_tokens=False).ids).tobytes()
         if len(piece) < 256:
             self[piece] = ids
         return ids
