@@ -36,7 +36,7 @@ CHUNK = 1 << 16  # values of a chunk
 SEGMENT_IDS = 1 << 22  # ids, about, that one reading step takes
 COLUMNS = {"ids": (0, "<u4"), "docs": (1, "<i8"), "lengths": (2, "<u8"), "nulls": (3, "u1")}
 ENTRY = np.dtype([("column", "u1"), ("bits", "u1"), ("first", "<u8"), ("n", "<u4"), ("at", "<u8"), ("sizes", "<u4", (64,)), ("crc", "<u4")])
-CACHED_WORDS = 400_000
+CACHED_WORDS = 160_000  # of each generation
 ALONE = re.compile(r" (?=\S)")  # a space before a visible character always begins a piece of its own
 LINE = re.compile(r"(?<=\S)\n(?=\S)")  # and a single line break between visible characters is one
 # runs that the rules tell apart: letters, digits, signs (no apostrophe, which may begin a piece of letters)
@@ -164,23 +164,33 @@ class PieceIds(dict):
         self.encode, self.merge = tokenizer.encode, tokenizer.model.tokenize
         self.lead, self.mark = lead, lead.translate(BYTE_CHARACTERS)
         self.inner = self if inner is None else inner
+        self.older: dict[str, bytes] = {}  # the generation before: words met again come back, the rest are forgotten
 
     def __missing__(self, piece: str) -> bytes:
+        if (ids := self.older.get(piece)) is not None:
+            self[piece] = ids
+            return ids
         if len(self) >= CACHED_WORDS:
+            self.older = dict(self)
             self.clear()
-        runs = RUN.findall(piece)
-        if len(runs) == 1 and len(runs[0]) == len(piece):
-            # one run is one piece of the rules: straight to the merges, as the characters that stand for its bytes
-            word = self.mark + (piece if piece.isascii() else piece.encode().decode("latin1").translate(BYTE_CHARACTERS))
-            ids = array("I", [token.id for token in self.merge(word)]).tobytes()
-        elif runs and sum(map(len, runs)) == len(piece):
-            ids = self[runs[0]] + b"".join(map(self.inner.__getitem__, runs[1:]))
+        if piece.isascii() and piece.isalpha():
+            ids = self._merged(self.mark + piece)
         else:
-            ids = array("I", self.encode(self.lead + piece, add_special_tokens=False).ids).tobytes()
-        if len(piece) < 256:
+            runs = RUN.findall(piece)
+            if len(runs) == 1 and len(runs[0]) == len(piece):
+                ids = self._merged(self.mark + piece.encode().decode("latin1").translate(BYTE_CHARACTERS))
+            elif runs and sum(map(len, runs)) == len(piece):
+                ids = self[runs[0]] + b"".join(map(self.inner.__getitem__, runs[1:]))
+            else:
+                ids = array("I", self.encode(self.lead + piece, add_special_tokens=False).ids).tobytes()
+        if len(piece) < 64:
             self[piece] = ids
         return ids
 
+    def _merged(self, word: str) -> bytes:
+        """Ids of one run, which is one piece of the rules: straight to the merges, as the characters that stand for its bytes."""
+        return array("I", [token.id for token in self.merge(word)]).tobytes()
+
 
 class Encoder:
     """Token ids of whole texts by their pieces, remembered.
