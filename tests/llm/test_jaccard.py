@@ -86,13 +86,85 @@ def test_empty(none):
     assert jaccard.distinct_documents(none).collect() == []
 
 
+def kept_plainly(rows):
+    """How many documents stay: one of each class of sets over all rows, whatever their ids, and all without words."""
+    alone = plain([(i, r[1]) for i, r in enumerate(rows)])
+    return len({c for _, n, c in alone if n}) + sum(n == 0 for _, n, _ in alone)
+
+
 def test_one_document_of_each_class(odd, odd_rows):
     kept = jaccard.distinct_documents(odd)
     assert kept.columns == odd.columns
-    ids = [r.doc_id for r in kept.collect()]
-    named = {c for i, _, c in plain(odd_rows) if i is not None}
-    assert sorted(i for i in ids if i is not None) == sorted(named)
-    assert sum(i is None for i in ids) == 2
+    rows = kept.collect()
+    assert len(rows) == kept_plainly(odd_rows)
+    ids = [r.doc_id for r in rows]
+    # the copy without id goes, the text that nobody else has stays; of a named class the least id
+    assert sum(i is None for i in ids) == 1 and {1, 5, 18} <= set(ids) and not {2, 3, 4} & set(ids)
+
+
+def test_ids_that_are_null_or_shared(spark):
+    """Half the rows have no id, others share one: copies go, different texts stay."""
+    rng, rows = random.Random(3), []
+    for family in range(30):
+        base = prose(900 + family, 60)
+        for k in range(4):
+            rows.append((None if k % 2 else 7, base if k < 2 else edited(rng, base.split(), 1)))
+    rows += [(None, None), (None, None), (3, ""), (3, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    kept = [r.text for r in jaccard.distinct_documents(df).collect()]
+    assert len(kept) == 30 + 4 and len({t for t in kept if t}) == 30
+
+
+def test_copies_are_no_hot_key(spark, monkeypatch):
+    """Half of all rows are one text: it is listed once a task."""
+    page = prose(1, 80)
+    rows = [(i, page if i % 2 else prose(i, 60, 4000)) for i in range(8000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6).cache()
+    none = np.zeros(0, np.int64)
+    keys = df.select("text").mapInArrow(jaccard._postings(none, none, 5, 1, 80), jaccard.POSTINGS)
+    largest = keys.groupBy("h", "part").count().agg({"count": "max"}).first()[0]
+    assert largest <= 60 < jaccard.LIST_PART
+    classes = jaccard.similarity_classes(df)
+    assert classes.filter("doc_id % 2 = 1 and component_id != 1").isEmpty()
+
+
+def test_texts_around_one_passage_are_not_compared(spark, monkeypatch):
+    """300 shared and 50 own words: no link, and next to no pair to look at."""
+    passage, dealt = prose(2, 300, 10_000), []
+    original = jaccard.dealt_blocks
+
+    def counted(*args):
+        made = original(*args)
+        dealt.append(made.count())
+        return made
+
+    monkeypatch.setattr(jaccard, "dealt_blocks", counted)
+    rows = [(i, passage + " " + prose(5000 + i, 50, 100_000)) for i in range(5000)]
+    got = jaccard.similarity_classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(8))
+    assert got.filter("doc_id != component_id").isEmpty()
+    assert dealt[0] <= 5000
+
+
+def test_poor_and_rich_sets_meet(spark, monkeypatch):
+    """Texts of a passage with few and with more own words, some of which link across."""
+    monkeypatch.setattr(jaccard, "BLOCK", 4)
+    passage = prose(2, 120, 10_000)
+    rows = [(i, passage + " " + prose(5000 + i, i % 31, 100_000)) for i in range(150)]
+    rows += [(1000 + i, prose(9000 + i, 60, 100_000)) for i in range(600)]
+    assert found(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)) == sorted(plain(rows), key=KEY)
+
+
+@pytest.mark.parametrize("most", [1 << 29, 0])
+def test_ids_in_a_bitmap(spark, monkeypatch, most):
+    monkeypatch.setattr(jaccard, "MOST_BITS", most)
+    docs = spark.range(-500, 200_000).selectExpr("id AS doc_id", "'t' AS text").unionAll(spark.sql("SELECT CAST(NULL AS BIGINT), 'n'"))
+    ids = spark.range(0, 200_000, 7).selectExpr("id AS doc_id")
+    inside, outside = jaccard.with_ids(docs, ids, True), jaccard.with_ids(docs, ids, False)
+    assert inside.columns == docs.columns
+    assert outside.join(ids, "doc_id").isEmpty() and inside.join(ids, "doc_id").count() == ids.count()
+    assert inside.count() < ids.count() + 25_000 and inside.count() + outside.count() == docs.count()
+    assert inside.filter("doc_id is null").isEmpty()
+    assert jaccard.with_ids(docs, ids.limit(0), True).isEmpty()
 
 
 @settings(max_examples=100, deadline=None)

@@ -9,8 +9,10 @@ Equal sets become one vertex first. Then two documents that link share a key:
 
 x is where the cost of subsets meets the cost of lists, taken from the sizes and list lengths found.
 The order puts shingles last that a count over all documents finds frequent (a count-min table, fixed in size), so a
-passage that a third of the documents share makes no list of them. Documents of a list are compared with
-its least member; what that leaves apart is compared block by block. A parity signature bounds the
+passage that a third of the documents share makes no list of them. Sets listed under a frequent shingle because their rare ones
+run out are *poor* in rare shingles or *rich*: two sets of n and m shingles that link differ in (n + m) (1 - t) / (1 + t) at most, so
+two rich sets, each with more rare ones than its share of that, must have a rare one in common and meet there. Documents of a list are
+compared with its least member; what that leaves apart is compared block by block, rich sets with poor ones only. A parity signature bounds the
 difference of two sets from below and drops only pairs that cannot link; the rest are
 compared exactly on their texts. No pair inside a class that is already joined is looked at again.
 """
@@ -22,7 +24,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -40,7 +42,11 @@ LARGEST_LIGHT = 30  # sizes among which the boundary is sought
 LIST_CHECK = 4
 LIST_PART = 4096  # members of a list that one group holds
 BLOCK = 256
-ID_SLOTS = 1 << 20
+ID_BITS = 10  # of a bitmap, for each id in it
+MOST_BITS = 1 << 29  # of a bitmap that is broadcast: 64 MB
+ORDINARY, POOR, RICH = 0, 1, 2  # roles in a list
+POSTINGS = "h long, part int, s1 long, n int, role int"
+POSTING_FIELDS = [field.split()[0] for field in POSTINGS.split(", ")]
 ROWS = "kind int, doc_id long, n int, s1 long, s2 long, least long, blob binary"
 
 
@@ -187,38 +193,42 @@ def _postings(cells: np.ndarray, counts: np.ndarray, largest: int, light_parts:
             sizes = subset_sizes(len(s), largest, percent)
             subsets[len(s)] = [np.array(list(combinations(range(len(s)), c))) for c in sizes]
         mixed = mix64(s)
-        return np.concatenate([mix64(mixed[index].sum(axis=1, dtype=np.uint64) * np.uint64(FACTOR) + np.uint64(index.shape[1]) * STEP) for index in subsets[len(s)]] or [s[:0]])
+        return np.concatenate([mix64(mixed[index].sum(axis=1, dtype=np.uint64) * np.uint64(FACTOR) + np.full(1, index.shape[1], np.uint64) * STEP) for index in subsets[len(s)]] or [s[:0]])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # digests of the task's sets: copies of a text list nothing anew
         for batch in batches:
             for _, texts in blocks(batch.column(0)):
-                keys, parts, owners, sizes = [], [], [], []
+                columns: list[list[np.ndarray]] = [[] for _ in POSTING_FIELDS]
+
+                def post(keys: np.ndarray, part, own: int, n: int, role: int):
+                    for column, values in zip(columns, (keys, part, own, n, role)):
+                        column.append(values if isinstance(values, np.ndarray) else np.full(len(keys), values))
+
                 for s in shingle_sets(texts, WORDS):
                     n = len(s)
-                    if not n:
+                    own = _signed(mix64(s).sum(dtype=np.uint64)) if n else 0
+                    if not n or own in seen:
                         continue
-                    own = _signed(mix64(s).sum(dtype=np.uint64))
+                    seen.add(own)
                     if 100 * n >= percent * (largest + 1):
                         cell = (s >> np.uint64(64 - CELL_BITS)).astype(np.int64)
                         at = np.searchsorted(cells, cell)
                         hot = cells[np.minimum(at, len(cells) - 1)] == cell if len(cells) else np.zeros(n, bool)
-                        length = prefix_length(n, percent)
+                        length, rare = prefix_length(n, percent), n - int(hot.sum())
                         cold = np.flatnonzero(~hot)[:length]
                         extra = np.flatnonzero(hot)[: length - len(cold)]
-                        keys += [s[cold], s[extra]]
-                        split = -(-counts[at[extra]] // LIST_PART) if len(extra) else np.zeros(0, np.int64)
-                        parts += [np.zeros(len(cold), np.int64), own % split + 1 if len(extra) else split]
-                        owners.append(np.full(len(cold) + len(extra), own))
-                        sizes.append(np.full(len(cold) + len(extra), n, np.int32))
+                        post(s[cold], 0, own, n, ORDINARY)
+                        if len(extra):
+                            split = -(-counts[at[extra]] // LIST_PART)
+                            role = RICH if rare * (100 + percent) > n * (100 - percent) else POOR
+                            post(s[extra], own % split + 1, own, n, role)
                     if n <= largest:
-                        found = light_keys(s)
-                        keys.append(found)
-                        parts.append(np.full(len(found), own % light_parts + 1))
-                        owners.append(np.full(len(found), own))
-                        sizes.append(np.full(len(found), n, np.int32))
-                if keys:
-                    columns = [np.concatenate(keys).astype(np.int64), np.concatenate(parts).astype(np.int32), np.concatenate(owners).astype(np.int64), np.concatenate(sizes)]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["h", "part", "s1", "n"])
+                        post(light_keys(s), own % light_parts + 1, own, n, ORDINARY)
+                if columns[0]:
+                    kinds = (np.int64, np.int32, np.int64, np.int32, np.int32)
+                    arrays = [pa.array(np.concatenate([v.astype(kind) for v in column])) for column, kind in zip(columns, kinds)]
+                    yield pa.RecordBatch.from_arrays(arrays, POSTING_FIELDS)
 
     return work
 
@@ -303,14 +313,30 @@ def _verify(percent: int):
     return work
 
 
-def with_slots(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """Documents whose doc_id may be (left_semi), or is surely not (left_anti), among ``ids``, without a shuffle.
+def with_ids(docs: DataFrame, ids: DataFrame, wanted: bool) -> DataFrame:
+    """Documents whose doc_id may be among ``ids`` (a stored table), or with ``wanted`` false surely is not, without a shuffle.
 
-    Ids are hashed into ID_SLOTS slots; the slots in use, at most so many, are broadcast. A null id is never among them.
+    Ids are hashed to the bits of a bitmap of ID_BITS bits an id, so it grows with the ids and about a tenth of the others pass by mistake. It is
+    broadcast up to MOST_BITS; for more ids the documents' ids are joined, which is exact. A null id is never among them.
     """
-    slot = lambda c: F.when(F.col(c).isNotNull(), F.pmod(F.xxhash64(c), F.lit(ID_SLOTS)))
-    used = ids.select(slot("doc_id").alias("_slot")).distinct()
-    return docs.join(F.broadcast(used), slot("doc_id") == F.col("_slot"), how)
+    bits = ids.count() * ID_BITS
+    if bits > MOST_BITS:
+        distinct = ids.select("doc_id").distinct()
+        return docs.join(distinct, "doc_id", "left_semi" if wanted else "left_anti")
+    bits = max(1 << 15, bits)
+
+    def bit(column: str) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(bits)) + 1
+
+    maps = ids.filter("doc_id is not null").groupBy(F.bitmap_bucket_number(bit("doc_id")).alias("_bucket"))
+    maps = maps.agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit("doc_id"))).alias("_map"))
+    numbered = docs.withColumn("_bit", bit("doc_id"))
+    joined = numbered.join(F.broadcast(maps), F.bitmap_bucket_number("_bit") == F.col("_bucket"), "left")
+    position = F.bitmap_bit_position("_bit")
+    byte = F.conv(F.hex(F.substring("_map", (F.floor(position / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    is_set = F.getbit(byte, (position % 8).cast("int")) == 1
+    among = F.col("doc_id").isNotNull() & F.coalesce(is_set, F.lit(False))
+    return joined.filter(among if wanted else ~among).drop("_bit", "_bucket", "_map")
 
 
 def verified(docs: DataFrame, edges: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -323,7 +349,7 @@ def verified(docs: DataFrame, edges: DataFrame, percent: int = PERCENT) -> DataF
     spokes = dealt.select(F.col("b").alias("doc_id"), F.col("a").alias("hub"), "part", F.lit(1).alias("role"))
     hubs = dealt.select(F.col("a").alias("doc_id"), F.col("a").alias("hub"), "part", F.lit(0).alias("role")).distinct()
     wanted = stage(spokes.unionAll(hubs), "wanted")
-    texts = with_slots(docs.select("doc_id", "text"), wanted, "left_semi").join(wanted, "doc_id")
+    texts = with_ids(docs.select("doc_id", "text"), wanted, True).join(wanted, "doc_id")
     ordered = texts.repartition("hub", "part").sortWithinPartitions("hub", "part", "role")
     return ordered.select("hub", "part", "role", "doc_id", "text").mapInArrow(_verify(percent), "a long, b long").distinct()
 
@@ -344,6 +370,30 @@ def _near(edges: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     return joined.select("a", "b", "ba", "bb", "na", "nb").mapInArrow(work, "a long, b long").distinct()
 
 
+def dealt_blocks(labelled: DataFrame, reps: DataFrame) -> DataFrame:
+    """The members of every list that is not one class yet, dealt to pairs of blocks (bi, bj) that are to be compared.
+
+    Members that are not rich pair with each other, rich ones only with those; a list of rich ones alone is dealt to nothing. Side 0 is
+    a block with itself, 1 the left and 2 the right block of a pair.
+    """
+    plain = F.count(F.when(F.col("role") != RICH, F.lit(1)))
+    apart = labelled.groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("k"), plain.alias("k1"))
+    apart = apart.filter("lo != hi and k > 2 and k1 > 0")
+    apart = apart.select("h", F.ceil(F.col("k1") / BLOCK).cast("int").alias("g"), F.ceil((F.col("k") - F.col("k1")) / BLOCK).cast("int").alias("gr"))
+    placed = labelled.join(apart, "h").join(reps.select("v", F.col("n").alias("m"), "blob"), "v").filter("n = m")
+    row = ["v", "n", "label", "blob"]
+    rich, own, left = F.col("role") == RICH, F.xxhash64("v"), F.col("mine") < F.col("other")
+    ordinary = placed.filter(~rich).withColumn("mine", F.pmod(own, F.col("g")).cast("int"))
+    among = ordinary.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("g") - 1)))
+    side = F.when(F.col("mine") == F.col("other"), 0).when(left, 1).otherwise(2)
+    among = among.select("h", F.least("mine", "other").alias("bi"), F.greatest("mine", "other").alias("bj"), side.alias("side"), *row)
+    met = ordinary.filter("gr > 0").withColumn("bi", F.explode(F.sequence(-F.col("gr"), F.lit(-1))))
+    met = met.select("h", "bi", F.col("mine").alias("bj"), F.lit(2).alias("side"), *row)
+    others = placed.filter(rich).withColumn("bj", F.explode(F.sequence(F.lit(0), F.col("g") - 1)))
+    others = others.select("h", (-1 - F.pmod(own, F.col("gr"))).cast("int").alias("bi"), "bj", F.lit(1).alias("side"), *row)
+    return among.unionByName(met).unionByName(others)
+
+
 def similarity_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id (least doc_id reachable by links) of every document.
 
@@ -368,10 +418,10 @@ def similarity_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     largest = boundary({r.n: (r.k, r.k / r.d) for r in small}, percent)
     light_parts = max(1, -(-sum(r.k for r in small if r.n <= largest) // LIST_PART))
 
-    keys = texts.select("text").mapInArrow(_postings(cells, counts, largest, light_parts, percent), "h long, part int, s1 long, n int")
+    keys = texts.select("text").mapInArrow(_postings(cells, counts, largest, light_parts, percent), POSTINGS)
     listed = W.partitionBy("h", "part")
     met = keys.withColumns({"lo": F.min("s1").over(listed), "hi": F.max("s1").over(listed)}).filter("lo != hi or part > 0")
-    met = met.select("h", "part", "s1", "n").join(reps.select("s1", "n", "v"), ["s1", "n"]).select("h", "part", "v", "n").distinct()
+    met = met.select(*POSTING_FIELDS).join(reps.select("s1", "n", "v"), ["s1", "n"]).select("h", "part", "v", "n", "role").distinct()
     lists = stage(met.withColumn("hub", F.min("v").over(listed)), "lists")
 
     stars = lists.filter("v != hub").select(F.col("hub").alias("a"), F.col("v").alias("b"))
@@ -382,16 +432,8 @@ def similarity_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     labels = graph.components(links)
     labelled = lists.join(labels.withColumnRenamed("id", "v"), "v", "left").withColumn("label", F.coalesce("label", "v"))
-    labelled = stage(labelled.select("h", "v", "n", "label").distinct(), "labelled")
-    apart = labelled.groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("k"))
-    apart = apart.filter("lo != hi and k > 2").select("h", F.ceil(F.col("k") / BLOCK).cast("int").alias("g"))
-    mine = F.pmod(F.xxhash64("v"), F.col("g")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("g") - 1))
-    placed = labelled.join(apart, "h").withColumn("mine", mine).withColumn("other", other)
-    placed = placed.join(reps.select("v", F.col("n").alias("m"), "blob"), "v").filter("n = m")
-    side = F.when(F.col("mine") == F.col("other"), 0).when(F.col("mine") < F.col("other"), 1).otherwise(2)
-    dealt = placed.select("h", F.least("mine", "other").alias("bi"), F.greatest("mine", "other").alias("bj"), side.alias("side"), "v", "n", "label", "blob")
-    dealt = dealt.repartition("h", "bi", "bj").sortWithinPartitions("h", "bi", "bj")
+    labelled = stage(labelled.select("h", "v", "n", "role", "label").distinct(), "labelled")
+    dealt = dealt_blocks(labelled, reps).repartition("h", "bi", "bj").sortWithinPartitions("h", "bi", "bj")
     more = dealt.mapInArrow(_compare_blocks(percent), "a long, b long").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     more = stage(more.join(first, ["a", "b"], "left_anti"), "candidates")
     if not more.isEmpty():
@@ -406,22 +448,28 @@ def similarity_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def distinct_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """One document of each class, the one with the least doc_id, with all its columns.
+    """One document of each class, the one with the least doc_id (null last), with all its columns.
 
-    Of rows that repeat a doc_id the first by text stays. Documents without words, and rows with a null doc_id, stay
-    as they are: the former link with nothing, the latter cannot be named.
+    Rows are told apart by a hash of doc_id and text, so ids that are null or shared neither keep a copy nor cost a document: of two
+    equal rows one stays, of two texts under one id both, unless they link. Documents without words link with nothing and all stay.
     """
-    classes = stage(similarity_classes(docs, percent).filter("doc_id is not null"), "classes")
-    ids = classes.groupBy("doc_id").agg(F.count(F.lit(1)).alias("k"), F.min("component_id").alias("first"))
-    suspect = stage(ids.filter("k > 1 or first != doc_id").select("doc_id", (F.col("first") == F.col("doc_id")).alias("_keep")), "suspect")
+    key = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce("text", F.lit("")))
+    keyed = docs.select(key.alias("doc_id"), "text")
+    classes = similarity_classes(keyed, percent).filter("n_shingles > 0")
+    named = docs.select(key.alias("_key"), F.col("doc_id").alias("_id")).distinct()
+    ids = classes.groupBy("doc_id").agg(F.count(F.lit(1)).alias("k"), F.min("component_id").alias("component"))
+    ids = stage(ids.join(named, F.col("doc_id") == F.col("_key")).select("doc_id", "_id", "k", "component"), "classes")
+    first = ids.groupBy("component").agg(F.min(F.struct(F.col("_id").isNull().alias("unnamed"), "_id", "doc_id")).alias("first"))
+    judged = ids.join(first, "component").select("doc_id", "k", (F.col("first.doc_id") == F.col("doc_id")).alias("_keep"))
+    suspect = stage(judged.filter("k > 1 or not _keep").select("doc_id", "k", "_keep"), "suspect")
     row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
-    # most documents are alone and pass by; only those that share a slot with a copy are shuffled
-    clear = with_slots(docs, suspect, "left_anti").select(row)
-    doubtful = with_slots(docs, suspect, "left_semi").select(row)
-    judged = doubtful.join(suspect, F.col("row.doc_id") == F.col("doc_id"), "left").filter("_keep is null or _keep")
-    order = W.partitionBy("row.doc_id").orderBy("row.text")
-    single = judged.withColumn("_place", F.row_number().over(order)).filter("_place = 1")
-    return clear.select("row.*").unionAll(single.select("row.*"))
+    # most documents are alone and pass by; only those that share a bit with a copy are shuffled
+    rows = docs.select(row, key.alias("doc_id"))
+    clear = with_ids(rows, suspect, False)
+    doubtful = with_ids(rows, suspect, True).join(suspect, "doc_id", "left").filter("k is null or (k = 1 and _keep)")
+    repeated = suspect.filter("k > 1 and _keep").select("doc_id")
+    equal = with_ids(rows, repeated, True).join(repeated, "doc_id").withColumn("place", F.row_number().over(W.partitionBy("doc_id").orderBy(F.lit(1))))
+    return clear.select("row.*").unionAll(doubtful.select("row.*")).unionAll(equal.filter("place = 1").select("row.*"))
 
 
 def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
