@@ -9,6 +9,7 @@ rule of the same or a better priority is suppressed. DataFrame functions only.
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wayfare.llm.common import lower_ascii, stage, table
@@ -217,31 +218,27 @@ def scan(docs: DataFrame) -> DataFrame:
     tried = listed.select("row", "words", F.explode("hits").alias("keyword")).join(F.broadcast(signatures), "keyword")  # a row per rule: hundreds
     pieces = F.split("words", F.col("pattern"), -1)
     found = tried.filter(F.expr("words rlike pattern")).withColumns({"pieces": pieces, "matches": F.regexp_extract_all("words", F.col("pattern"), F.lit(0))})
-    lengths = F.transform("matches", lambda m, i: F.struct((F.length(F.element_at("pieces", i + 1))).alias("gap"), F.length(m).alias("own")))
-    spans = F.aggregate(
-        lengths,
-        F.struct(F.lit(0).alias("end"), F.array().cast("array<struct<start:int,end:int>>").alias("spans")),
-        lambda s, x: F.struct((s["end"] + x["gap"] + x["own"]).alias("end"), F.concat(s["spans"], F.array(F.struct((s["end"] + x["gap"]).alias("start"), (s["end"] + x["gap"] + x["own"]).alias("end")))).alias("spans")),
-        lambda s: s["spans"],
-    )
-    spans = found.select("row", "rule", "label", "priority", F.explode(spans).alias("span")).select("row", "rule", "label", "priority", "span.*")
-    return _resolved(counted, base, spans)
+    lengths = F.transform("matches", lambda m, i: F.struct(F.length(F.element_at("pieces", i + 1)).alias("gap"), F.length(m).alias("own")))
+    lengths = found.select("row", "rule", "label", "priority", F.posexplode(lengths).alias("nth", "of"))
+    # a match ends where the texts before, between and of the matches so far end
+    so_far = W.partitionBy("row", "rule").orderBy("nth").rowsBetween(W.unboundedPreceding, 0)
+    spans = lengths.withColumn("end", F.sum(F.col("of.gap") + F.col("of.own")).over(so_far)).withColumn("start", F.col("end") - F.col("of.own"))
+    return _resolved(counted, base, spans.select("row", "rule", "label", "priority", "start", "end"))
 
 
 def _resolved(counted: DataFrame, base: DataFrame, spans: DataFrame) -> DataFrame:
-    """Suppress contained matches per document and put the results together."""
-    match = F.struct("start", "end", "priority", "rule", "label")
-    lists = spans.groupBy("row").agg(F.sort_array(F.collect_list(match)).alias("matches"))  # matches of one text
-
-    def beaten(m):
-        inside = lambda o: (o["start"] <= m["start"]) & (o["end"] >= m["end"]) & (o["priority"] <= m["priority"])
-        larger = lambda o: (o["end"] - o["start"] > m["end"] - m["start"]) | (o["priority"] < m["priority"]) | (o["rule"] < m["rule"])
-        return F.exists("matches", lambda o: inside(o) & larger(o))
+    """Suppress contained matches per document and put the results together.
 
-    kept = lists.select("row", F.filter("matches", lambda m: ~beaten(m)).alias("kept"))
-    best = F.array_min(F.transform("kept", lambda m: m["priority"]))
-    confidence = F.element_at(F.array(*[F.lit(CONFIDENCE[p]) for p in (FULL, NAMED, HINT)]), best)
-    kept = kept.select("row", F.transform("kept", lambda m: m["label"]).alias("more"), confidence.alias("confidence"))
+    One pass over the matches of a text by start, then falling end, priority and rule: whatever can contain a match comes before
+    it, so it is contained if the furthest end so far of its priority or a better one reaches its own.
+    """
+    before = W.partitionBy("row").orderBy("start", F.desc("end"), "priority", "rule").rowsBetween(W.unboundedPreceding, -1)
+    reach = [F.max(F.when(F.col("priority") <= p, F.col("end"))).over(before) for p in (FULL, NAMED, HINT)]
+    furthest = F.element_at(F.array(*reach), F.col("priority"))
+    kept = spans.withColumn("furthest", furthest).filter("furthest is null or furthest < end")
+    kept = kept.groupBy("row").agg(F.collect_set("label").alias("more"), F.min("priority").alias("best"))  # labels are hundreds
+    confidence = F.element_at(F.array(*[F.lit(CONFIDENCE[p]) for p in (FULL, NAMED, HINT)]), F.col("best"))
+    kept = kept.select("row", "more", confidence.alias("confidence"))
     joined = counted.select("row", "doc_id", "n_words").join(base, "row", "left").join(kept, "row", "left")
     none = F.array().cast("array<string>")
     own, more = F.coalesce("base", none), F.coalesce("more", none)
