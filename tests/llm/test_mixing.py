@@ -75,3 +75,12 @@ def test_documents_repeat_as_taken(odd):
 def test_native_plan(odd):
     plan = mixing.mix(odd)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_the_mix_meets_its_budget_without_ids(spark):
+    """Half of the rows have no id and others share one: the budgets are met within one document."""
+    rows = [(None if i % 2 else 5, "x " * 20 + str(i), "a" if i % 3 else "b") for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    target = {r.source: r.target for r in mixing.plan_mix(mixing.sized(docs)).collect()}
+    taken = mixing.mixed_documents(docs).groupBy("source").count().collect()
+    assert {r.source: r["count"] * 21 for r in taken} == pytest.approx(target, abs=21)

@@ -3,9 +3,13 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from wayfare.llm import language, quality_rules
 from wayfare.llm.common import table
+from wayfare.llm.textarrays import Texts
+
+from llm.conftest import prose
 
 
 def plain_stats(text):
@@ -103,3 +107,33 @@ def test_languages_without_ids_of_their_own(spark):
     assert language.train(docs).languages == ["aa", "bb", "cc"]
     want = Counter((i, lang) for i, _, lang in rows)
     assert Counter((r.doc_id, r.lang_pred) for r in language.identify(docs).collect()) == want
+
+
+def test_labels_of_other_documents_take_no_place(spark, monkeypatch):
+    monkeypatch.setattr(quality_rules, "FIT_ROWS", 300)
+    docs = spark.createDataFrame([(i, prose(i, 80)) for i in range(200)], "doc_id long, text string")
+    mine = [(i, int(i % 9 > 0)) for i in range(200)]
+    few = spark.createDataFrame(mine, "doc_id long, quality int")
+    many = spark.createDataFrame(mine + [(1000 + i, 1) for i in range(20_000)], "doc_id long, quality int")
+    a, b = quality_rules.fit(docs, few), quality_rules.fit(docs, many)
+    assert a[0] is not None and b[0] is not None and a[1] == b[1]
+
+
+def test_rows_of_one_id_are_one_labelled_document(spark):
+    texts = ["one two three four five six seven eight nine ten eleven", "### $$$ " * 30]
+    rows = [(i, prose(i, 80)) for i in range(50)] + [(7, t) for t in texts]
+    labels = spark.createDataFrame([(i, 1) for i in range(50)], "doc_id long, quality int")
+    one, other = (quality_rules.fit(spark.createDataFrame(r, "doc_id long, text string"), labels) for r in (rows, rows[::-1]))
+    assert one[1] == other[1]
+
+
+@pytest.mark.parametrize("text", ["\u00bd \u00b2 \u2460", "\u2167", "12 34", "!!! \u0301", "\U0001f600", "_"])
+def test_numerals_are_no_letters(text):
+    texts = Texts(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text.encode())]))
+    assert not language.has_letters(texts)[0]
+
+
+@pytest.mark.parametrize("text", ["a", "1\u00e9", "\u6f22", "\u00aa", "\u02b0"])
+def test_letters_of_any_script(text):
+    texts = Texts(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text.encode())]))
+    assert language.has_letters(texts)[0]

@@ -14,10 +14,12 @@ from wayfare.llm.common import lower_ascii, stage, table
 #: verdict, host, path prefix. Fixed values.
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 DAMPING = 0.85
-ROUNDS = 12  # of a walk cut off, as in the SQL: its memory of the start is then DAMPING ** ROUNDS = 0.14
+SQL_TERMS = 200  # of the limit's series that the SQL adds up; the next are below 1e-14 of the weight
 STAGED_EVERY = 4  # rounds between written tables
 THRESHOLD = 0.1  # distrust of a host, in units of the mean seed, from which it can be blocked
 REMAINDER = 1e-4 * THRESHOLD  # bound of all mass, of all hosts together, that a settled walk has yet to add
+#: A link that leaves its page's host: a scheme, or two slashes. One without may still hold an address in its query.
+AWAY = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//"
 LINK = r"""(?i)<a\s[^>]*?href\s*=\s*["']?([^"'\s>]+)"""
 
 
@@ -43,9 +45,9 @@ def with_rules(pages: DataFrame, rules: list[tuple] = RULES) -> DataFrame:
 
 
 def host_edges(pages: DataFrame) -> DataFrame:
-    """from, to and the number of links between different hosts. Links without a host stay on their own page's host."""
+    """from, to and the number of links between different hosts. Links without a scheme or leading slashes stay on their page's host."""
     links = pages.select(F.col("host").alias("from"), F.explode(F.regexp_extract_all("html", F.lit(LINK), F.lit(1))).alias("link"))
-    away = links.filter(F.col("link").startswith("//") | F.col("link").contains("://"))
+    away = links.filter(F.col("link").rlike(AWAY))
     full = F.when(F.col("link").startswith("//"), F.concat(F.lit("http:"), F.col("link"))).otherwise(F.col("link"))
     edges = away.select("from", host_of(full).alias("to")).filter("`from` != '' and `to` != '' and `from` != `to`")
     return edges.groupBy("from", "to").agg(F.count(F.lit(1)).alias("links"))
@@ -63,27 +65,13 @@ def _step(mass: DataFrame, shares: DataFrame, back: DataFrame) -> DataFrame:
     return moved.unionAll(back).groupBy("host").agg(F.sum("mass").alias("mass"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """Personalised PageRank after ``rounds`` rounds: host and mass. ``edges``: from, to, links; ``seeds``: host and weight.
-
-    Mass leaves a host in proportion to its links and returns to the seeds with probability 1 - DAMPING. Masses
-    are in units of the mean seed, so they do not shrink as the graph grows. A host with very many links is a skewed join
-    key that adaptive execution splits; masses of one host are summed before the shuffle. The whole weight sets out at
-    once, so that what is still under way, DAMPING ** rounds of it, counts where it has got to.
-    """
-    shares = _shares(edges)
-    mass = seeds.select("host", F.col("weight").alias("mass"))
-    back = seeds.select("host", (F.col("weight") * (1 - DAMPING)).alias("mass"))
-    for step in range(1, rounds + 1):
-        mass = _step(mass, shares, back)
-        if step % STAGED_EVERY == 0:
-            mass = stage(mass, "mass")
-    return mass
-
-
 def settle(edges: DataFrame, seeds: DataFrame, remainder: float = REMAINDER) -> DataFrame:
-    """The limit of ``propagate``: host and mass, from below, all hosts together short of it by at most ``remainder``.
+    """Personalised PageRank: host and mass, from below, all hosts together short of the limit by at most ``remainder``.
 
+    ``edges``: from, to, links; ``seeds``: host and weight. Mass moves on in proportion to a host's links with probability DAMPING;
+    what reaches a host without links to others stays counted there and goes no further, so masses add up to
+    the seeds' weight at most. They are in units of the mean seed and do not shrink as the graph grows. A host with very many
+    links is a skewed join key that adaptive execution splits; masses of one host are summed before the shuffle.
     Only what a seed keeps, 1 - DAMPING of its weight, sets out: every round then adds the next term of the limit's series,
     and no mass under way is ever counted. A round adds at most DAMPING times what the round before added, so what the last
     rounds added bounds the rest, as do all terms by their number: rounds grow with the logarithm of the number of
@@ -104,12 +92,12 @@ def settle(edges: DataFrame, seeds: DataFrame, remainder: float = REMAINDER) ->
     return mass
 
 
-def judge(pages: DataFrame, rules: list[tuple] = RULES, threshold: float = THRESHOLD, rounds: int | None = None) -> DataFrame:
+def judge(pages: DataFrame, rules: list[tuple] = RULES, threshold: float = THRESHOLD) -> DataFrame:
     """page_id, host, path, rule, trust and distrust of the host, and verdict of every page.
 
     Null urls and urls without ``://`` have an empty host and path: no rule fits, no link counts, the verdict is allow.
     Null html has no links. Repeated rows are judged each, and their links count each. Equally long rules: the later by
-    name wins. Hosts that no walk reaches are allowed. Walks go on until they settle, or for ``rounds`` rounds. Extra columns are not read; an empty table gives an empty result.
+    name wins. Hosts that no walk reaches are allowed. Walks go on until they settle. Extra columns are not read; an empty table gives an empty result.
     """
     ruled = with_rules(pages.select("page_id", "url"), rules)
     hosts = ruled.filter("host != '' and ruling is not null").groupBy("host")
@@ -118,9 +106,8 @@ def judge(pages: DataFrame, rules: list[tuple] = RULES, threshold: float = THRES
     trusted = seeds.filter("allowed > 0").select("host", F.col("allowed").alias("weight"))
     blocked = seeds.filter("allowed < 1").select("host", (1 - F.col("allowed")).alias("weight"))
     backwards = edges.select(F.col("to").alias("from"), F.col("from").alias("to"), "links")
-    walk = settle if rounds is None else lambda edges, seeds: propagate(edges, seeds, rounds)
-    trust = walk(edges, trusted).select(F.col("host").alias("of"), F.col("mass").alias("trust"), F.lit(0.0).alias("distrust"))
-    distrust = walk(backwards, blocked).select(F.col("host").alias("of"), F.lit(0.0).alias("trust"), F.col("mass").alias("distrust"))
+    trust = settle(edges, trusted).select(F.col("host").alias("of"), F.col("mass").alias("trust"), F.lit(0.0).alias("distrust"))
+    distrust = settle(backwards, blocked).select(F.col("host").alias("of"), F.lit(0.0).alias("trust"), F.col("mass").alias("distrust"))
     scores = trust.unionAll(distrust).groupBy("of").agg(F.round(F.sum("trust"), 9).alias("trust"), F.round(F.sum("distrust"), 9).alias("distrust"))
     joined = ruled.join(stage(scores, "scores"), F.col("host") == F.col("of"), "left").na.fill(0.0, ["trust", "distrust"])
     against = (F.col("distrust") >= threshold) & (F.col("distrust") > F.col("trust"))
@@ -134,16 +121,11 @@ def op10_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _walk_sql(name: str, source: str, target: str, seeds: str) -> str:
-    """CTEs of one walk, a round each: ``name`` holds host and mass at the end."""
-    steps = [f"{name}0 AS (SELECT host, weight AS mass FROM {seeds})"]
-    for step in range(1, ROUNDS + 1):
-        steps.append(
-            f"{name}{step} AS (SELECT host, sum(mass) AS mass FROM ("
-            f"SELECT e.{target} AS host, m.mass * (e.links / sum(e.links) OVER (PARTITION BY e.{source})) * {DAMPING} AS mass "
-            f"FROM e LEFT JOIN {name}{step - 1} m ON m.host = e.{source} UNION ALL "
-            f"SELECT host, mass * {1 - DAMPING} FROM {name}0) WHERE mass IS NOT NULL GROUP BY host)"
-        )
-    return ",\n".join(steps)
+    """CTEs of one walk: the terms of the limit's series, then ``name`` with their sum by host."""
+    return f"""{name}_shares AS MATERIALIZED (SELECT {source} AS f, {target} AS t, links / sum(links) OVER (PARTITION BY {source}) AS share FROM e),
+{name}_terms AS (SELECT 0 AS k, host, weight * {1 - DAMPING} AS mass FROM {seeds}
+  UNION ALL SELECT k + 1, x.t, sum(m.mass * x.share * {DAMPING}) FROM {name}_terms m JOIN {name}_shares x ON x.f = m.host WHERE k < {SQL_TERMS} GROUP BY k + 1, x.t),
+{name} AS (SELECT host, sum(mass) AS mass FROM {name}_terms GROUP BY host)"""
 
 
 def _fits_sql(host: str, prefix: str) -> str:
@@ -158,19 +140,19 @@ def sql(rules: list[tuple] = RULES) -> str:
     host = low.format("coalesce(regexp_extract({}, '(?s)^.*?://([^/?#]*)', 1), '')")
     link = LINK.replace("'", "''")
     return f"""
-WITH p AS (SELECT page_id, html, {host.format("url")} AS host, coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+WITH RECURSIVE p AS (SELECT page_id, html, {host.format("url")} AS host, coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
 r AS MATERIALIZED (SELECT page_id, html, host, path, CASE {rule} END AS rule, CASE {ruling} END AS ruling FROM p),
 k AS (SELECT host AS f, unnest(regexp_extract_all(html, '{link}', 1)) AS link FROM p),
 e AS MATERIALIZED (SELECT f, t, count(*)::DOUBLE AS links FROM (
   SELECT f, {host.format("CASE WHEN starts_with(link, '//') THEN 'http:' || link ELSE link END")} AS t FROM k
-  WHERE starts_with(link, '//') OR contains(link, '://')) WHERE f <> '' AND t <> '' AND f <> t GROUP BY f, t),
+  WHERE regexp_matches(link, '{AWAY}')) WHERE f <> '' AND t <> '' AND f <> t GROUP BY f, t),
 s AS (SELECT host, avg(CASE WHEN ruling = 'allow' THEN 1.0 ELSE 0.0 END) AS allowed FROM r WHERE host <> '' AND ruling IS NOT NULL GROUP BY host),
 good AS (SELECT host, allowed AS weight FROM s WHERE allowed > 0),
 bad AS (SELECT host, 1 - allowed AS weight FROM s WHERE allowed < 1),
 {_walk_sql("up", "f", "t", "good")},
 {_walk_sql("down", "t", "f", "bad")},
 v AS (SELECT r.page_id, r.host, r.path, r.rule, r.ruling, coalesce(round(a.mass, 9), 0.0) AS trust, coalesce(round(b.mass, 9), 0.0) AS distrust
-      FROM r LEFT JOIN up{ROUNDS} a ON a.host = r.host LEFT JOIN down{ROUNDS} b ON b.host = r.host)
+      FROM r LEFT JOIN up a ON a.host = r.host LEFT JOIN down b ON b.host = r.host)
 SELECT page_id, host, path, rule, trust, distrust,
        coalesce(ruling, CASE WHEN distrust >= {THRESHOLD} AND distrust > trust THEN 'block' ELSE 'allow' END) AS verdict
 FROM v

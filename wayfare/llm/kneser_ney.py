@@ -28,6 +28,7 @@ FOLDS, HELD_OUT = 7, 2  # crc32 of the id: documents of this remainder are never
 END = mix64(np.array([7], np.uint64))[0]  # the hash that stands for the end of a text
 BLOCK = 1 << 22
 LEAST_SHARDS = 16
+SHARD_BYTES = 1 << 26  # of text, about, for each shard
 
 
 @dataclass(frozen=True)
@@ -166,6 +167,7 @@ def _count_pairs(layout: Layout):
     return work
 
 
+MOST_WORDS = 1 << 32  # two word numbers make one 64-bit key
 FACTS = 5  # of a word: tokens after it; words seen after it once, twice, more often; words seen before it
 
 
@@ -214,8 +216,9 @@ def train(docs: DataFrame) -> Layout:
     """Count all texts of ``docs`` and leave the model in the shared folder."""
     spark = docs.sparkSession
     root = session.scratch_path(spark, "bigrams")
-    bits = max(LEAST_SHARDS, int(spark.conf.get("spark.sql.shuffle.partitions"))).bit_length()
     texts = docs.select("text")
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = max(LEAST_SHARDS, size // SHARD_BYTES).bit_length()  # shards follow the data, so a shard's keys fit a task
     by_shard = lambda df: df.repartition("shard").sortWithinPartitions("shard")
     counted = by_shard(texts.mapInArrow(_count_words(bits), RUN)).mapInArrow(_keep_words(root), "shard int, n long, tokens long")
     found = {r.shard: r for r in stage(counted, "word_shards").collect()}  # a row per shard
@@ -223,6 +226,8 @@ def train(docs: DataFrame) -> Layout:
     layout = Layout(root, bits, sizes, sum(r.tokens for r in found.values()))
     if not layout.tokens:
         return layout
+    if layout.words >= MOST_WORDS:
+        raise ValueError(f"{layout.words} distinct words; a bigram's key holds numbers below {MOST_WORDS}")
     kept = stage(by_shard(texts.mapInArrow(_count_pairs(layout), RUN)).mapInArrow(_keep_pairs(layout), RUN), "pair_shards")
     classes = {}
     for r in kept.filter("shard < 0").collect():  # a row per shard

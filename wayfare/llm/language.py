@@ -7,7 +7,7 @@ gives the scores. Scoring is two batched matrix products per block of documents;
 number of landmark rows, whatever the corpus.
 """
 
-import re
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -61,7 +61,7 @@ def has_letters(texts: Texts) -> np.ndarray:
     found = ascii_[texts.offsets[1:]] > ascii_[texts.offsets[:-1]]
     for i in np.flatnonzero(~found & (np.diff(texts.offsets) > 0)):
         text = texts.raw[texts.offsets[i] : texts.offsets[i + 1]].tobytes().decode("utf-8", "replace")
-        found[i] = re.search(r"[^\W\d_]", text) is not None
+        found[i] = any(unicodedata.category(c)[0] == "L" for c in text)
     return found
 
 

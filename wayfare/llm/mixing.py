@@ -7,7 +7,7 @@ range. What is left is one row per source (whole epochs, key of the cut), so tak
 per document: no text is shuffled and no source, however hot, is sorted in one task.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -19,11 +19,18 @@ SHARE = 1.5
 MAX_EPOCHS = 2
 KEY_SEED = "mix|"
 RANGES = (2, 5)  # hex digits of a key that name its range on the first and second level
+TEXT_RANGES = (34, 37)  # and, behind the 32 of the id, on two more, for an id that very many rows share
 
 
-def sized(docs: DataFrame) -> DataFrame:
+def _key(doc_id: Column, text: Column | None = None) -> Column:
+    """Hash of the id; with ``text``, its hash behind it, which tells rows with a null or shared id apart and moves no others."""
+    by_id = F.md5(F.concat(F.lit(KEY_SEED), F.coalesce(doc_id.cast("string"), F.lit(""))))
+    return F.concat(by_id, F.md5(F.coalesce(text, F.lit("")))) if text is not None else by_id
+
+
+def sized(docs: DataFrame, by_text: bool = False) -> DataFrame:
     """doc_id, source, number of words, and the hash key of every document. Null text has no words."""
-    key = F.md5(F.concat(F.lit(KEY_SEED), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    key = _key(F.col("doc_id"), F.col("text") if by_text else None)
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint")
     return docs.select("doc_id", "source", size.alias("size"), key.alias("key"))
 
@@ -58,7 +65,7 @@ def _cut_ranges(cells: DataFrame, plan: DataFrame, by: list[str], cell: str) ->
     return found.select("p.source", F.col(f"c.{cell}").alias(cell), (F.col("p.rest") - F.col("c.before")).alias("rest"))
 
 
-def plan_mix(sized_docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, max_epochs: int = MAX_EPOCHS) -> DataFrame:
+def plan_mix(sized_docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, max_epochs: int = MAX_EPOCHS, ranges: tuple = RANGES) -> DataFrame:
     """One row per source: size, weight, target, whole epochs, and the key at the cut.
 
     ``cut_key`` is the key of the document in which the budget ends, ``cut_words`` the words still
@@ -74,17 +81,15 @@ def plan_mix(sized_docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHA
     plan = filled.withColumn("epochs", epochs).withColumn("rest", budget - F.col("epochs") * F.col("source_size"))
     plan = stage(plan.drop("place"), "plan")
 
-    first, second = (F.substring("key", 1, digits) for digits in RANGES)
-    rows = sized_docs.filter(F.col("size") > 0).withColumns({"r1": first, "r2": second})
+    inside = sized_docs.filter(F.col("size") > 0)
     wanted = plan.filter(F.col("rest") > 0).select("source", "rest")
-    cells = rows.groupBy("source", "r1").agg(F.sum("size").alias("words"))
-    at1 = stage(_cut_ranges(cells, wanted, ["source"], "r1"), "cut1")
-    inside = _semi(rows, at1, "r1")
-    cells = inside.groupBy("source", "r2").agg(F.sum("size").alias("words"))
-    at2 = stage(_cut_ranges(cells, at1.select("source", "rest"), ["source"], "r2"), "cut2")
-    inside = _semi(inside, at2, "r2")
+    for digits in ranges:
+        inside = inside.withColumn("cell", F.substring("key", 1, digits))
+        cells = inside.groupBy("source", "cell").agg(F.sum("size").alias("words"))
+        found = stage(_cut_ranges(cells, wanted, ["source"], "cell"), "cut")
+        inside, wanted = _semi(inside, found, "cell"), found.select("source", "rest")
     keys = inside.groupBy("source", "key").agg(F.sum("size").alias("words"))
-    cut = _cut_ranges(keys, at2.select("source", "rest"), ["source"], "key")
+    cut = _cut_ranges(keys, wanted, ["source"], "key")
     cut = cut.select(F.col("source").alias("cut_source"), F.col("key").alias("cut_key"), F.col("rest").alias("cut_words"))
     size = keys.select(F.col("source").alias("s"), F.col("key").alias("k"), F.col("words").alias("cut_size"))
     cut = cut.join(size, F.col("cut_source").eqNullSafe(F.col("s")) & (F.col("cut_key") == F.col("k"))).drop("s", "k")
@@ -121,14 +126,15 @@ def mix(docs: DataFrame, **options) -> DataFrame:
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: each document as often as it is taken, with its own columns.
 
-    The document at a source's cut is kept whole where at least half of it is taken. Documents without words are
+    The order is a hash of doc_id and text, so the cut falls on one text whatever the ids are; rows equal in both
+    are at the cut together. The document at a source's cut is kept whole where at least half of it is taken. Documents without words are
     not taken. Columns of ``docs`` pass through whatever their names.
     """
-    rows = stage(sized(docs), "sized")
-    plan = plan_mix(rows, **options).select("source", "epochs", "cut_key", "cut_words", "cut_size")
+    rows = stage(sized(docs, by_text=True), "sized")
+    plan = plan_mix(rows, ranges=RANGES + TEXT_RANGES, **options).select("source", "epochs", "cut_key", "cut_words", "cut_size")
     row, by = F.struct(*[docs[c] for c in docs.columns]).alias("row"), plan.select(F.struct("*").alias("plan"))
     size = F.coalesce(F.regexp_count(F.col("row.text"), F.lit(WORD)), F.lit(0)).cast("bigint")
-    key = F.md5(F.concat(F.lit(KEY_SEED), F.coalesce(F.col("row.doc_id").cast("string"), F.lit(""))))
+    key = _key(F.col("row.doc_id"), F.col("row.text"))
     joined = docs.select(row).join(by, F.col("row.source").eqNullSafe(F.col("plan.source")))
     joined = joined.select("row", size.alias("size"), key.alias("key"), "plan.*")
     copies = F.when(F.col("size") > 0, F.round(_taken(F.col("size"), F.col("key")) / F.col("size"))).otherwise(0).cast("int")
