@@ -222,7 +222,7 @@ def test_training_on_staged_features_beats_nothing(ws):
 
 # ---- boosting by rounds
 
-SMALL = boosting.Settings(rounds=12, rate=0.4, depth=2, min_rows=5, row_share=0.7, column_share=0.5, l1=1.0, l2=2.0, patience=None, bins=32, part=4)
+SMALL = boosting.Settings(rounds=6, rate=0.4, depth=2, min_rows=5, row_share=0.7, column_share=0.5, l1=1.0, l2=2.0, patience=None, bins=32, part=2)
 
 
 def best_cut(x, r, least):
@@ -266,12 +266,12 @@ def grown_by_hand(x, y, held, settings):
 @pytest.mark.parametrize("l1, l2", [(0.0, 0.0), (6.0, 9.0)])
 def test_stumps_with_penalties_equal_the_hand_grown(coarse, l1, l2):
     df, x, y = coarse
-    settings = boosting.Settings(rounds=5, rate=0.5, depth=1, min_rows=20, row_share=1, column_share=1, l1=l1, l2=l2, patience=None, bins=32)
+    settings = boosting.Settings(rounds=3, rate=0.5, depth=1, min_rows=20, row_share=1, column_share=1, l1=l1, l2=l2, patience=None, bins=32)
     model = boosting.fit(df, ["a", "b"], settings)
     want, _ = grown_by_hand(x, y, np.zeros(len(y), bool), settings)
     got = {(r.a, r.b): r.prediction for r in model.transform(df).collect()}
     assert all(got[a, b] == pytest.approx(p) for (a, b), p in zip(x.tolist(), want))
-    assert model.kept == 5
+    assert model.kept == 3
 
 
 def test_patience_keeps_the_rounds_of_the_whole_curve(coarse, spark):
@@ -304,7 +304,7 @@ def test_a_cut_fit_goes_on_and_ends_the_same(coarse, tmp_path, monkeypatch, spar
     grown, grow = [], boosting._grown
 
     def cut(*args):
-        if len(grown) == 6:
+        if len(grown) == 3:
             raise RuntimeError("lost")
         grown.append(args[-1])
         return grow(*args)
@@ -314,13 +314,13 @@ def test_a_cut_fit_goes_on_and_ends_the_same(coarse, tmp_path, monkeypatch, spar
         boosting.fit(df, ["a", "b"], SMALL, f"{tmp_path}/cut")
     monkeypatch.setattr(boosting, "_grown", lambda *args: grown.append(args[-1]) or grow(*args))
     again = boosting.fit(df, ["a", "b"], SMALL, f"{tmp_path}/cut")
-    assert grown == [*range(6), *range(4, 12)]  # the whole part of four is not grown again
+    assert grown == [*range(3), *range(2, 6)]  # the whole part of two is not grown again
     both = whole.transform(df).select("a", "b", F.col("prediction").alias("p")).distinct().join(again.transform(df).distinct(), ["a", "b"])
     assert both.filter("abs(p - prediction) > 1e-12").isEmpty()
     done = boosting.fit(df, ["a", "b"], SMALL, f"{tmp_path}/cut")
-    assert len(done.rounds) == 12 and grown[-1] == 11 and len(grown) == 14
+    assert len(done.rounds) == 6 and len(grown) == 7
     loaded = boosting.load(spark, f"{tmp_path}/cut", whole.base, SMALL)
-    assert loaded.kept == 12
+    assert loaded.kept == 6
     with pytest.raises(ValueError, match="other settings"):
         boosting.fit(df, ["a"], SMALL, f"{tmp_path}/cut")
 

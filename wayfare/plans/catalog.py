@@ -564,8 +564,18 @@ EXPORT_ROWS = 100_000  # fixed size of the export
 @query
 def prediction_export(ws):
     """Inputs and results of a sample of test trips, through the CSV sink and back."""
+    return exported(ws, EXPORT_ROWS)
+
+
+@query
+def prediction_export_5k(ws):
+    """The same export of fewer trips than there are, so that the sample is drawn."""
+    return exported(ws, 5000)
+
+
+def exported(ws, rows: int) -> DataFrame:
     columns = features.feature_set("short")
-    scored = with_prediction_errors(ws, sampling.sample_rows(ws.test(), EXPORT_ROWS, trip_key())).withColumns(
+    scored = with_prediction_errors(ws, sampling.sample_rows(ws.test(), rows, trip_key())).withColumns(
         {"predicted_duration": F.col(PREDICTED), "baseline_pred": F.col("baseline_duration")}
     )
     names = ["predicted_duration", "baseline_pred", "error_minutes", "abs_error"]

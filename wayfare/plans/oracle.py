@@ -149,6 +149,8 @@ CTES["train_features"] = feature_cte("train")
 CTES["test_features"] = feature_cte("test")
 CTES["clean_features"] = feature_cte("clean")
 CTES["request_features"] = feature_cte("valid_trips")
+CTES["distance_quartiles"] = "SELECT quantile_cont(trip_distance, 0.25) AS q1, quantile_cont(trip_distance, 0.75) AS q3 FROM train"
+CTES["distance_bounds"] = "SELECT q1 - 1.5 * (q3 - q1) AS low, q3 + 1.5 * (q3 - q1) AS high FROM distance_quartiles"
 CTES["errors"] = """
         SELECT *, route_mean_duration - trip_duration_minutes AS error_minutes,
           abs(route_mean_duration - trip_duration_minutes) AS abs_error
@@ -385,10 +387,7 @@ SQL = {
       count(*) AS trips, min(tpep_pickup_datetime) AS first_pickup, max(tpep_pickup_datetime) AS last_pickup,
       CAST(sum(duration_s) AS BIGINT) AS total_seconds FROM clean GROUP BY 1""",
     "iqr_bounds": " UNION ALL ".join(outliers(c) for c in ("duration_s", "trip_distance", "fare_amount")),
-    "iqr_outliers": f"""SELECT {KEY}, trip_distance FROM raw
-      WHERE trip_distance NOT BETWEEN
-        (SELECT quantile_cont(trip_distance, 0.25) - 1.5 * (quantile_cont(trip_distance, 0.75) - quantile_cont(trip_distance, 0.25)) FROM train)
-        AND (SELECT quantile_cont(trip_distance, 0.75) + 1.5 * (quantile_cont(trip_distance, 0.75) - quantile_cont(trip_distance, 0.25)) FROM train)""",
+    "iqr_outliers": f"""SELECT {KEY}, trip_distance FROM raw, distance_bounds WHERE trip_distance < low OR trip_distance > high""",
     "time_features": f"""SELECT {KEY}, CAST(hour(tpep_pickup_datetime) AS INTEGER) AS hour, CAST({DAY} AS INTEGER) AS day_of_week,
       CAST(day(tpep_pickup_datetime) AS INTEGER) AS day_of_month, CAST(month(tpep_pickup_datetime) AS INTEGER) AS month,
       CAST(year(tpep_pickup_datetime) AS INTEGER) AS year, CAST(quarter(tpep_pickup_datetime) AS INTEGER) AS quarter,
@@ -534,6 +533,15 @@ SQL = {
         "round(error_minutes, 6) AS error_minutes",
         "round(abs_error, 6) AS abs_error",
     ),
+    "prediction_export_5k": matrix_select(
+        features.SHORT_FEATURES,
+        f"({CTES['keyed']} errors ORDER BY h LIMIT 5000)",
+        "round(trip_duration_minutes, 6) AS actual_duration",
+        "round(route_mean_duration, 6) AS predicted_duration",
+        "round(baseline_duration, 6) AS baseline_pred",
+        "round(error_minutes, 6) AS error_minutes",
+        "round(abs_error, 6) AS abs_error",
+    ),
     "score_validate": """SELECT event_id, pickup_location_id, dropoff_location_id, trip_distance, passenger_count, rate_code_id,
       payment_type, fare_amount, pickup_ts, reject_reason FROM checked""",
     "score_validate_form": """SELECT event_id, trip_distance, fare_amount, CASE
