@@ -10,6 +10,7 @@ run of documents is read without the rest of the file.
 """
 
 import functools
+import gc
 import os
 import re
 import zlib
@@ -39,6 +40,8 @@ ENTRY = np.dtype([("column", "u1"), ("bits", "u1"), ("first", "<u8"), ("n", "<u4
 CACHED_WORDS = 160_000  # of each generation
 ALONE = re.compile(r" (?=\S)")  # a space before a visible character always begins a piece of its own
 LINE = re.compile(r"(?<=\S)\n(?=\S)")  # and a single line break between visible characters is one
+STOPS = {".", ","}  # signs that most often end a word
+SHOWN = [chr(BYTE_CHARACTERS.get(b, b)) for b in range(256)]  # the character that stands for each byte
 # runs that the rules tell apart: letters, digits, signs (no apostrophe, which may begin a piece of letters)
 RUN = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+|[0-9]+|[!-&(-/:-@\[-`{-~]+")
 
@@ -173,12 +176,14 @@ class PieceIds(dict):
         if len(self) >= CACHED_WORDS:
             self.older = dict(self)
             self.clear()
-        if piece.isascii() and piece.isalpha():
-            ids = self._merged(self.mark + piece)
+        if is_plain(piece):
+            ids = self._merged(piece)
+        elif piece[-1:] in STOPS and is_plain(piece[:-1]):
+            ids = self[piece[:-1]] + self.inner[piece[-1]]
         else:
             runs = RUN.findall(piece)
             if len(runs) == 1 and len(runs[0]) == len(piece):
-                ids = self._merged(self.mark + piece.encode().decode("latin1").translate(BYTE_CHARACTERS))
+                ids = self._merged(piece)
             elif runs and sum(map(len, runs)) == len(piece):
                 ids = self[runs[0]] + b"".join(map(self.inner.__getitem__, runs[1:]))
             else:
@@ -187,9 +192,15 @@ class PieceIds(dict):
             self[piece] = ids
         return ids
 
-    def _merged(self, word: str) -> bytes:
+    def _merged(self, run: str) -> bytes:
         """Ids of one run, which is one piece of the rules: straight to the merges, as the characters that stand for its bytes."""
-        return array("I", [token.id for token in self.merge(word)]).tobytes()
+        shown = run if run.isascii() else "".join([SHOWN[b] for b in run.encode()])
+        return array("I", [token.id for token in self.merge(self.mark + shown)]).tobytes()
+
+
+def is_plain(piece: str) -> bool:
+    """Letters of the first 256 characters alone."""
+    return piece.isalpha() and (piece.isascii() or max(piece) <= "\u00ff")
 
 
 class Encoder:
@@ -262,6 +273,7 @@ def write_token_files(docs: DataFrame, root: str, tokenizer_path: str | None = N
         with blockfiles.replacing(uri) as out:
             writer = Writer(out, bits)
             batch = first
+            gc.disable()  # encoding leaves no cycles, only many small objects to look through for them
             while batch is not None:
                 writer.add("docs", batch.column(0).fill_null(0).to_numpy())
                 writer.add("nulls", batch.column(0).is_null().to_numpy(zero_copy_only=False))
@@ -279,6 +291,7 @@ def write_token_files(docs: DataFrame, root: str, tokenizer_path: str | None = N
                         segments.append((part, uri, docs_before, n_docs, ids_before, n_ids))
                         docs_before, ids_before, n_docs, n_ids = docs_before + n_docs, ids_before + n_ids, 0, 0
                 batch = next((b for b in batches if len(b)), None)
+            gc.enable()
             writer.close()
         if n_docs:
             segments.append((part, uri, docs_before, n_docs, ids_before, n_ids))
