@@ -94,7 +94,7 @@ class Writer:
         self.held[name], self.waiting[name] = [values[whole:].copy()], len(values) - whole
 
     def _chunk(self, name: str, values: np.ndarray) -> None:
-        planes = [self.packer.compress(p) if any(p) else b"" for p in to_planes(values, self.bits)]  # an empty plane is all zeros
+        planes = [self.packer.compress(p) if p.count(0) < len(p) else b"" for p in to_planes(values, self.bits)]  # an empty plane is all zeros
         sizes = np.zeros(64, "<u4")
         sizes[: len(planes)] = [len(p) for p in planes]
         self.out.write(b"".join(planes))
@@ -224,7 +224,9 @@ class Encoder:
         """Ids of a text followed by the end id, as bytes."""
         found: list[bytes] = []
         for line in LINE.split(text) if text else ():
-            pieces = ALONE.split(line)
+            pieces = line.split()
+            if " ".join(pieces) != line:  # other white space than single spaces, or at an end
+                pieces = ALONE.split(line)
             found += [self.line_break, self.first[pieces[0]] if line else b"", *map(self.later.__getitem__, pieces[1:])]
         return b"".join([*found[1:], array("I", [END_ID]).tobytes()])
 
