@@ -79,3 +79,15 @@ def test_no_python_and_no_cartesian_product(spark, sf_dir, name):
     plan = executed_plan(catalog.QUERIES[name](spark, sf_dir))
     for forbidden in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin", "Window"):
         assert forbidden not in plan
+
+
+def test_a_closed_workspace_leaves_nothing(spark):
+    import os
+
+    from wayfare.plans.workspace import Workspace
+
+    ws, other = Workspace(spark, "/root/testdata/sf0.001"), Workspace(spark, "/root/testdata/sf0.001")
+    assert ws.raw().count() == other.raw().count() > 0 and os.path.exists(ws.root)
+    ws.close()
+    assert not os.path.exists(os.path.dirname(ws.root)) and other.raw().count() > 0
+    other.close()

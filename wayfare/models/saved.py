@@ -55,8 +55,10 @@ def nodes(spark: SparkSession, saved: str) -> DataFrame:
 def importance(spark: SparkSession, saved: str) -> DataFrame:
     """Total gain, number of splits and share of all gain of every input that the saved trees split on."""
     totals = nodes(spark, saved).groupBy("feature").agg(F.sum("gain").alias("gain"), F.count(F.lit(1)).alias("splits"))
-    whole = totals.agg(F.sum("gain").alias("whole"))  # one row
-    return totals.join(F.broadcast(whole)).select("feature", "gain", "splits", (F.col("gain") / F.col("whole")).alias("importance"))
+    # a row per input, so the list stays short
+    listed = totals.agg(F.collect_list(F.struct("*")).alias("of"), F.sum("gain").alias("whole"))
+    rows = listed.select(F.explode("of").alias("of"), "whole")
+    return rows.select("of.*", (F.col("of.gain") / F.col("whole")).alias("importance"))
 
 
 def top_importance(spark: SparkSession, saved: str, k: int = 25) -> DataFrame:

@@ -705,6 +705,13 @@ def ridge_grid_1d(ws):
     return grid_table(ws, linear_search.grid_scores(moments, pipelines.FULL_ALPHAS))
 
 
+@query
+def ridge_grid_short_1d(ws):
+    """The same with the penalties of the short variant."""
+    moments = linear_search.block_moments(ws.train_matrix(), [S.DISTANCE])
+    return grid_table(ws, linear_search.grid_scores(moments, pipelines.SHORT_ALPHAS))
+
+
 def grid_table(ws, scores: list[tuple[float, float]]) -> DataFrame:
     best = linear_search.best_alpha(scores)
     rows = [(alpha, round(rmse, 6), alpha == best) for alpha, rmse in scores]
@@ -896,7 +903,9 @@ def search_plan(ws):
         F.sum("past.rows").alias("rows_fitted"), F.first("held.rows").alias("rows_held"), F.array(*[F.sum(f"past.s{i}") for i in range(len(shares))]).alias("sampled")
     )
     at = F.array_position(F.array(*[F.lit(x) for x in shares]), F.col("subsample"))
-    plan = drawn.join(F.broadcast(folds))  # folds x draws: the list itself
+    listed = folds.agg(F.collect_list(F.struct("*")).alias("folds")).first()["folds"]  # a row per fold
+    entries = [F.struct(F.lit(f.block).alias("block"), F.lit(f.rows_fitted).cast("long").alias("rows_fitted"), F.lit(f.rows_held).cast("long").alias("rows_held"), F.lit(f.sampled).cast("array<long>").alias("sampled")) for f in listed]
+    plan = drawn.select("*", F.inline(F.array(*entries)))
     return plan.withColumn("rows_sampled", F.element_at("sampled", at.cast("int"))).drop("sampled")
 
 

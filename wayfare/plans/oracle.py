@@ -686,6 +686,7 @@ SQL["ridge_grid_1d"] = """SELECT alpha, round(m, 6) AS RMSE_mean, m = min(m) OVE
             FROM blocks t JOIN (SELECT DISTINCT block FROM blocks WHERE block > 0) h ON t.block < h.block GROUP BY h.block) f
           ON b.block = f.block, (SELECT unnest([0.01::DOUBLE, 0.1, 1.0, 10.0, 100.0, 1000.0]) AS alpha))
         GROUP BY alpha, block) GROUP BY alpha)"""
+SQL["ridge_grid_short_1d"] = SQL["ridge_grid_1d"].replace("[0.01::DOUBLE, 0.1, 1.0,", "[0.1::DOUBLE, 1.0,")
 SQL["cv_scores_1d"] = f"""SELECT model, count(*) AS folds, round(avg(RMSE), 4) AS RMSE_mean, round(stddev_pop(RMSE), 4) AS RMSE_std,
       round(avg(MAE), 4) AS MAE_mean, round(stddev_pop(MAE), 4) AS MAE_std, round(avg(R2), 4) AS R2_mean, round(stddev_pop(R2), 4) AS R2_std,
       CASE WHEN model = 'ridge_regression' THEN any_value(alpha) END AS best_alpha

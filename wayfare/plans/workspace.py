@@ -5,6 +5,7 @@ matrix. A written table is a lineage cut that survives lost executors, and it gi
 query a column-pruned, partition-pruned scan in place of repeated joins and de-duplication.
 """
 
+import os
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from wayfare import schema as S
 from wayfare import session
 from wayfare.models import store
-from wayfare.operators import impute, split
+from wayfare.operators import impute, quality, split
 from wayfare.plans import features, prepare
 from wayfare.sources import sinks, star_schema, trips
 
@@ -29,6 +30,15 @@ class Workspace:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def close(self) -> None:
+        """Delete this workspace's staged tables and models. Tables handed out before can't be read any more."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(os.path.dirname(self.root))
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+        self._tables.clear()
+        self._models.clear()
+        for key in [k for k, ws in _open.items() if ws is self]:
+            del _open[key]
+
     def read(self, name: str) -> DataFrame:
         """A staged table; its files are listed once and the listing is reused."""
         if name not in self._tables:
@@ -62,7 +72,7 @@ class Workspace:
 
     @cached_property
     def _clean_written(self) -> bool:
-        cleaned = sinks.with_pickup_month(prepare.prepare(self.raw()))
+        cleaned = sinks.with_pickup_month(prepare.prepare(quality.check_schema(self.raw())))
         sinks.write_trips(cleaned, self.path("clean"), "year", "month")
         return True
 

@@ -46,19 +46,6 @@ ZONE_SCHEMA = T.StructType(
     ]
 )
 
-REQUEST_SCHEMA = T.StructType(
-    [
-        T.StructField("pickup_location_id", T.IntegerType()),
-        T.StructField("dropoff_location_id", T.IntegerType()),
-        T.StructField("trip_distance", T.DoubleType()),
-        T.StructField("pickup_datetime", T.StringType()),
-        T.StructField("passenger_count", T.IntegerType()),
-        T.StructField("rate_code_id", T.IntegerType()),
-        T.StructField("payment_type", T.IntegerType()),
-        T.StructField("fare_amount", T.DoubleType()),
-    ]
-)
-
 # Fixed limits of the cleaning rules (inclusive).
 MIN_MINUTES, MAX_MINUTES = 1, 180
 MIN_MILES, MAX_MILES = 0.1, 100
@@ -73,4 +60,3 @@ MIN_ROUTE_COUNT = 50
 # Cleaned zone ids are integers in [MIN_ZONE, MAX_ZONE], whatever the data volume. This is the
 # proof behind every broadcast of a zone or route lookup.
 ZONE_DOMAIN = MAX_ZONE - MIN_ZONE + 1
-ROUTE_DOMAIN = ZONE_DOMAIN * ZONE_DOMAIN
