@@ -59,6 +59,10 @@ class Workspace:
             self._models[name] = store.load_model(self.spark, self.path("models"), name)
         return self._models[name]
 
+    def forget_models(self) -> None:
+        """Fit again what is asked for next."""
+        self._models.clear()
+
     @cached_property
     def _raw_written(self) -> bool:
         raw = star_schema.trips(self.spark, self.sf_dir)
