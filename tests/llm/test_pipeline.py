@@ -1,6 +1,6 @@
 import corpus_pipeline
 from wayfare.llm import jaccard, language, packing, quality_rules
-from wayfare.llm.common import stage, table
+from wayfare.llm.common import small_batches, stage, table
 
 
 def test_stages_hand_over(spark, sf_dir):
@@ -27,3 +27,17 @@ def test_odd_documents_and_none(spark, odd, none, tmp_path):
             assert step(spark, docs, str(tmp_path)).columns == docs.columns
             step(spark, docs, str(tmp_path)).collect()
         corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).collect()
+
+
+def test_batches_follow_the_session(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key, None)
+    try:
+        spark.conf.unset(key)
+        small_batches(spark)
+        assert spark.conf.get(key) == "2000"
+        spark.conf.set(key, 7)
+        small_batches(spark)
+        assert spark.conf.get(key) == "7"
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)

@@ -35,6 +35,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Hand texts to Python workers in batches of ``rows`` rows, unless the session sets a number of its own.
+
+    Batches only bound what a worker and its executor hold at once; results don't depend on them. The setting stays
+    with the session, as plans read it when they run.
+    """
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+
+
 def ranked(df: DataFrame, *order: Column, name: str = "rank") -> DataFrame:
     """Add the 0-based position of every row in the given order, without gathering the rows.
 

@@ -6,6 +6,7 @@ for free, at sentence ends for a small penalty, and inside a long sentence for a
 programme minimises padding plus penalties over all cuts of the run.
 """
 
+import ctypes
 import os
 import re
 import zlib
@@ -37,6 +38,12 @@ LATIN_END = re.compile(rb"\xc3[\xa0-\xb6\xb8-\xbf][.,]$")  # after a letter from
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
+def give_back() -> None:
+    """Return freed memory to the system, where the C library has a call for it."""
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 class WordIds(dict):
     """Token ids of words (bytes to bytes of little-endian 32-bit ids), encoded on first use."""
 
@@ -209,6 +216,8 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, window: int = WINDO
                     if stream.held >= CHUNK:
                         yield batch(stream.flush(last=False))
         yield batch(stream.flush(last=True))
+        del encoder, stream  # a worker serves more tasks: the words and vocabulary of this one go before the next loads its own
+        give_back()
 
     return docs.select("doc_id", "text").mapInArrow(work, PIECES)
 
