@@ -137,3 +137,24 @@ def test_numerals_are_no_letters(text):
 def test_letters_of_any_script(text):
     texts = Texts(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text.encode())]))
     assert language.has_letters(texts)[0]
+
+
+def test_every_labelled_row_is_learned_from(spark, monkeypatch):
+    monkeypatch.setattr(quality_rules, "FIT_ROWS", 100)
+    docs = spark.createDataFrame([(i, prose(i, 80)) for i in range(400)], "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, int(i % 5 > 0)) for i in range(400)], "doc_id long, quality int")
+    forest, threshold = quality_rules.fit(docs, labels)
+    assert forest.sample == quality_rules.SAMPLE  # of the 320 good rows, more than FIT_ROWS
+    good = quality_rules.judge(docs, labels).join(labels.filter("quality = 1"), "doc_id").toPandas()
+    assert threshold >= np.quantile(good.anomaly, 1 - quality_rules.GOOD_LOST) - 1e-12
+
+
+def test_trees_draw_the_rows_of_their_ranks(spark, monkeypatch):
+    monkeypatch.setattr(quality_rules, "FIT_ROWS", 10)
+    rows = [(i, *map(float, np.random.default_rng(i).normal(size=len(quality_rules.FEATURES)))) for i in range(60)]
+    good = spark.createDataFrame(rows, "doc_id long, " + ", ".join(f"{c} double" for c in quality_rules.FEATURES)).repartition(4)
+    whole, scale = np.array([r[1:] for r in rows]), np.ones(len(quality_rules.FEATURES))
+    rng = np.random.default_rng(3)
+    draws = [rng.choice(60, 8, replace=False) for _ in range(5)]
+    want, got = quality_rules.Forest(whole, scale, 5, 8, 3, draws), quality_rules.grown(good, 60, scale, 5, 8, 3)
+    assert (want.score(whole) == got.score(whole)).all()

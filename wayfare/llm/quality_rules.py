@@ -1,8 +1,8 @@
 """Quality rules: an isolation forest on rule statistics, its threshold set from labelled rows.
 
-Statistics are taken of every whole text. The forest is grown on a bounded sample
-of good rows; random splits isolate an odd document after few steps, so short mean paths mark anomalies. The
-threshold keeps all but a small share of the rows labelled good. Scoring reads all documents.
+Statistics are taken of every whole text. Each tree is grown on its own draw from all rows labelled good, as the method
+has it; random splits isolate an odd document after few steps, so short mean paths mark anomalies. All labelled rows
+are scored for the threshold, which keeps all but a small share of those labelled good. Scoring reads all documents.
 """
 
 import math
@@ -13,13 +13,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.llm.common import filter_texts, stage, table
+from wayfare.llm.common import filter_texts, ranked, stage, table
 from wayfare.llm.rulestats import SCHEMA, STATS, rule_stats, text_stats
-from wayfare.llm.textarrays import blocks
+from wayfare.operators.selection import exact_quantiles
 
 TREES = 100
 SAMPLE = 256  # rows a tree is grown on
-FIT_ROWS = 20_000  # bound of the sample of labelled rows: the lowest hashes of doc_id
+FIT_ROWS = 20_000  # good rows up to which the driver gets all of them; of more it gets those that trees draw
 GOOD_LOST = 0.001  # share of rows labelled good that the threshold may reject
 MIN_WORDS, MAX_REPEAT_PERCENT = 10, 20  # the base rules. Fixed values.
 SEED = 11
@@ -64,14 +64,15 @@ class Forest:
     by a feature in which all good rows agree.
     """
 
-    def __init__(self, rows: np.ndarray, scale: np.ndarray, trees: int = TREES, sample: int = SAMPLE, seed: int = SEED):
+    def __init__(self, rows: np.ndarray, scale: np.ndarray, trees: int = TREES, sample: int = SAMPLE, seed: int = SEED, draws: list[np.ndarray] | None = None):
+        """``draws`` holds the places in ``rows`` that each tree is grown on; without it every tree draws its own."""
         rng = np.random.default_rng(seed)
-        self.sample = min(sample, len(rows))
+        self.sample = min(sample, len(rows)) if draws is None else len(draws[0])
         limit = math.ceil(math.log2(max(self.sample, 2))) + EXTRA_DEPTH
         able = np.flatnonzero(scale > 0)
         self.trees = []
-        for _ in range(trees):
-            picked = rows[rng.choice(len(rows), self.sample, replace=False)]
+        for tree in range(trees):
+            picked = rows[rng.choice(len(rows), self.sample, replace=False) if draws is None else draws[tree]]
             feature, value, child, path = [-1], [0.0], [0], [0.0]
             todo = [(0, picked, 0)]
             while todo:
@@ -107,30 +108,67 @@ def base_failed(n_words, n_repeat_words):
     return (n_words < MIN_WORDS) | (n_repeat_words * 100 > n_words * MAX_REPEAT_PERCENT)
 
 
+def labelled_features(stats: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, good and the FEATURES of every labelled document that passes the base rules.
+
+    The worst label of a doc_id counts. Rows that share an id are one labelled document: the least row, statistics as a whole.
+    """
+    known = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    one = stats.filter("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct(*STATS)).alias("of"))
+    rows = one.join(known, "doc_id").select("doc_id", (F.col("quality") == 1).alias("good"), "of.*")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = features(np.stack([batch.column(c).to_numpy() for c in STATS], axis=1))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("good"), *[pa.array(c) for c in x.T]], ["doc_id", "good", *FEATURES])
+
+    passed = rows.filter(~base_failed(F.col("n_words"), F.col("n_repeat_words")))
+    return passed.mapInArrow(work, "doc_id long, good boolean, " + ", ".join(f"{c} double" for c in FEATURES))
+
+
+def _features_of(rows: list) -> np.ndarray:
+    return np.array([[r[c] for c in FEATURES] for r in rows], float).reshape(-1, len(FEATURES))
+
+
+def grown(good: DataFrame, n: int, scale: np.ndarray, trees: int = TREES, sample: int = SAMPLE, seed: int = SEED) -> Forest:
+    """A forest whose trees draw from all ``n`` good rows. No more than FIT_ROWS rows, or the ``trees`` times ``sample`` drawn, reach the driver."""
+    if n <= FIT_ROWS:
+        return Forest(_features_of(good.orderBy("doc_id").collect()), scale, trees, sample, seed)
+    rng = np.random.default_rng(seed)
+    draws = [rng.choice(n, min(sample, n), replace=False) for _ in range(trees)]
+    ranks = np.unique(np.concatenate(draws))
+    wanted = F.broadcast(good.sparkSession.createDataFrame(pa.table({"rank": ranks})))
+    rows = ranked(good, F.col("doc_id")).join(wanted, "rank").orderBy("rank").collect()
+    return Forest(_features_of(rows), scale, trees, sample, seed, [np.searchsorted(ranks, draw) for draw in draws])
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[Forest | None, float]:
-    """Forest and threshold from at most FIT_ROWS labelled documents of the table; without any, no forest and nothing is anomalous.
+    """``fit_stats`` of the documents' whole texts."""
+    return fit_stats(stage(rule_stats(docs), "statistics"), labels)
+
+
+def fit_stats(stats: DataFrame, labels: DataFrame) -> tuple[Forest | None, float]:
+    """Forest and threshold from all labelled documents among ``stats``; without any, no forest and nothing is anomalous.
 
     The forest is grown on rows labelled good. The threshold is the score that all but GOOD_LOST of them stay below;
     where labelled bad rows all score higher still, it moves up half way towards them.
     """
-    known = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    there = known.join(docs.select("doc_id"), "doc_id", "left_semi")  # labels of other documents take no place
-    picked = stage(there.orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS), "labelled")
-    texts = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id", "left_semi")
-    # rows that share an id are one labelled document: the least row, statistics as a whole
-    one = rule_stats(texts).groupBy("doc_id").agg(F.min(F.struct(*STATS)).alias("of"))
-    stats = one.select("doc_id", "of.*").join(F.broadcast(picked), "doc_id")
-    rows = stats.filter(~base_failed(F.col("n_words"), F.col("n_repeat_words"))).orderBy("doc_id").collect()  # at most FIT_ROWS
-    x = features(np.array([[r[c] for c in STATS] for r in rows], float).reshape(-1, len(STATS)))
-    good = np.array([r.quality == 1 for r in rows], bool)
-    if good.sum() < 2:
+    rows = stage(labelled_features(stats, labels), "labelled")
+    n, *scale = rows.agg(F.count_if("good"), *[F.stddev_pop(c) for c in FEATURES]).first()
+    if n < 2:
         return None, 1.0
-    forest = Forest(x[good], x.std(axis=0))
-    scores = forest.score(x)
-    threshold = float(np.quantile(scores[good], 1 - GOOD_LOST))
-    above = scores[~good][scores[~good] > threshold]
-    if len(above):
-        threshold += 0.5 * max(0.0, float(np.quantile(above, 0.01)) - threshold)
+    forest = grown(rows.filter("good"), n, np.array(scale))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = np.stack([batch.column(c).to_numpy() for c in FEATURES], axis=1)
+            yield pa.RecordBatch.from_arrays([batch.column("good"), pa.array(forest.score(x))], ["good", "score"])
+
+    scores = stage(rows.mapInArrow(work, "good boolean, score double"), "scores")
+    threshold = exact_quantiles(scores.filter("good"), F.col("score"), [1 - GOOD_LOST])[0]
+    above = exact_quantiles(scores.filter(~F.col("good") & (F.col("score") > threshold)), F.col("score"), [0.01])[0]
+    if above is not None:
+        threshold += 0.5 * max(0.0, above - threshold)
     return forest, threshold
 
 
@@ -148,16 +186,16 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     row with a null doc_id like any other. Labels that are null, or of no document, teach nothing; the worst label of
     a doc_id counts. Without labels only the base rules reject. Other columns are not read. An empty table gives an empty result.
     """
-    forest, threshold = fit(docs, labels)
+    stats = stage(rule_stats(docs), "statistics")  # a few numbers a row: the texts are read once
+    forest, threshold = fit_stats(stats, labels)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, texts in blocks(batch.column(1)):
-                stats = np.stack(text_stats(texts), axis=1).astype(np.int64)
-                columns = [pa.array(c) for c in (*stats.T, *_verdict(stats, forest, threshold))]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, len(texts)), *columns], ["doc_id", *STATS, "base_failed", "anomaly", "kept"])
+            rows = np.stack([batch.column(c).to_numpy() for c in STATS], axis=1)
+            columns = [pa.array(c) for c in _verdict(rows, forest, threshold)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, "base_failed", "anomaly", "kept"])
 
-    return docs.select("doc_id", "text").mapInArrow(work, f"{SCHEMA}, base_failed boolean, anomaly double, kept boolean")
+    return stats.mapInArrow(work, f"{SCHEMA}, base_failed boolean, anomaly double, kept boolean")
 
 
 def kept_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
