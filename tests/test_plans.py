@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import executed_plan
 from wayfare import schema as S
+from wayfare import session
 from wayfare.functions import time as calendar
 from wayfare.functions import trip
 from wayfare.operators import profiling, quality, split
@@ -91,3 +92,24 @@ def test_a_closed_workspace_leaves_nothing(spark):
     ws.close()
     assert not os.path.exists(os.path.dirname(ws.root)) and other.raw().count() > 0
     other.close()
+
+
+def test_staged_writes_run_in_tasks_of_bounded_size(spark):
+    parts, size = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.files.maxPartitionBytes"
+    before = [spark.conf.get(key, None) for key in (parts, size)]
+    with session.small_tasks(spark, 1_000 * session.TASK_ROWS):
+        assert before[0] or int(spark.conf.get(parts)) >= 1_000
+        assert before[1] or spark.conf.get(size) == "8m"
+    assert [spark.conf.get(key, None) for key in (parts, size)] == before
+
+
+def test_what_the_session_sets_itself_stays(spark):
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "5m")
+    try:
+        with session.small_tasks(spark, 10):
+            assert spark.conf.get(key) == "5m"
+        assert spark.conf.get(key) == "5m"
+    finally:
+        spark.conf.set(key, before) if before else spark.conf.unset(key)

@@ -63,10 +63,16 @@ class Workspace:
         """Fit again what is asked for next."""
         self._models.clear()
 
+    @cached_property
+    def lines(self) -> int:
+        """Order lines, about as many as trips: read from file footers."""
+        return star_schema.table(self.spark, self.sf_dir, "lineitem").count()
+
     @cached_property
     def _raw_written(self) -> bool:
-        raw = star_schema.trips(self.spark, self.sf_dir)
-        sinks.write_trips(raw, self.path("raw"), S.SOURCE_YEAR, S.SOURCE_MONTH)
+        with session.small_tasks(self.spark, self.lines):
+            raw = star_schema.trips(self.spark, self.sf_dir)
+            sinks.write_trips(raw, self.path("raw"), S.SOURCE_YEAR, S.SOURCE_MONTH)
         return True
 
     def raw(self) -> DataFrame:
@@ -76,8 +82,10 @@ class Workspace:
 
     @cached_property
     def _clean_written(self) -> bool:
-        cleaned = sinks.with_pickup_month(prepare.prepare(quality.check_schema(self.raw())))
-        sinks.write_trips(cleaned, self.path("clean"), "year", "month")
+        raw = self.raw()
+        with session.small_tasks(self.spark, self.lines):
+            cleaned = sinks.with_pickup_month(prepare.prepare(quality.check_schema(raw)))
+            sinks.write_trips(cleaned, self.path("clean"), "year", "month")
         return True
 
     def clean_unfilled(self) -> DataFrame:
@@ -123,8 +131,9 @@ class Workspace:
         train = features.matrix(self.featured(blocks), features.FULL_FEATURES, [S.TARGET, "block"])
         test = features.matrix(self.test_features(), features.FULL_FEATURES)
         # trips are read month by month, so a task meets one block or two; folds then prune by block
-        sinks.write_parquet(train, self.path("train_matrix"), partition_by=("block",))
-        sinks.write_parquet(test, self.path("test_matrix"))
+        with session.small_tasks(self.spark, self.lines):
+            sinks.write_parquet(train, self.path("train_matrix"), partition_by=("block",))
+            sinks.write_parquet(test, self.path("test_matrix"))
         return True
 
     def train_matrix(self) -> DataFrame:
