@@ -410,3 +410,17 @@ def test_saved_scaling_and_inputs(spark, data, tmp_path):
     scaling = saved.scaling(spark, f"{tmp_path}/line").orderBy("position").collect()
     want = data.agg(*[f(c) for c in COLUMNS for f in (F.mean, F.stddev_samp)]).first()
     assert [v for r in scaling for v in (r["mean"], r["std"])] == pytest.approx(list(want))
+
+
+def test_block_moments_send_one_matrix_a_block_and_task(spark):
+    rows = spark.range(900).select(
+        (F.col("id") % 3).cast("int").alias("block"), F.rand(1).alias("a"), F.lit(4.0).alias("constant"), F.rand(2).alias("y")
+    )
+    frame = rows.toPandas()
+    moments = linear_search.block_moments(rows.repartition(5), ["a", "constant"], "y")
+    assert list(moments) == [0, 1, 2]  # in their order, whatever task ends first
+    for block, found in moments.items():
+        x = frame[frame.block == block][["a", "constant", "y"]].to_numpy()
+        np.testing.assert_allclose(found.scatter, (x - x.mean(0)).T @ (x - x.mean(0)), atol=1e-9)
+    with pytest.raises(Exception):
+        linear_search.block_moments(rows.withColumn("a", F.when(F.col("a") < 0.5, F.col("a"))), ["a", "constant"], "y")

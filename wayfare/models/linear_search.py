@@ -6,11 +6,12 @@ solve, in place of a pass over the data for each. Squared errors of unclipped pr
 moments, so the grid search itself needs no further pass.
 """
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.feature import PolynomialExpansion, StandardScaler, VectorAssembler
-from pyspark.ml.stat import Summarizer
+import pyarrow as pa
+from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,38 +39,40 @@ def block_moments(df: DataFrame, columns: list[str], label: str = S.TARGET, bloc
     """Moments of each time block, in two passes whatever the number of blocks.
 
     The first pass standardises inputs and label over all rows, which keeps the sums well
-    conditioned; the second averages every product of two of them per block. Buffers merge
-    map-side, and only one matrix of input pairs per block reaches the driver.
+    conditioned; the second multiplies them batch by batch. A task sends one matrix of input pairs per block it
+    meets, these add up in a shuffle, and only one per block reaches the driver. A missing input or label is an error.
     """
-    assembler = VectorAssembler(inputCols=[*columns, label], outputCol="raw")
-    vectors = assembler.transform(df).select(block, "raw")
+    names = [*columns, label]
+    vectors = VectorAssembler(inputCols=names, outputCol="raw").transform(df).select("raw")
     scaler = StandardScaler(inputCol="raw", outputCol="z", withMean=True, withStd=True).fit(vectors)
-    products = PolynomialExpansion(degree=2, inputCol="z", outputCol="p").transform(scaler.transform(vectors))
-    summary = products.groupBy(block).agg(Summarizer.metrics("count", "mean").summary(F.col("p")).alias("s"))
     centre, spread = scaler.mean.toArray(), scaler.std.toArray()
+    scale = np.divide(1.0, spread, out=np.zeros_like(spread), where=spread > 0)
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, np.ndarray] = {}
+        for batch in batches:
+            x = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns[1:]], axis=1)
+            if np.isnan(x).any():
+                raise ValueError("inputs and label must not be missing")
+            z, of = (x - centre) * scale, batch.column(0).to_numpy()
+            for key in np.unique(of).tolist():
+                part = z[of == key]
+                found[key] = found.get(key, 0.0) + np.concatenate([[len(part)], part.sum(axis=0), (part.T @ part).ravel()])
+        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int32()), pa.array([list(v) for v in found.values()], pa.list_(pa.float64()))], ["block", "sums"])
+
+    rows = df.select(F.col(block).cast("int").alias("block"), *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(names)])
+    added = rows.mapInArrow(sums, "block int, sums array<double>").select("block", F.posexplode("sums"))
+    totals: dict[int, np.ndarray] = {}
+    size = len(names)
+    for row in added.groupBy("block", "pos").agg(F.sum("col").alias("total")).collect():  # one matrix per block
+        totals.setdefault(row.block, np.zeros(1 + size + size * size))[row.pos] = row.total
     result = {}
-    for row in summary.collect():  # one row per block
-        means, pairs = _unpack(row.s["mean"].toArray(), len(columns) + 1)
-        rows = int(row.s["count"])
-        scatter = (pairs - np.outer(means, means)) * rows
-        result[row[block]] = Moments(rows, centre + means * spread, scatter * np.outer(spread, spread))
+    for key in sorted(totals):
+        n, means, pairs = int(totals[key][0]), totals[key][1 : 1 + size] / totals[key][0], totals[key][1 + size :].reshape(size, size)
+        result[key] = Moments(n, centre + means * spread, (pairs - np.outer(means, means) * n) * np.outer(spread, spread))
     return result
 
 
-def _unpack(expanded: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Split a degree-two expansion into the values and the matrix of their products.
-
-    Its order is x0, x0 x0, x1, x0 x1, x1 x1, x2, ...: each value, then its products with the
-    values up to itself.
-    """
-    values, pairs, place = np.empty(size), np.empty((size, size)), 0
-    for j in range(size):
-        values[j] = expanded[place]
-        pairs[: j + 1, j] = pairs[j, : j + 1] = expanded[place + 1 : place + 2 + j]
-        place += j + 2
-    return values, pairs
-
-
 @dataclass(frozen=True)
 class Line:
     weights: np.ndarray
