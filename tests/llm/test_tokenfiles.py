@@ -130,3 +130,14 @@ def test_segments_cut_files(spark, plain):
 
 def test_no_documents_no_file(spark, none):
     assert tokenfiles.read_documents(tokenfiles.write_token_files(none, session.scratch_path(spark, "none"))).count() == 0
+
+
+def test_many_words_are_merged_once(monkeypatch):
+    """300,000 different words come twice; each is sent to the merges the first time only."""
+    encoder, merged, original = tokenfiles.Encoder(public_tokenizers.path("byte_bpe_50k.json")), [], tokenfiles.PieceIds._merged
+    monkeypatch.setattr(tokenfiles.PieceIds, "_merged", lambda self, run: merged.append(run) or original(self, run))
+    letters = [chr(ord("a") + i) for i in range(26)]
+    words = [letters[i % 26] + letters[i // 26 % 26] + letters[i // 676 % 26] + letters[i // 17576] for i in range(300_000)]
+    text = " ".join(["start", *words])
+    assert encoder.encode(text) == encoder.encode(text)
+    assert len(merged) == len(words) + 1
