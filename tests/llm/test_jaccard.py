@@ -145,6 +145,39 @@ def test_texts_around_one_passage_are_not_compared(spark, monkeypatch):
     assert dealt[0] <= 5000
 
 
+def test_a_large_group_costs_a_pair_a_member(spark, monkeypatch):
+    """300 near copies that nearly all link with each other but not with the one of the least id: far fewer pairs than every two are met."""
+    rng, met = random.Random(11), []
+    base = prose(40, 200, 50_000).split()
+    # the least id has a foreign half, so it shares lists with all and links with none
+    rows = [(0, " ".join(base[:120] + prose(41, 80, 50_000).split()))]
+    rows += [(i, edited(rng, base, 1 + i % 3)) for i in range(1, 301)]
+    original = jaccard.verified
+
+    def counted(docs, edges, *args):
+        met.append(edges.count())
+        return original(docs, edges, *args)
+
+    monkeypatch.setattr(jaccard, "verified", counted)
+    monkeypatch.setattr(jaccard, "BLOCK", 64)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert found(df) == sorted(plain(rows), key=KEY)
+    assert sum(met[1:]) <= 10 * len(rows)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 15), st.integers(0, 15)), max_size=80), st.lists(st.integers(0, 9), min_size=16, max_size=16))
+def test_forest(pairs, label):
+    """The pairs that join two classes when they are taken one after the other."""
+    joined, want = list(label), []
+    for at, (x, y) in enumerate(pairs):
+        if joined[x] != joined[y]:
+            want.append(at)
+            joined = [joined[y] if k == joined[x] else k for k in joined]
+    a, b = (np.array([p[side] for p in pairs], np.int64) for side in (0, 1))
+    assert jaccard.forest(np.array(label), a, b).tolist() == want
+
+
 def test_poor_and_rich_sets_meet(spark, monkeypatch):
     """Texts of a passage with few and with more own words, some of which link across."""
     monkeypatch.setattr(jaccard, "BLOCK", 4)

@@ -14,7 +14,8 @@ run out are *poor* in rare shingles or *rich*: two sets of n and m shingles that
 two rich sets, each with more rare ones than its share of that, must have a rare one in common and meet there. Documents of a list are
 compared with its least member; what that leaves apart is compared block by block, rich sets with poor ones only. A parity signature bounds the
 difference of two sets from below and drops only pairs that cannot link; the rest are
-compared exactly on their texts. No pair inside a class that is already joined is looked at again.
+compared exactly on their texts. Of each pair of blocks a least spanning forest of them comes first, so a group of copies that all link costs a
+pair a member, not one for every two; then all pairs that are still apart. No pair inside a class that is already joined is looked at again.
 """
 
 import math
@@ -47,6 +48,7 @@ MOST_BITS = 1 << 29  # of a bitmap that is broadcast: 64 MB
 ORDINARY, POOR, RICH = 0, 1, 2  # roles in a list
 POSTINGS = "h long, part int, s1 long, n int, role int"
 POSTING_FIELDS = [field.split()[0] for field in POSTINGS.split(", ")]
+CANDIDATES = "h long, a long, b long, more boolean"
 ROWS = "kind int, doc_id long, n int, s1 long, s2 long, least long, blob binary"
 
 
@@ -233,10 +235,30 @@ def _postings(cells: np.ndarray, counts: np.ndarray, largest: int, light_parts:
     return work
 
 
-def _compare_blocks(percent: int):
-    """Pairs of one block pair that may link: different labels, sizes in range, signatures near enough."""
+def forest(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Positions of the pairs (a, b) of members that make a spanning forest of the labels, earlier pairs first."""
+    _, label = np.unique(label, return_inverse=True)
+    ends, chosen = np.stack([label[a], label[b]]), []
+    while len(apart := np.flatnonzero(ends[0] != ends[1])):
+        # every class takes its first pair: in one order for all, so these never make a circle
+        least = np.full(len(label), len(a))
+        np.minimum.at(least, ends[:, apart].ravel(), np.tile(apart, 2))
+        picked = np.unique(least[least < len(a)])
+        chosen.append(picked)
+        root = np.arange(len(label))
+        for x, y in ends[:, picked].T.tolist():
+            root[root == root[x]] = root[y]
+        ends = root[ends]
+    return np.sort(np.concatenate([np.zeros(0, np.int64), *chosen]))
 
-    def pairs(group: pa.Table) -> tuple[list[int], list[int]]:
+
+def _compare_blocks(percent: int, whole: bool):
+    """Pairs of one block pair that may link: different labels, sizes in range, signatures near enough.
+
+    Without ``whole`` only a spanning forest of them, nearest signatures first, and in ``more`` whether there are others.
+    """
+
+    def pairs(group: pa.Table) -> tuple[list[int], list[int], bool]:
         v, label, n, side = (group.column(c).to_numpy() for c in ("v", "label", "n", "side"))
         n = n.astype(np.int64)
         blobs = group.column("blob").to_pylist()
@@ -250,7 +272,7 @@ def _compare_blocks(percent: int):
             shelves[own, own] = words
             shelves[own, own // 2] = _folded(words)
         right = np.flatnonzero((side == 0) | (side == 2))
-        a, b = [], []
+        a, b, far = [], [], []
         for i in np.flatnonzero(side <= 1).tolist():
             js = right[(label[right] != label[i]) & (100 * n[right] >= percent * n[i]) & (100 * n[i] >= percent * n[right])]
             if side[i] == 0:
@@ -258,31 +280,51 @@ def _compare_blocks(percent: int):
             for own in np.unique(length[js]).tolist():
                 same, common = js[length[js] == own], min(own, int(length[i]))
                 differ = np.bitwise_count(shelves[own, common][at[same]] ^ shelves[int(length[i]), common][at[i]]).sum(axis=1, dtype=np.int64)
-                same = same[(100 + percent) * differ <= (100 - percent) * (n[same] + n[i])]
-                a += [int(v[i])] * len(same)
-                b += v[same].tolist()
-        return a, b
+                near = (100 + percent) * differ <= (100 - percent) * (n[same] + n[i])
+                a.append(np.full(int(near.sum()), i))
+                b.append(same[near])
+                far.append(differ[near])
+        if not a:
+            return [], [], False
+        a, b, far = (np.concatenate(x) for x in (a, b, far))
+        kept, more = slice(None), False
+        if not whole:
+            # one order of all pairs, whatever list or block they are met in: lists of the same texts choose the same pairs
+            order = np.lexsort((np.maximum(v[a], v[b]), np.minimum(v[a], v[b]), far))
+            kept = order[forest(label, a[order], b[order])]
+            more = len(kept) < len(a)
+        return v[a[kept]].tolist(), v[b[kept]].tolist(), more
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, key = [], None
+        held, key, found = [], None, []
+
+        def close():
+            a, b, more = pairs(pa.Table.from_batches(held))
+            found.extend((key[0], x, y, more) for x, y in zip(a, b))
+
+        def rows() -> pa.RecordBatch:
+            columns = list(zip(*found)) or [[]] * 4
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_())
+            return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds)], ["h", "a", "b", "more"])
+
         for batch in batches:
             h, i, j = (batch.column(c).to_numpy() for c in ("h", "bi", "bj"))
             change = np.flatnonzero((h[1:] != h[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
             edges = [0, *change.tolist(), len(h)]
-            a, b = [], []
             for start, end in zip(edges, edges[1:]):
                 if start == end:
                     continue
-                here = (h[start], i[start], j[start])
+                here = (int(h[start]), i[start], j[start])
                 if here != key and held:
-                    x, y = pairs(pa.Table.from_batches(held))
-                    a, b, held = a + x, b + y, []
+                    close()
+                    held = []
                 held.append(batch.slice(start, end - start))
                 key = here
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+            yield rows()
+            found.clear()
         if held:
-            a, b = pairs(pa.Table.from_batches(held))
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+            close()
+            yield rows()
 
     return work
 
@@ -430,15 +472,22 @@ def similarity_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     first = stage(_near(stars.distinct(), reps, percent), "candidates")
     links = stage(verified(docs, first, percent), "links")
 
-    labels = graph.components(links)
-    labelled = lists.join(labels.withColumnRenamed("id", "v"), "v", "left").withColumn("label", F.coalesce("label", "v"))
-    labelled = stage(labelled.select("h", "v", "n", "role", "label").distinct(), "labelled")
-    dealt = dealt_blocks(labelled, reps).repartition("h", "bi", "bj").sortWithinPartitions("h", "bi", "bj")
-    more = dealt.mapInArrow(_compare_blocks(percent), "a long, b long").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = stage(more.join(first, ["a", "b"], "left_anti"), "candidates")
-    if not more.isEmpty():
-        links = links.unionAll(verified(docs, more, percent))
-        labels = graph.components(links)
+    labels, tested = graph.components(links), first
+    members = lists.select("h", "v", "n", "role").distinct()
+    for whole in (False, True):
+        labelled = members.join(labels.withColumnRenamed("id", "v"), "v", "left").withColumn("label", F.coalesce("label", "v"))
+        labelled = stage(labelled.select("h", "v", "n", "role", "label"), "labelled")
+        dealt = dealt_blocks(labelled, reps).repartition("h", "bi", "bj").sortWithinPartitions("h", "bi", "bj")
+        near = stage(dealt.mapInArrow(_compare_blocks(percent, whole), CANDIDATES), "near")
+        pairs = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        more = stage(pairs.join(tested, ["a", "b"], "left_anti"), "candidates")
+        if not more.isEmpty():
+            links = links.unionAll(verified(docs, more, percent)) if whole else stage(links.unionAll(verified(docs, more, percent)), "links")
+            labels, tested = graph.components(links), tested.unionAll(more)
+        # only lists that hold pairs beyond their forests are looked at again
+        members = members.join(near.filter("more").select("h").distinct(), "h", "left_semi")
+        if whole or near.filter("more").isEmpty():
+            break
 
     known = reps.select("s1", "s2", "n", "v").join(labels.withColumnRenamed("id", "v"), "v", "left")
     known = known.select("s1", "s2", "n", F.coalesce("label", "v").alias("component"))
