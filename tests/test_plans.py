@@ -34,6 +34,12 @@ def test_cleaning_shuffles_once_and_only_for_duplicates(ws):
     assert exchanges(prepare.prepare(ws.raw(), dedup=False)) == 0
 
 
+def test_copies_are_found_without_shuffling_derived_columns(ws):
+    plan = executed_plan(prepare.prepare(ws.raw()))
+    keys = re.search(r"Exchange hashpartitioning\(([^)]*)", plan).group(1)
+    assert S.DROPOFF in keys and S.TARGET not in keys and S.SECONDS not in keys
+
+
 def test_training_period_prunes_partitions(ws):
     plan = executed_plan(ws.train().select(S.DISTANCE))
     assert re.search(r"PartitionFilters: \[[^\]]*year", plan)
@@ -94,6 +100,24 @@ def test_a_closed_workspace_leaves_nothing(spark):
     other.close()
 
 
+def test_cleaning_needs_no_raw_table_of_its_own(spark, ws):
+    import os
+
+    from wayfare.plans.workspace import Workspace
+
+    alone, after = (Workspace(spark, "/root/testdata/sf0.001") for _ in range(2))
+    try:
+        direct = alone.clean_unfilled()
+        assert not os.path.exists(alone.path("raw"))
+        after.raw()
+        staged = after.clean_unfilled()
+        assert os.path.exists(after.path("raw")) and direct.schema == staged.schema
+        assert direct.count() == staged.count() > 0 and direct.exceptAll(staged).isEmpty()
+    finally:
+        alone.close()
+        after.close()
+
+
 def test_staged_writes_run_in_tasks_of_bounded_size(spark):
     parts, size = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.files.maxPartitionBytes"
     before = [spark.conf.get(key, None) for key in (parts, size)]

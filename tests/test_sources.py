@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from conftest import executed_plan
 from wayfare import schema as S
 from wayfare import session
+from wayfare.functions import trip
 from wayfare.plans import features
 from wayfare.sources import sinks, trips, zones
 
@@ -84,6 +85,19 @@ def test_partitioned_sink_prunes_months(spark, sample_trips, tmp_path):
     assert trips.read_trip_table(spark, path).select(*S.TRIP_COLUMNS).exceptAll(sample_trips).isEmpty()
 
 
+def test_partitioned_sink_derives_columns_after_its_shuffle(spark, sample_trips, tmp_path):
+    path, widths = str(tmp_path / "trips"), []
+
+    def derive(moved):
+        widths.append(moved.columns)
+        return trip.with_duration(moved)
+
+    sinks.write_trips(sinks.with_pickup_month(sample_trips), path, "year", "month", derive=derive)
+    back = spark.read.parquet(path).select(*S.TRIP_COLUMNS, S.TARGET, S.SECONDS)
+    assert widths == [[*S.TRIP_COLUMNS, "year", "month"]]
+    assert back.exceptAll(trip.with_duration(sample_trips)).isEmpty() and back.count() == sample_trips.count()
+
+
 def test_zone_csv_reads_na_as_missing(spark, tmp_path):
     path = tmp_path / "zones.csv"
     path.write_text(

@@ -241,9 +241,10 @@ def iqr_bounds(ws):
 @query
 def iqr_outliers(ws):
     """Raw trips whose distance falls outside the bounds of the cleaned training trips."""
+    raw = ws.raw()  # staged before cleaning, which then reads it
     low, high = profiling.iqr_bounds(ws.train(), F.col(S.DISTANCE))
     outside = (F.col(S.DISTANCE) < low) | (F.col(S.DISTANCE) > high)
-    return ws.raw().filter(outside).select(*with_keys(S.DISTANCE))
+    return raw.filter(outside).select(*with_keys(S.DISTANCE))
 
 
 # ---- features

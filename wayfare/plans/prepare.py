@@ -19,12 +19,14 @@ def prepare(
     """Cleaned trips: one lazy plan with a single shuffle, for the duplicates.
 
     Provenance columns are dropped unless asked for, so that copies found in two files count as
-    copies.
+    copies. Durations follow from both times, so they are left out of the shuffle and computed after it.
     """
     columns = [c for c in S.TRIP_COLUMNS if c in raw.columns]
     if with_source:
         columns += [S.SOURCE_YEAR, S.SOURCE_MONTH]
-    cleaned = quality.clean(raw.select(*columns).transform(trip.with_duration), rules, dedup)
+    cleaned = quality.clean(raw.select(*columns).transform(trip.with_duration), rules, dedup=False)
+    if dedup:
+        cleaned = quality.drop_duplicate_rows(cleaned.select(*columns)).transform(trip.with_duration)
     return imputer.apply(cleaned) if imputer else cleaned
 
 

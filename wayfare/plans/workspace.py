@@ -1,7 +1,7 @@
 """Staged tables of one pipeline run, each written once and then scanned.
 
-The pipeline hands over through tables: raw trips, cleaned trips, fitted artifacts, feature
-matrix. A written table is a lineage cut that survives lost executors, and it gives every later
+The pipeline hands over through tables: raw trips (where a query reads them), cleaned trips, fitted
+artifacts, feature matrix. A written table is a lineage cut that survives lost executors, and it gives every later
 query a column-pruned, partition-pruned scan in place of repeated joins and de-duplication.
 """
 
@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wayfare import schema as S
 from wayfare import session
+from wayfare.functions import trip
 from wayfare.models import store
 from wayfare.operators import impute, quality, split
 from wayfare.plans import features, prepare
@@ -82,10 +83,11 @@ class Workspace:
 
     @cached_property
     def _clean_written(self) -> bool:
-        raw = self.raw()
+        # raw trips that no query has staged yet go to the rules without a table and a shuffle of their own
+        raw = self.raw() if "_raw_written" in vars(self) else star_schema.trips(self.spark, self.sf_dir)
         with session.small_tasks(self.spark, self.lines):
-            cleaned = sinks.with_pickup_month(prepare.prepare(quality.check_schema(raw)))
-            sinks.write_trips(cleaned, self.path("clean"), "year", "month")
+            cleaned = prepare.prepare(quality.check_schema(raw)).select(*S.TRIP_COLUMNS)
+            sinks.write_trips(sinks.with_pickup_month(cleaned), self.path("clean"), "year", "month", derive=trip.with_duration)
         return True
 
     def clean_unfilled(self) -> DataFrame:
