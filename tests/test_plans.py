@@ -100,12 +100,29 @@ def test_a_closed_workspace_leaves_nothing(spark):
     other.close()
 
 
-def test_cleaning_needs_no_raw_table_of_its_own(spark, ws):
+def star_tables(spark, folder) -> str:
+    """Order lines with null, unknown and repeated keys, some of them equal trips."""
+    day = "timestamp_ntz'1998-03-30 00:00:00'"
+    tables = {
+        "customer": "select id c_custkey, int(id % 9) c_nationkey from range(9) union all select null, 3",
+        "supplier": "select id s_suppkey, int(id % 7) s_nationkey from range(19) union all select 5L, 6",
+        "orders": f"select nullif(id, 70) o_orderkey, id % 11 o_custkey, timestampadd(DAY, int(id % 5), {day}) o_orderdate from range(99)",
+        "lineitem": """select nullif(id % 103, 7) l_orderkey, id % 13 l_partkey, nullif(id % 23, 4) l_suppkey, int(id % 7 + 1) l_linenumber,
+            double(id % 50 + 1) l_quantity, double(id % 40) * 200 l_extendedprice, double(id % 11) / 100 l_discount,
+            if(id % 3 = 0, 'F', 'O') l_linestatus from range(2000) union all select 50L, 2L, 5L, 3, 9D, 4000D, 0.05D, 'F' from range(40)""",
+    }
+    for name, text in tables.items():
+        spark.sql(text).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def test_cleaning_needs_no_raw_table_of_its_own(spark, tmp_path):
     import os
 
     from wayfare.plans.workspace import Workspace
 
-    alone, after = (Workspace(spark, "/root/testdata/sf0.001") for _ in range(2))
+    folder = star_tables(spark, tmp_path)
+    alone, after = (Workspace(spark, folder) for _ in range(2))
     try:
         direct = alone.clean_unfilled()
         assert not os.path.exists(alone.path("raw"))
@@ -127,6 +144,19 @@ def test_staged_writes_run_in_tasks_of_bounded_size(spark):
     assert [spark.conf.get(key, None) for key in (parts, size)] == before
 
 
+def test_artifacts_are_fitted_in_tasks_of_bounded_size(spark, monkeypatch):
+    from wayfare.plans.workspace import Workspace
+
+    ws, size, seen = Workspace(spark, "/root/testdata/sf0.001"), "spark.sql.files.maxPartitionBytes", []
+    before, fit = spark.conf.get(size, None), features.fit
+    monkeypatch.setattr(features, "fit", lambda *given: seen.append(spark.conf.get(size, None)) or fit(*given))
+    try:
+        assert ws.artifacts.routes.count() >= 0
+        assert seen == [before or "8m"] and spark.conf.get(size, None) == before
+    finally:
+        ws.close()
+
+
 def test_what_the_session_sets_itself_stays(spark):
     key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     before = spark.conf.get(key, None)

@@ -114,9 +114,9 @@ class Workspace:
 
     @cached_property
     def artifacts(self) -> features.Artifacts:
-        return features.fit(
-            self.train(), self.path("artifacts"), self.zones(), star_schema.REGION_CODES, self.min_route_count
-        )
+        train = self.train()
+        with session.small_tasks(self.spark, self.lines):
+            return features.fit(train, self.path("artifacts"), self.zones(), star_schema.REGION_CODES, self.min_route_count)
 
     def featured(self, df: DataFrame) -> DataFrame:
         return features.apply(df, self.artifacts)
