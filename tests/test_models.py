@@ -1,3 +1,6 @@
+import math
+from dataclasses import replace
+
 import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
@@ -334,6 +337,50 @@ def test_rounds_draw_rows_and_columns(coarse):
     assert all(160 < n < 260 for n in kept) and len(set(kept)) > 1
 
 
+@pytest.mark.parametrize("depth, least, patience", [(2, 5, 3), (1, "edge", 3), (2, 150, 2)])
+def test_rows_of_equal_inputs_are_summed_up_once(coarse, spark, monkeypatch, tmp_path, depth, least, patience):
+    """The same trees, values and errors as grown on rows, from no more rows than there are inputs in either part."""
+    df, x, _ = coarse
+    if least == "edge":  # as many rows as the smaller side of a split has
+        left = int((x[:200, 0] <= 2).sum())
+        least = min(left, 200 - left)
+    settings = boosting.Settings(rounds=3, rate=0.6, depth=depth, min_rows=least, row_share=1, column_share=1, l1=2.0, l2=3.0, patience=patience, bins=32)
+    grow, met = boosting._grown, []
+    monkeypatch.setattr(boosting, "_grown", lambda current, *args: met.append(current.count()) or grow(current, *args))
+    found = {}
+    for name, alike, table in (("rows", math.inf, df), ("sums", boosting.ALIKE, df), ("more", boosting.ALIKE, df.unionAll(df))):
+        monkeypatch.setattr(boosting, "ALIKE", alike)
+        met.clear()
+        change = {"min_rows": 2 * least, "l1": 4.0, "l2": 6.0} if name == "more" else {}
+        model = boosting.fit(table, ["a", "b"], replace(settings, **change), f"{tmp_path}/{name}")
+        nodes = saved.nodes(spark, boosting.part_folders(f"{tmp_path}/{name}")).orderBy("stage", "node").collect()
+        scale = 2 if name == "more" else 1
+        splits = [(r.stage, r.node, r.feature, r.threshold, r.rows / scale) for r in nodes]
+        numbers = [r.gain / scale for r in nodes] + [v for one in model.rounds for v in one.values] + [model.base]
+        found[name] = splits, model.kept, numbers + ([] if patience is None else model.errors)
+        assert max(met) == 300 if name == "rows" else max(met) <= 2 * len(np.unique(x, axis=0))
+    splits, kept, numbers = found["rows"]
+    assert bool(splits) == (least <= 100)
+    for name in ("sums", "more"):
+        assert found[name][:2] == (splits, kept) and found[name][2] == pytest.approx(numbers)
+
+
+def test_sampled_rounds_and_many_inputs_run_on_rows(data, coarse, monkeypatch):
+    grow, met = boosting._grown, []
+    monkeypatch.setattr(boosting, "_grown", lambda current, *args: met.append(boosting.ROWS in current.columns) or grow(current, *args))
+    boosting.fit(coarse[0], ["a", "b"], replace(SMALL, rounds=1))
+    boosting.fit(data, ["a", "b"], replace(SMALL, rounds=1, row_share=1.0))
+    boosting.fit(coarse[0], ["a", "b"], replace(SMALL, rounds=1, row_share=1.0))
+    assert met == [False, False, True]
+
+
+def test_summed_rows_keep_missing_inputs_an_error(spark):
+    rows = [(float(i % 3) if i % 7 else None, float(i), 0) for i in range(200)]
+    df = spark.createDataFrame(rows, f"a double, {S.TARGET} double, block int")
+    with pytest.raises(Exception, match="null"):
+        boosting.fit(df, ["a"], replace(SMALL, rounds=1, row_share=1.0))
+
+
 def test_nothing_to_grow_on(spark):
     empty = spark.createDataFrame([], f"a double, {S.TARGET} double, block int")
     assert boosting.fit(empty, ["a"], SMALL).kept == 0

@@ -5,6 +5,10 @@ each leaf its value, the soft-thresholded sum of residuals over count plus penal
 the same time. Predictions so far live in a table that is written anew every few rounds, so a round reads
 features and applies a few trees, never the whole ensemble. Finished rounds are saved in parts below a folder; a fit that finds parts
 there goes on after them and ends with the same model as one that was never interrupted.
+
+Rows that agree in every input share their prediction, so trees and errors need no more of them than their number, the mean of their labels
+and the deviation from it. Where inputs are few beside the rows and rounds sample no rows, one pass sums the rows up and all
+rounds run on the sums; else rounds run on the rows.
 """
 
 import math
@@ -24,7 +28,9 @@ from wayfare.models.pipelines import PATIENCE, SEED
 
 RUNNING, INPUTS, LEAF, RESIDUAL = "_running", "_inputs", "_leaf", "_residual"
 HELD, ROW = "_held", "_row"
+ROWS, MEAN, VARIANCE = "_rows", "_mean", "_variance"
 STAGED_ROUNDS = 10  # trees applied on the way before the running prediction is written anew
+ALIKE = 10  # rows of equal inputs, on average, from which they are summed up
 SHARES = 10_000
 
 
@@ -178,14 +184,31 @@ class _Parts:
             self.spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
 
-def _grown(current: DataFrame, columns: list[str], label: str, settings: Settings, at: int) -> Round:
+def _summed(table: DataFrame, columns: list[str], label: str) -> DataFrame:
+    """A row for all rows that agree in every input and in being held out: their number, and mean and variance of their labels."""
+    y = F.col(label).cast("double")
+    return table.groupBy(*columns, HELD).agg(F.count(F.lit(1)).alias(ROWS), F.avg(y).alias(MEAN), F.var_pop(y).alias(VARIANCE))
+
+
+def _grown(current: DataFrame, columns: list[str], label: str, settings: Settings, rows: int, at: int) -> Round:
+    """The tree of one round. ``rows`` are all rows to grow on, and only asked for where ``current`` holds sums."""
     picked = chosen_columns(columns, settings, at)
     assembler = VectorAssembler(inputCols=picked, outputCol=INPUTS, handleInvalid="error")
     sample = current.filter(~F.col(HELD) & in_sample(settings, at)).withColumn(RESIDUAL, F.col(label) - F.col(RUNNING))
-    trees = DecisionTreeRegressor(
-        featuresCol=INPUTS, labelCol=RESIDUAL, leafCol=LEAF, maxDepth=settings.depth, maxBins=settings.bins, minInstancesPerNode=settings.min_rows, seed=settings.seed + at
-    )
-    tree = trees.fit(assembler.transform(sample).select(INPUTS, RESIDUAL))
+    trees = DecisionTreeRegressor(featuresCol=INPUTS, labelCol=RESIDUAL, leafCol=LEAF, maxDepth=settings.depth, maxBins=settings.bins, seed=settings.seed + at)
+    if ROWS in current.columns:
+        # two points on either side of the mean, each for half of the rows, have the rows' count, sum and sum of squares
+        away = F.sqrt(VARIANCE)
+        sample = sample.withColumn(RESIDUAL, F.explode(F.array(F.col(RESIDUAL) - away, F.col(RESIDUAL) + away))).withColumn(ROWS, F.col(ROWS) / 2)
+        # counts are whole numbers, so a limit between two of them is safe from rounding; from half of all rows on no split is left
+        least = (settings.min_rows - 0.5) / rows
+        trees.setWeightCol(ROWS).setMinWeightFractionPerNode(least if least < 0.5 else 0.0)
+        trees.setMaxDepth(settings.depth if least < 0.5 else 0)
+        points = assembler.transform(sample).select(INPUTS, RESIDUAL, ROWS)
+    else:
+        trees.setMinInstancesPerNode(settings.min_rows)
+        points = assembler.transform(sample).select(INPUTS, RESIDUAL)
+    tree = trees.fit(points)
     tree.setPredictionCol("")
     return Round(assembler, tree, [])
 
@@ -193,9 +216,10 @@ def _grown(current: DataFrame, columns: list[str], label: str, settings: Setting
 def _measured(current: DataFrame, one: Round, label: str, settings: Settings, at: int) -> float:
     """Set the leaf values of a round and return the sum of squared errors of the held-out rows after it. One aggregate."""
     rest = F.col(label) - F.col(RUNNING)
+    rows, variance = (F.col(ROWS), F.col(VARIANCE)) if ROWS in current.columns else (F.lit(1), F.lit(0.0))
     kind = F.when(F.col(HELD), F.lit(2)).when(in_sample(settings, at), F.lit(1)).otherwise(F.lit(0))
     sums = one.leaves(current).groupBy(F.col(LEAF).cast("int").alias("leaf"), kind.alias("kind"))
-    found = sums.agg(F.count(F.lit(1)).alias("n"), F.sum(rest).alias("s"), F.sum(rest * rest).alias("ss")).collect()  # a few rows a leaf
+    found = sums.agg(F.sum(rows).alias("n"), F.sum(rows * rest).alias("s"), F.sum(rows * (rest * rest + variance)).alias("ss")).collect()  # a few rows a leaf
     leaves = (one.tree.numNodes + 1) // 2
     one.values = [0.0] * leaves
     for r in found:
@@ -217,12 +241,29 @@ def fit(train: DataFrame, columns: list[str], settings: Settings, root: str | No
     parts = _Parts(spark, root)
     parts.check({**asdict(settings), "label": label, "columns": " ".join(columns)})
     train = train.filter(F.col(label).isNotNull())
-    held = F.lit(False)
+
+    def staged(df: DataFrame) -> DataFrame:
+        path = session.scratch_path(spark, "running")
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    asked = {}
     if settings.patience is not None:
-        held = F.col(block) == F.lit(train.agg(F.max(block)).first()[0])
+        asked["latest"] = F.max(block)
+    if settings.row_share >= 1:
+        asked |= {"rows": F.count(F.lit(1)), "inputs": F.approx_count_distinct(F.xxhash64(*columns))}
+    told = train.agg(*[c.alias(name) for name, c in asked.items()]).first().asDict() if asked else {}
+    held = F.col(block) == F.lit(told["latest"]) if "latest" in told else F.lit(False)
     table = train.select(*[F.col(c) for c in dict.fromkeys([*columns, label])], F.coalesce(held, F.lit(False)).alias(HELD))
-    table = table.withColumn(ROW, F.xxhash64(*columns, label))
-    base, held_rows = table.agg(F.avg(F.when(~F.col(HELD), F.col(label))), F.count(F.when(F.col(HELD), F.lit(1)))).first()
+    weight = F.lit(1)
+    if settings.row_share < 1:
+        table = table.withColumn(ROW, F.xxhash64(*columns, label))
+    elif told["rows"] >= ALIKE * told["inputs"]:
+        table, label, weight = staged(_summed(table, columns, label)), MEAN, F.col(ROWS)
+    grown, held = ~F.col(HELD), F.col(HELD)
+    total = F.sum(F.when(grown, weight * F.col(label).cast("double")))
+    rows, total, held_rows = table.agg(F.sum(F.when(grown, weight)), total, F.sum(F.when(held, weight))).first()
+    base = total / rows if rows else None
     model = Ensemble(base if base is not None else 0.0, settings.rate)
     model.rounds, model.errors, number = parts.load()
     if base is None:
@@ -230,11 +271,6 @@ def fit(train: DataFrame, columns: list[str], settings: Settings, root: str | No
     model.kept, over = best_round(model.errors, settings.patience)
     saved = len(model.rounds)
 
-    def staged(df: DataFrame) -> DataFrame:
-        path = session.scratch_path(spark, "running")
-        df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
-
     current = table.withColumn(RUNNING, F.lit(model.base))
     for i, one in enumerate(model.rounds):
         current = one.add(current, settings.rate)
@@ -243,7 +279,7 @@ def fit(train: DataFrame, columns: list[str], settings: Settings, root: str | No
     current = staged(current) if not over else current
     while not over and len(model.rounds) < settings.rounds:
         at = len(model.rounds)
-        one = _grown(current, columns, label, settings, at)
+        one = _grown(current, columns, label, settings, rows, at)
         error = _measured(current, one, label, settings, at)
         model.rounds.append(one)
         model.errors.append(error / held_rows if held_rows else math.nan)
